@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm import chat_format, language_id, mixing, secret_scan, vector_search
+from citeloom.llm import chat_format, language_id, mixing, ngram_join, secret_scan, vector_search
 from citeloom.llm.common import table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return vector_search.top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10, scale=1024.0)
@@ -54,6 +58,7 @@ FROM copied
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_vector_search": op2_vector_search,
     "op3_language_id": op3_language_id,
     "op5_chat_format": op5_chat_format,
