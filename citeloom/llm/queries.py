@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeloom.llm import chat_format, language_id, mixing, ngram_join, secret_scan, vector_search
+from citeloom.llm import chat_format, decontaminate, language_id, mixing, ngram_join, secret_scan, vector_search
 from citeloom.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_windows(rows.unionByName(hostile)))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"]).findings)
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_vector_search": op2_vector_search,
     "op3_language_id": op3_language_id,
     "op5_chat_format": op5_chat_format,
+    "op6_decontaminate": op6_decontaminate,
     "op7_secret_scan": op7_secret_scan,
     "op8_source_mixing": op8_source_mixing,
 }
