@@ -4,17 +4,34 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_dir: dict[str, str] = {}
+_shipped: set[str] = set()
 
 #: Spark 4 can drop a query's shuffle files as soon as its output is written.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application; they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        archive = Path(tempfile.mkdtemp(prefix="citeloom-")) / "citeloom.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted((root / "citeloom").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        spark.sparkContext.addPyFile(str(archive))
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

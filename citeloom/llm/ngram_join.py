@@ -263,22 +263,28 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def soft_pairs(soft: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of soft sets in different components that share one of the shingles that each may not lack all of.
 
-    Of n elements a linked set lacks at most n - ceil(t n), so it shares one of any n - ceil(t n) + 1; both sets taking
-    their rarest (fewest soft sets, then smallest hash), they share one within these. In each shingle's group only sets
-    outside its most common component meet the others, so a component of near copies is not paired with itself.
+    Sets take their rarest shingles first (fewest soft sets, then smallest hash). In a linked pair of a and b >= a elements
+    the smaller set lacks at most a - ceil(2 a t / (1+t)) of the other's, and the larger at most b - ceil(t b); so they share
+    one within one more than these of their rarest. In each shingle's group only sets outside its most common component meet
+    the others, so a component of near copies is not paired with itself.
     """
     own = soft.select("sid").distinct().join(sets, "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
     flat = own.select("sid", F.coalesce("label", "sid").alias("label"), F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
     df = flat.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     counted = flat.join(df, "h", "left").withColumn("df", F.coalesce("df", F.lit(1)))
-    rank = F.row_number().over(Window.partitionBy("sid").orderBy("df", "h"))
-    prefix = counted.withColumn("rank", rank).where((F.col("rank") <= F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1) & (F.col("df") > 1)).select("h", "sid", "label")
+    n, rank = F.col("n"), F.row_number().over(Window.partitionBy("sid").orderBy("df", "h"))
+    as_larger, as_smaller = n - F.ceil(n * NUM / DEN) + 1, n - F.ceil(2 * n * NUM / (NUM + DEN)) + 1
+    prefix = counted.withColumn("rank", rank).where((F.col("rank") <= as_larger) & (F.col("df") > 1)).select("h", "sid", "n", "label", (F.col("rank") <= as_smaller).alias("short"))
     prefix = materialize(prefix, "prefix")
     by_label = prefix.groupBy("h", "label").agg(F.count("*").alias("c"))
     mode = by_label.groupBy("h").agg(F.max_by("label", F.struct("c", "label")).alias("mode"), F.count("*").alias("labels")).where("labels > 1")
-    few = prefix.join(mode, "h").where("label != mode").select("h", F.col("sid").alias("a"), F.col("label").alias("la"))
-    met = few.join(prefix, "h").where("la != label").select(F.least("a", "sid").alias("x"), F.greatest("a", "sid").alias("y"))
-    return met.distinct()
+    few = materialize(prefix.join(mode, "h").where("label != mode").select("h", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("short").alias("sa")), "few")
+    larger, smaller = F.struct("na", "a") > F.struct("n", "sid"), F.struct("na", "a") < F.struct("n", "sid")
+    near = (F.col("la") != F.col("label")) & (DEN * F.least("na", "n") >= NUM * F.greatest("na", "n"))
+    below = few.join(prefix.where("short"), "h").where(near & larger)
+    above = few.where("sa").join(prefix, "h").where(near & smaller)
+    pair = (F.least("a", "sid").alias("x"), F.greatest("a", "sid").alias("y"))
+    return below.select(*pair).unionByName(above.select(*pair)).distinct()
 
 
 def join(docs: DataFrame, width: int = WIDTH) -> Join:
@@ -306,7 +312,11 @@ def join(docs: DataFrame, width: int = WIDTH) -> Join:
     flat = lists.select(F.xxhash64("members").alias("g"), "count", F.explode("members").alias("sid")).join(able.select("sid"), "sid", "left_semi")
     groups = materialize(flat.groupBy("g").agg(F.array_sort(F.collect_set("sid")).alias("members"), F.first("count").alias("count")).where(F.size("members") > 1), "groups")
     star = groups.select(F.element_at("members", 1).alias("x"), F.explode(F.slice("members", 2, GROUP)).alias("y"))
-    far = base.where(F.col("kind") == STAR).select(F.element_at("members", 1).alias("x"), F.col("sid").alias("y")).distinct()
+    # a large group's star gets its most typical member, that of the most widely shared signatures, as its centre
+    met = base.where(F.col("kind") == STAR).select(F.element_at("members", 1).alias("x"), F.col("sid").alias("y")).distinct()
+    met = met.unionByName(met.select("x", F.col("x").alias("y")).distinct()).join(able.select(F.col("sid").alias("y"), "hot"), "y")
+    centre = met.groupBy("x").agg(F.max_by("y", F.struct("hot", "y")).alias("centre"))
+    far = met.join(centre, "x").where("y != centre").select(F.least("centre", "y").alias("x"), F.greatest("centre", "y").alias("y")).distinct()
     links = materialize(verified(star.unionByName(far), sets), "links")
     labels = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
 
