@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from citeloom.llm import chat_format, decontaminate, language_id, mixing, ngram_join, secret_scan, vector_search
+from citeloom.llm import chat_format, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, sentence_dedup, vector_search
 from citeloom.llm.common import table
 
 
@@ -44,6 +45,16 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_sentence_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of a tree: source / language / hundreds / number."""
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    return license_scan.scan(table(spark, sf_dir, "documents").withColumn("path", path))
+
+
 MIXING_SQL = f"""
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rates AS (SELECT source, (SELECT CAST(sum(n) AS DOUBLE) FROM counts) * 1.0 / (SELECT CAST(count(*) AS DOUBLE) FROM counts) / n AS rate FROM counts),
@@ -69,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_secret_scan": op7_secret_scan,
     "op8_source_mixing": op8_source_mixing,
+    "op9_sentence_dedup": op9_sentence_dedup,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_source_mixing": MIXING_SQL}
