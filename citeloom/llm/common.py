@@ -46,16 +46,26 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[app]
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and return the table read back: cuts lineage and survives lost executors."""
+#: Rows in a batch that Spark hands to Python.
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialize(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
+    """Write df to the shared folder and return the table read back: cuts lineage and survives lost executors.
+
+    batch_rows: for plans whose Python steps read long rows, the most rows handed over at once.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/citeloom/{label}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    settings = {CLEANUP: "true"} | ({BATCH: str(batch_rows)} if batch_rows else {})
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out._citeloom_path = path
     return out

@@ -14,7 +14,7 @@ _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _SPAN = 1 << 16
 _POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(_SPAN - 1, _PLACE[63], np.uint64)]))
 
-BLOCK = 2_000_000  # bytes hashed together
+BLOCK = 400_000  # bytes hashed together; a longer text is a block of its own
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -56,6 +56,7 @@ RESERVE = 0.3  # partitions beyond the largest difference, as a share of it
 GROUP = 32  # largest group whose pairs may be expanded
 FLUSH = 8_000_000  # bytes of text whose signatures a task packs together
 BUCKET = 8_000_000  # bytes of text for each bucket
+BATCH_ROWS = 500  # texts, or blobs of some 100 KB, that a Python worker holds at once
 BROADCAST_ROWS = 200_000  # of (doc_id, text hash, set), some 10 MB; beyond, a shuffled join
 
 SIGNED = "kind int, bucket int, doc_id long, tkey long, sid long, n int, scheme int, least0 int, least1 int, blob binary"
@@ -293,7 +294,7 @@ def join(docs: DataFrame, width: int = WIDTH) -> Join:
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-size // BUCKET))
     signed = rows.mapInArrow(_signed(buckets, width), SIGNED)
-    base = materialize(signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped, GROUPED), "signatures")
+    base = materialize(signed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_grouped, GROUPED), "signatures", BATCH_ROWS)
 
     members = base.where(F.col("kind") == MEMBER).select("doc_id", "tkey", "sid", F.col("n").cast("long").alias("n_shingles"), "scheme", "least0", "least1")
     least = members.where("sid is not null").groupBy("sid").agg(F.min(F.struct("doc_id", "tkey")).alias("rep"), F.first(F.least("least0", "least1")).alias("least"))
@@ -305,7 +306,7 @@ def join(docs: DataFrame, width: int = WIDTH) -> Join:
     if able.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     found = rows.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tkey") == F.col("w.tkey"))).select("sid", "text")
-    sets = materialize(found.mapInArrow(_sets(width), "sid long, shingles array<long>").dropDuplicates(["sid"]), "sets")
+    sets = materialize(found.mapInArrow(_sets(width), "sid long, shingles array<long>").dropDuplicates(["sid"]), "sets", BATCH_ROWS)
 
     # groups of sets that are able to link
     lists = base.where(F.col("kind") == GROUP_ROW).groupBy("members").agg(F.sum("count").alias("count"))
