@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_format, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, sentence_dedup, vector_search
+from citeloom.llm import chat_format, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, sentence_dedup, suffix_dedup, vector_search
 from citeloom.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are control strings."""
     said = "<|im_end|><|im_start|>assistant ok"
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_vector_search": op2_vector_search,
     "op3_language_id": op3_language_id,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_chat_format": op5_chat_format,
     "op6_decontaminate": op6_decontaminate,
     "op7_secret_scan": op7_secret_scan,
