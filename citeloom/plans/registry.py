@@ -1,6 +1,274 @@
-"""Every query by name, with the SQL that gives the same rows."""
+"""Every query by name, with the DuckDB SQL that gives the same rows."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+import datetime
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from citeloom.functions import formats, text
+from citeloom.operators import grid, ingest, linked, reports, snowball
+from citeloom.plans import bindings as b
+from citeloom.session import shared_dir
+from citeloom.sources import datasets
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# reports
+
+
+@query(f"WITH {b.NODES} SELECT sm, publication_year, count(*) AS n FROM nodes GROUP BY sm, publication_year")
+def refs_per_year_sm(spark: SparkSession, d: str) -> DataFrame:
+    return reports.refs_per_year_sm(b.nodes(spark, d))
+
+
+@query(f"""WITH {b.NODES} SELECT sm, publication_year, count(*) AS n, round(log10(count(*)), 6) AS log10_n FROM nodes
+WHERE publication_year BETWEEN {b.FIRST_YEAR} AND {b.LAST_YEAR} GROUP BY sm, publication_year""")
+def plot_points(spark: SparkSession, d: str) -> DataFrame:
+    return reports.plot_points(reports.refs_per_year_sm(b.nodes(spark, d)), b.FIRST_YEAR, b.LAST_YEAR)
+
+
+@query(f"""WITH {b.NODES} SELECT sm, count(*) AS n, count(*) FILTER (oa_input) AS n_key, count(*) FILTER (NOT oa_input) AS n_non_key,
+count(*) FILTER (NOT oa_input AND publication_year <= {b.CUT_OFF}) AS n_nkp_pre,
+count(*) FILTER (NOT oa_input AND publication_year > {b.CUT_OFF}) AS n_nkp_post FROM nodes GROUP BY sm""")
+def numbers_table(spark: SparkSession, d: str) -> DataFrame:
+    return reports.numbers_table(b.nodes(spark, d), b.CUT_OFF)
+
+
+@query(f"WITH {b.NODES} SELECT type, count(*) AS n FROM nodes WHERE publication_year > {b.CUT_OFF} GROUP BY type")
+def publication_types(spark: SparkSession, d: str) -> DataFrame:
+    return reports.publication_types(b.nodes(spark, d), cut_off=b.CUT_OFF)
+
+
+@query(f"WITH {b.NODES} SELECT type, bm, count(*) AS n FROM nodes WHERE publication_year > {b.CUT_OFF} GROUP BY type, bm")
+def publication_types_by_bm(spark: SparkSession, d: str) -> DataFrame:
+    return reports.publication_types(b.nodes(spark, d), "bm", cut_off=b.CUT_OFF)
+
+
+def _overlap_sql(rows: str, message: str, extra: str, over: int) -> str:
+    def link(c: str, prefix: str) -> str:
+        return f"""concat('<a href="{prefix}', coalesce({c}, 'NA'), '" target="_blank">', coalesce({c}, 'NA'), '</a>')"""
+
+    return f"""WITH {b.NODES}, chosen AS ({rows}),
+listed AS (SELECT id, regexp_replace(doi, 'https://doi.org/', '', 'g') AS doi, author, title{extra}, count(*) OVER (PARTITION BY id) AS n,
+  array_to_string(list_sort(list({message}) OVER (PARTITION BY id)), '|') AS {message}s FROM chosen)
+SELECT DISTINCT {link('id', text.WORK_PREFIX)} AS id, {link('doi', text.DOI_PREFIX)} AS doi, author, title{extra}, n, {message}s FROM listed WHERE n > {over}"""
+
+
+_RECENT = f"NOT oa_input AND id IS NOT NULL AND publication_year > {b.CUT_OFF}"
+
+
+@query(_overlap_sql("SELECT * FROM nodes WHERE oa_input AND id IS NOT NULL", "sm", "", 1))
+def overlap_key_papers_sm(spark: SparkSession, d: str) -> DataFrame:
+    return reports.overlap_key_papers_sm(b.nodes(spark, d))
+
+
+@query(_overlap_sql(f"SELECT * FROM nodes WHERE {_RECENT}", "sm", "", 5))
+def overlap_recent_sm(spark: SparkSession, d: str) -> DataFrame:
+    return reports.overlap_recent_sm(b.nodes(spark, d), b.CUT_OFF)
+
+
+@query(_overlap_sql(f"SELECT DISTINCT author, title, doi, bm, id, ab AS abstract FROM nodes WHERE {_RECENT}", "bm", ", abstract", b.OVER_BM))
+def overlap_recent_bm(spark: SparkSession, d: str) -> DataFrame:
+    return reports.overlap_recent_bm(b.nodes(spark, d), b.CUT_OFF, b.OVER_BM)
+
+
+@query(f"WITH {b.REFS} SELECT count(*) AS n FROM (SELECT DISTINCT zotero FROM refs)")
+def key_paper_count(spark: SparkSession, d: str) -> DataFrame:
+    return reports.distinct_values(b.refs(spark, d), "zotero")
+
+
+@query(f"WITH {b.NODES} SELECT count(*) AS n FROM (SELECT DISTINCT id FROM nodes WHERE oa_input)")
+def usable_key_paper_count(spark: SparkSession, d: str) -> DataFrame:
+    return reports.distinct_values(b.nodes(spark, d).where("oa_input"), "id")
+
+
+# snowballs
+
+
+def _snowball(which: str, part: str, sql: str, **filters: str) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return getattr(snowball.snowball(b.nodes(spark, d), b.edges(spark, d), collect=False, **filters), part)
+
+    run.__name__ = f"snowball_{which}" + ("_edges" if part == "edges" else "")
+    query(sql)(run)
+
+
+for _which, _filters, _where in (("all", {}, "true"), ("by_sm", {"sub_message": "bm-1-1"}, "sm = 'bm-1-1'"), ("by_bm", {"background_message": "bm-3"}, "bm = 'bm-3'")):
+    _snowball(_which, "nodes", f"WITH {b.NODES} SELECT * FROM nodes WHERE {_where}", **_filters)
+    _snowball(_which, "edges", f"WITH {b.EDGES} SELECT * FROM edges WHERE {_where}", **_filters)
+
+
+@query(f"""WITH {b.HOP} SELECT * FROM hop""")
+def snowball_edges(spark: SparkSession, d: str) -> DataFrame:
+    return snowball.snowball_edges(b.seeds(spark, d), b.citing_works(spark, d))
+
+
+@query(f"""WITH {b.HOP}, ends AS (SELECT id FROM seeds UNION SELECT "from" FROM hop UNION SELECT "to" FROM hop)
+SELECT id, id IN (SELECT id FROM seeds) AS oa_input FROM ends""")
+def snowball_nodes(spark: SparkSession, d: str) -> DataFrame:
+    s = b.seeds(spark, d)
+    return snowball.snowball_nodes(s, snowball.snowball_edges(s, b.citing_works(spark, d)))
+
+
+@query("""SELECT DISTINCT * FROM (SELECT concat('W', CAST(p_partkey AS VARCHAR)) AS id, p_name AS title, NULL AS ab, p_type AS type FROM part WHERE p_size <= 30
+UNION ALL SELECT concat('W', CAST(p_partkey AS VARCHAR)), p_name, p_brand, NULL FROM part WHERE p_size > 20)""")
+def nodes_union(spark: SparkSession, d: str) -> DataFrame:
+    part = b.table(spark, d, "part")
+    cols = (F.concat(F.lit("W"), F.col("p_partkey").cast("string")).alias("id"), F.col("p_name").alias("title"))
+    first = part.where("p_size <= 30").select(*cols, F.col("p_type").alias("type"), F.array("p_size").alias("concepts"))
+    second = part.where("p_size > 20").select(*cols, F.col("p_brand").alias("ab"))
+    return snowball.union_nodes(first, second)
+
+
+@query(f"WITH {b.NODES} SELECT DISTINCT sm, regexp_extract(sm, '^[^-]*-[^-]*') AS bm FROM nodes")
+def bm_from_sm(spark: SparkSession, d: str) -> DataFrame:
+    return snowball.tagged(b.nodes(spark, d).select("sm").distinct())
+
+
+@query(f"WITH {b.REFS} SELECT DISTINCT sm FROM refs")
+def sub_messages(spark: SparkSession, d: str) -> DataFrame:
+    return b.refs(spark, d).select("sm").distinct()
+
+
+@query(f"""WITH {b.NODES} SELECT id, doi, author, title, ab, type, CAST(publication_year AS INTEGER) AS publication_year, oa_input, bm, sm FROM nodes""")
+def nodes_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Written by message and read back."""
+    path = f"{shared_dir(spark)}/nodes-{uuid.uuid4().hex}"
+    datasets.write_partitioned(b.nodes(spark, d).withColumn("publication_year", F.col("publication_year").cast("int")), path)
+    return datasets.read_nodes(spark, path)
+
+
+# ingestion
+
+
+@query(f"""WITH {b.KEY_WORKS} SELECT regexp_replace(id, 'https://openalex.org/', '', 'g') AS id, array_to_string(list_sort(list(bm)), '|') AS bms FROM key_works GROUP BY 1""")
+def messages_per_work(spark: SparkSession, d: str) -> DataFrame:
+    out = ingest.messages_per_work(ingest.key_works(b.refs(spark, d), b.works(spark, d)))
+    return out.select("id", F.array_join("bms", "|").alias("bms"))
+
+
+@query(f"WITH {b.KEY_WORKS} SELECT * FROM key_works")
+def key_works_left_join(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.key_works(b.refs(spark, d), b.works(spark, d))
+
+
+@query(f"WITH {b.REFS}, {b.WORKS} SELECT * FROM works WHERE doi IN (SELECT concat('https://doi.org/', doi) FROM refs WHERE doi <> '')")
+def works_lookup(spark: SparkSession, d: str) -> DataFrame:
+    return ingest.works_lookup(b.works(spark, d), b.refs(spark, d))
+
+
+@query("SELECT page_id, regexp_replace(url, 'https?://', '', 'g') AS url FROM pages")
+def strip_url_prefix(spark: SparkSession, d: str) -> DataFrame:
+    return b.table(spark, d, "pages").select("page_id", text.strip(F.col("url"), "https?://").alias("url"))
+
+
+# grid
+
+
+@query("SELECT event_id, value FROM events WHERE value BETWEEN 10.0 AND 50.0")
+def grid_range_filter(spark: SparkSession, d: str) -> DataFrame:
+    low, high = grid.parse_range("10 ... 50", 0, 0)
+    return b.table(spark, d, "events").where(grid.range_filter(F.col("value"), low, high)).select("event_id", "value")
+
+
+@query("SELECT event_id, event_type FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00'")
+def grid_date_filter(spark: SparkSession, d: str) -> DataFrame:
+    return b.table(spark, d, "events").where(grid.date_filter(F.col("ts"), datetime.date(2024, 1, 5), datetime.date(2024, 1, 20))).select("event_id", "event_type")
+
+
+@query("SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase')")
+def grid_factor_filter(spark: SparkSession, d: str) -> DataFrame:
+    return b.table(spark, d, "events").where(grid.factor_filter(F.col("event_type"), ["click", "purchase"])).select("event_id", "event_type")
+
+
+@query(f"WITH {b.NODES} SELECT id, sm, oa_input FROM nodes WHERE oa_input OR oa_input IS NULL")
+def grid_logical_filter(spark: SparkSession, d: str) -> DataFrame:
+    return b.nodes(spark, d).where(grid.logical_filter(F.col("oa_input"), ["true", "na"])).select("id", "sm", "oa_input")
+
+
+@query("""SELECT p_partkey, p_name, p_brand FROM part WHERE contains(lower(p_name), 'a') AND contains(lower(p_name), 'e')
+AND regexp_matches(p_type, '(?i)steel|brass|o') AND contains(lower(concat(CAST(p_partkey AS VARCHAR), '  ', p_name, '  ', p_brand)), '1')""")
+def grid_smart_search(spark: SparkSession, d: str) -> DataFrame:
+    where = grid.search(F.col("p_name"), "A e") & grid.search(F.col("p_type"), "steel|brass|o", regex=True) & grid.search_all(["p_partkey", "p_name", "p_brand"], "1")
+    return b.table(spark, d, "part").where(where).select("p_partkey", "p_name", "p_brand")
+
+
+@query("SELECT p_partkey, p_size, row_number FROM (SELECT p_partkey, p_size, CAST(row_number() OVER (ORDER BY p_size DESC, p_partkey) AS INTEGER) AS row_number FROM part) WHERE row_number BETWEEN 21 AND 30")
+def grid_page(spark: SparkSession, d: str) -> DataFrame:
+    return grid.page(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.desc("p_size"), F.asc("p_partkey")], 3, 10).rows
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount >= 0.1) AND p_partkey NOT IN (3, 5, 8)")
+def grid_selected_rows(spark: SparkSession, d: str) -> DataFrame:
+    keys = b.table(spark, d, "lineitem").where("l_discount >= 0.1").select(F.col("l_partkey").alias("p_partkey"))
+    part = grid.selectable(b.table(spark, d, "part"), "p_partkey", [-3, -5, -8])
+    return grid.selected(part, "p_partkey", keys).select("p_partkey", "p_name")
+
+
+@query("""SELECT l_orderkey, l_linenumber, format('{:,.1f}', l_extendedprice) AS rounded, concat(format('{:,.0f}', l_discount * 100), '%') AS percent,
+concat(CASE WHEN l_extendedprice < 0 THEN '-' ELSE '' END, '$', format('{:,.2f}', abs(l_extendedprice))) AS currency,
+coalesce(concat('<', l_returnflag, '>'), '') AS string, strftime(l_shipdate, '%Y-%m-%d') AS date FROM lineitem""")
+def grid_format(spark: SparkSession, d: str) -> DataFrame:
+    price = F.col("l_extendedprice")
+    return b.table(spark, d, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        formats.format_round(price, 1).alias("rounded"),
+        formats.format_percentage(F.col("l_discount")).alias("percent"),
+        formats.format_currency(price).alias("currency"),
+        formats.format_string(F.col("l_returnflag"), "<", ">").alias("string"),
+        formats.format_date(F.col("l_shipdate")).alias("date"),
+    )
+
+
+# linked key sets
+
+
+@query("""SELECT p_partkey, p_brand FROM part WHERE p_size BETWEEN 5 AND 40 AND p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)
+AND p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_tax = 0.0) AND (p_partkey % 2 = 0 OR p_partkey % 3 = 0)""")
+def linked_filter(spark: SparkSession, d: str) -> DataFrame:
+    part, lines = b.table(spark, d, "part"), b.table(spark, d, "lineitem")
+    handles = {
+        "size": linked.slider_keys(part, "p_partkey", F.col("p_size"), 5, 40),
+        "quantity": lines.where("l_quantity > 49").select(F.col("l_partkey").alias("key")),
+        "tax": lines.where("l_tax = 0.0").select(F.col("l_partkey").alias("key")),
+    }
+    chosen = [part.where(f"p_partkey % {k} = 0").select(F.col("p_partkey").alias("key")) for k in (2, 3)]
+    return linked.linked_filter(part, "p_partkey", handles, chosen).select("p_partkey", "p_brand")
+
+
+@query("""WITH a AS (SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_discount > 0.09), z AS (SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_tax > 0.07 AND l_quantity > 25)
+SELECT key, 'removed' AS change FROM a WHERE key NOT IN (SELECT key FROM z) UNION ALL SELECT key, 'added' FROM z WHERE key NOT IN (SELECT key FROM a)""")
+def keyset_diff(spark: SparkSession, d: str) -> DataFrame:
+    lines = b.table(spark, d, "lineitem")
+    keys = [lines.where(w).select(F.col("l_partkey").alias("key")) for w in ("l_discount > 0.09", "l_tax > 0.07 AND l_quantity > 25")]
+    return linked.keyset_diff(*keys)
+
+
+@query("SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_returnflag IN ('A', 'R')")
+def group_keys_union(spark: SparkSession, d: str) -> DataFrame:
+    groups = b.table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("name")).agg(F.collect_set("l_partkey").alias("keys"))
+    return linked.group_keys(groups, ["A", "R"])
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
+def columns_to_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey")))
+    wide = b.table(spark, d, "lineitem").groupBy("l_orderkey").agg(rows.alias("r")).select("l_orderkey", F.col("r.l_linenumber").alias("l_linenumber"), F.col("r.l_partkey").alias("l_partkey"))
+    return grid.columns_to_rows(wide, ["l_linenumber", "l_partkey"])
