@@ -266,7 +266,8 @@ def soft_pairs(soft: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
 
     Sets take their rarest shingles first (fewest soft sets, then smallest hash). In a linked pair of a and b >= a elements
     the smaller set lacks at most a - ceil(2 a t / (1+t)) of the other's, and the larger at most b - ceil(t b); so they share
-    one within one more than these of their rarest. In each shingle's group only sets outside its most common component meet
+    one within one more than these of their rarest. For the sizes of a pair at hand, with o = ceil((a+b) t / (1+t)) common
+    shingles, the rarest common one is within the first a - o + 1 and b - o + 1. In each shingle's group only sets outside its most common component meet
     the others, so a component of near copies is not paired with itself.
     """
     own = soft.select("sid").distinct().join(sets, "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
@@ -275,13 +276,14 @@ def soft_pairs(soft: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
     counted = flat.join(df, "h", "left").withColumn("df", F.coalesce("df", F.lit(1)))
     n, rank = F.col("n"), F.row_number().over(Window.partitionBy("sid").orderBy("df", "h"))
     as_larger, as_smaller = n - F.ceil(n * NUM / DEN) + 1, n - F.ceil(2 * n * NUM / (NUM + DEN)) + 1
-    prefix = counted.withColumn("rank", rank).where((F.col("rank") <= as_larger) & (F.col("df") > 1)).select("h", "sid", "n", "label", (F.col("rank") <= as_smaller).alias("short"))
+    prefix = counted.withColumn("rank", rank).where((F.col("rank") <= as_larger) & (F.col("df") > 1)).select("h", "sid", "n", "label", "rank", (F.col("rank") <= as_smaller).alias("short"))
     prefix = materialize(prefix, "prefix")
     by_label = prefix.groupBy("h", "label").agg(F.count("*").alias("c"))
     mode = by_label.groupBy("h").agg(F.max_by("label", F.struct("c", "label")).alias("mode"), F.count("*").alias("labels")).where("labels > 1")
-    few = materialize(prefix.join(mode, "h").where("label != mode").select("h", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("short").alias("sa")), "few")
+    few = materialize(prefix.join(mode, "h").where("label != mode").select("h", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("rank").alias("ra"), F.col("short").alias("sa")), "few")
     larger, smaller = F.struct("na", "a") > F.struct("n", "sid"), F.struct("na", "a") < F.struct("n", "sid")
-    near = (F.col("la") != F.col("label")) & (DEN * F.least("na", "n") >= NUM * F.greatest("na", "n"))
+    common = F.ceil((F.col("na") + n) * NUM / (NUM + DEN))
+    near = (F.col("la") != F.col("label")) & (F.col("rank") <= n - common + 1) & (F.col("ra") <= F.col("na") - common + 1)
     below = few.join(prefix.where("short"), "h").where(near & larger)
     above = few.where("sa").join(prefix, "h").where(near & smaller)
     pair = (F.least("a", "sid").alias("x"), F.greatest("a", "sid").alias("y"))
