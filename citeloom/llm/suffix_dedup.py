@@ -43,11 +43,12 @@ LENGTH = 50
 SEED = 16
 SPAN = LENGTH - SEED + 1  # SEED-grams of a window
 HALF = (LENGTH - SEED) // 2
-CHUNK = 1 << 19  # bytes whose anchors are found together
-PIECE = 1 << 20  # longer texts are read in pieces
+CHUNK = 1 << 17  # bytes whose anchors are found together
+PIECE = 1 << 18  # longer texts are read in pieces
 FLUSH = 8_000_000
 BUCKET = 8_000_000
 BATCH_ROWS = 500
+ROWS = 4096  # segments aligned at once
 NONE = 2**63 - 1  # null doc_id
 
 _MULT = np.random.Generator(np.random.PCG64(4242)).integers(0, 2**64, 8, dtype=np.uint64) | np.uint64(1)
@@ -238,10 +239,11 @@ def match_bucket(s: np.ndarray) -> Iterator[pa.RecordBatch]:
     symbols = np.full((len(s), width), 256, np.int16)
     lengths = s["more"].astype(np.int64) + LENGTH
     shift = zero - s["anchor"].astype(np.int64)
-    cols = np.arange(width)[None, :]
-    source = cols - shift[:, None]
-    inside = (source >= 0) & (source < lengths[:, None])
-    symbols[inside] = s["bytes"][np.nonzero(inside)[0], source[inside]]
+    for at in range(0, len(s), ROWS):
+        part = slice(at, at + ROWS)
+        source = np.arange(width)[None, :] - shift[part, None]
+        inside = (source >= 0) & (source < lengths[part, None])
+        symbols[part] = np.where(inside, np.take_along_axis(s["bytes"][part], np.clip(source, 0, width - 1), axis=1), 256)
     gone = []
     for column, order, lcp in construct(symbols):
         if column > zero:
