@@ -88,6 +88,7 @@ def dedup(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int =
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "first")
     # counts places, not rows, so that repeated rows are one document
     leading = found.groupBy("h").agg(F.min(place).alias("lead"), F.max(place).alias("last")).where("lead != last").select("h", "lead")
+    leading = materialize(leading, "leading")  # a join of two plain tables, whose hot keys adaptive execution can split
     covered = found.join(leading, "h").where(place != F.col("lead")).groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("first", "end")).alias("gone"))
     covered = covered.select(F.col("doc_id").alias("i"), F.col("tkey").alias("k"), F.col("gone.first").alias("first"), F.col("gone.end").alias("end"))
     joined = rows.join(covered, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("tkey") == F.col("k")), "left").select("doc_id", "text", "first", "end")
