@@ -27,7 +27,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import pack
+from citeloom.llm.common import materialize, pack
 
 
 class Rule(NamedTuple):
@@ -116,6 +116,7 @@ def scan(versions: DataFrame, paths: list[str], ledger: DataFrame | None = None,
     listed = known.where(F.size("findings") > 0).select("blob_id", F.transform("findings", lambda f: F.struct(f["start"].alias("start"), rank.alias("rank"), f["end"].alias("end"))).alias("found"))
     by_blob = listed.groupBy("blob_id").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
     by_blob = by_blob.select("blob_id", F.transform("found", lambda f: F.struct(F.element_at(kinds, f["rank"] + 1).alias("kind"), f["start"].alias("start"), f["end"].alias("end"))).alias("findings"))
+    by_blob = materialize(by_blob, "findings")  # broadcast by its true size, or a join whose hot blobs can be split
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     named = addressed.select(*[F.col("__row").getField(p).alias(p) for p in paths], "blob_id")
     return Scan(new, by_blob, named.join(by_blob, "blob_id", "left").select(*paths, "blob_id", F.coalesce("findings", empty).alias("findings")))
