@@ -10,8 +10,8 @@ exploded into so many copies. The copies are dealt over all partitions by a seco
 each, which is a global shuffle that any rerun of a lost task repeats exactly.
 
 Scale: rows per source are counted with map-side partial sums, and the table of rates has one row a source. The
-join with it is an equi-join whose large side Spark may split (a hot source) or leave in place (a small table of
-rates, which adaptive execution broadcasts by its measured size). The draw itself needs no shuffle.
+join with it is an equi-join: the rates are written first, so Spark broadcasts them if their true size allows and
+otherwise shuffles, where a hot source may be split. The draw itself needs no shuffle.
 
 Defined cases
 - null source: a source of its own. A source missing from the weights, or with a weight <= 0 or null: no copies.
@@ -27,7 +27,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import pack, with_added
+from citeloom.llm.common import materialize, pack, with_added
 
 SEED = 20240607
 
@@ -69,6 +69,7 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, tota
     """The replicated, globally shuffled rows: the columns of docs, then copy_no (from 1), copies, rate and shuffle_key."""
     key = F.coalesce(F.col("__row.doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col("__row.text"), F.lit("")))))
     rates = source_rates(docs, weights, total_rows).where("rate > 0").select(F.col("source").alias("__source"), F.col("rate").alias("__rate"), F.col("cdf").alias("__cdf"))
+    rates = materialize(rates, "rates")  # a row a source: broadcast by its true size, or else a shuffled join
     drawn = (
         pack(docs)
         .withColumn("__key", key)
