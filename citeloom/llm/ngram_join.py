@@ -56,7 +56,7 @@ RESERVE = 0.3  # partitions beyond the largest difference, as a share of it
 GROUP = 32  # largest group whose pairs may be expanded
 FLUSH = 8_000_000  # bytes of text whose signatures a task packs together
 BUCKET = 8_000_000  # bytes of text for each bucket
-BATCH_ROWS = 500  # texts, or blobs of some 100 KB, that a Python worker holds at once
+BATCH_ROWS = 100  # texts, or blobs of some 100 KB, that a Python worker holds at once
 BROADCAST_ROWS = 200_000  # of (doc_id, text hash, set), some 10 MB; beyond, a shuffled join
 
 SIGNED = "kind int, bucket int, doc_id long, tkey long, sid long, n int, scheme int, least0 int, least1 int, blob binary"
@@ -272,11 +272,14 @@ def soft_pairs(soft: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
     """
     own = soft.select("sid").distinct().join(sets, "sid").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
     flat = own.select("sid", F.coalesce("label", "sid").alias("label"), F.size("shingles").alias("n"), F.explode("shingles").alias("h"))
-    df = flat.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
-    counted = flat.join(df, "h", "left").withColumn("df", F.coalesce("df", F.lit(1)))
-    n, rank = F.col("n"), F.row_number().over(Window.partitionBy("sid").orderBy("df", "h"))
+    n = F.col("n")
     as_larger, as_smaller = n - F.ceil(n * NUM / DEN) + 1, n - F.ceil(2 * n * NUM / (NUM + DEN)) + 1
-    prefix = counted.withColumn("rank", rank).where((F.col("rank") <= as_larger) & (F.col("df") > 1)).select("h", "sid", "n", "label", "rank", (F.col("rank") <= as_smaller).alias("short"))
+    seen = materialize(flat.groupBy("h").agg(F.count("*").alias("df"), F.min("sid").alias("only")), "seen")
+    # a set's shingles that no other soft set has come first; where they fill the prefix, the set meets none
+    alone = seen.where("df = 1").groupBy(F.col("only").alias("sid")).agg(F.count("*").alias("alone"))
+    flat = flat.join(alone, "sid", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).where(F.col("alone") < as_larger)
+    rank = F.col("alone") + F.row_number().over(Window.partitionBy("sid").orderBy("df", "h"))
+    prefix = flat.join(seen.where("df > 1").select("h", "df"), "h").withColumn("rank", rank).where(F.col("rank") <= as_larger).select("h", "sid", "n", "label", "rank", (F.col("rank") <= as_smaller).alias("short"))
     prefix = materialize(prefix, "prefix")
     by_label = prefix.groupBy("h", "label").agg(F.count("*").alias("c"))
     mode = by_label.groupBy("h").agg(F.max_by("label", F.struct("c", "label")).alias("mode"), F.count("*").alias("labels")).where("labels > 1")
