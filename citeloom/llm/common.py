@@ -81,6 +81,13 @@ def discard(*tables: DataFrame) -> None:
             p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def free_name(columns: list[str], base: str) -> str:
+    """base, or base and underscores, that no column has."""
+    while base.lower() in {c.lower() for c in columns}:
+        base += "_"
+    return base
+
+
 def with_added(row: str, columns: list[str], added: dict[str, Column]) -> list[Column]:
     """The fields of the struct column `row`, then the added columns; an input column with the name of an added one gives way."""
     return [F.col(row).getField(c).alias(c) for c in columns if c not in added] + [v.alias(k) for k, v in added.items()]

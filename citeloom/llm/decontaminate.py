@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.llm.common import free_name
+
 Q = 8
 RATE = 0.1
 UNIT = 200  # at most 255: a place in a unit is packed into 8 bits
@@ -286,14 +288,15 @@ def find(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE,
 def keep_clean(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, chunk: int = CHUNK) -> DataFrame:
     """docs without the rows that hold a benchmark item."""
     columns = docs.columns
+    helper = free_name(columns, "__text")
     for items in chunks(benchmark, chunk):
         shipped = docs.sparkSession.sparkContext.broadcast(index(items, q, rate))
 
         def scan(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                dirty = {t for t, *_ in spans(shipped.value, b.column("__text").to_pylist(), q)}
+                dirty = {t for t, *_ in spans(shipped.value, b.column(helper).to_pylist(), q)}
                 keep = pa.array([i for i in range(b.num_rows) if i not in dirty], pa.int64())
                 yield b.take(keep).select(columns)
 
-        docs = docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(scan, docs.schema)
+        docs = docs.withColumn(helper, F.col("text").cast("string")).mapInArrow(scan, docs.schema)
     return docs

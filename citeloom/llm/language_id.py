@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeloom.llm.common import free_name
+
 SIZE = 300
 SAMPLE = 2000
 MAX_LANGUAGES = 2000
@@ -140,14 +142,15 @@ def classify(text: str | None, profiles: Profiles) -> tuple[str, float]:
 def identify(docs: DataFrame, profiles: Profiles | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in keep, then lang_pred and score, a row for every row of docs."""
     profiles = profiles or learn(docs)
+    helper = free_name(list(keep), "__text")
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep) + ", lang_pred string, score double"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [classify(t.as_py(), profiles) for t in b.column("__text")]
+            found = [classify(t.as_py(), profiles) for t in b.column(helper)]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(predict, schema)
+    return docs.select(*keep, F.col("text").cast("string").alias(helper)).mapInArrow(predict, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -36,6 +36,7 @@ CHUNK = 4096  # queries shipped at once
 BLOCK = 8192  # vectors quantised together
 SUB = 256  # queries bounded at once
 BITS = 6
+LEAST, MOST = -(2**63), 2**63 - 1
 
 HITS = T.StructType([T.StructField("query_no", T.LongType()), T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
 
@@ -67,7 +68,7 @@ class Best:
         return self.found[q][-1][0] if len(self.found[q]) == self.k else -np.inf
 
     def offer(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        pairs = self.found[q] + [(int(-s), int(i)) for s, i in zip(-scores, ids)]
+        pairs = self.found[q] + [(min(max(int(s), LEAST), MOST), int(i)) for s, i in zip(scores, ids)]
         self.found[q] = sorted(pairs, key=lambda p: (-p[0], p[1]))[: self.k]
 
 
@@ -122,9 +123,8 @@ def pass_over(vectors: DataFrame, chunk: list[tuple[int, int, list[float]]], k:
                 for rows, exact in integers(pa.concat_arrays([part.column("embedding")]), scale):
                     if exact.shape[1] in by_length:
                         search_block(by_length[exact.shape[1]][1], part_ids[rows], exact, bits)
-        top = np.iinfo(np.int64)
         for nos, best in by_length.values():
-            rows = [(int(no), int(qid), i, min(max(s, top.min), top.max)) for no, qid, found in zip(nos, best.ids, best.found) for s, i in found]
+            rows = [(int(no), int(qid), i, s) for no, qid, found in zip(nos, best.ids, best.found) for s, i in found]
             for at in range(0, len(rows), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[at : at + 50_000])], names=HITS.names)
 
