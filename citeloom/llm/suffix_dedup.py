@@ -45,8 +45,8 @@ SPAN = LENGTH - SEED + 1  # SEED-grams of a window
 HALF = (LENGTH - SEED) // 2
 CHUNK = 1 << 17  # bytes whose anchors are found together
 PIECE = 1 << 18  # longer texts are read in pieces
-FLUSH = 8_000_000
-BUCKET = 8_000_000
+FLUSH = 3_000_000  # bytes of text whose entries a task packs together
+BUCKET = 3_000_000  # bytes of text for each bucket
 BATCH_ROWS = 64  # texts, or blobs of some 150 KB, that a Python worker holds at once
 ROWS = 4096  # segments aligned at once
 NONE = 2**63 - 1  # null doc_id
