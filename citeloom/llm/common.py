@@ -71,6 +71,15 @@ def materialize(df: DataFrame, label: str, batch_rows: int | None = None) -> Dat
     return out
 
 
+#: Rows that a table may have to be broadcast: of rows of up to some hundred bytes, a few ten MB.
+BROADCAST_ROWS = 200_000
+
+
+def if_small(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df, marked for broadcast if it has at most so many rows (counted unless given); a larger table is joined by a shuffle."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that materialize() wrote and nobody will read again."""
     for df in tables:

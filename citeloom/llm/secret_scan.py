@@ -27,7 +27,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import materialize, pack
+from citeloom.llm.common import if_small, materialize, pack
 
 
 class Rule(NamedTuple):
@@ -138,7 +138,7 @@ def digest(findings: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, replacement: str = "[SECRET]", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with every span that scan() finds replaced; overlapping spans become one. n_chars, where there is one, follows. Clean rows stay as they are."""
-    by_blob = scan(docs, [], ledger, rules).by_blob
+    by_blob = if_small(scan(docs, [], ledger, rules).by_blob)  # texts stay where they are, unless very many blobs have findings
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
