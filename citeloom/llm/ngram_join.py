@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import discard, materialize, pack
+from citeloom.llm.common import if_small, materialize, pack
 from citeloom.llm.graph import components
 from citeloom.llm.hashing import mix, shingle_sets
 
@@ -57,7 +57,6 @@ GROUP = 32  # largest group whose pairs may be expanded
 FLUSH = 8_000_000  # bytes of text whose signatures a task packs together
 BUCKET = 8_000_000  # bytes of text for each bucket
 BATCH_ROWS = 100  # texts, or blobs of some 100 KB, that a Python worker holds at once
-BROADCAST_ROWS = 200_000  # of (doc_id, text hash, set), some 10 MB; beyond, a shuffled join
 
 SIGNED = "kind int, bucket int, doc_id long, tkey long, sid long, n int, scheme int, least0 int, least1 int, blob binary"
 GROUPED = "kind int, doc_id long, tkey long, sid long, n int, scheme int, least0 int, least1 int, members array<long>, count int, hot int"
@@ -257,7 +256,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     x = sets.select(F.col("sid").alias("x"), F.col("shingles").alias("sx"))
     y = sets.select(F.col("sid").alias("y"), F.col("shingles").alias("sy"))
     common = F.size(F.array_intersect("sx", "sy")).cast("long")
-    both = pairs.select("x", "y").distinct().join(x, "x").join(y, "y").select("x", "y", common.alias("common"), (F.size("sx") + F.size("sy")).alias("total"))
+    both = if_small(materialize(pairs.select("x", "y").distinct(), "pairs")).join(x, "x").join(y, "y").select("x", "y", common.alias("common"), (F.size("sx") + F.size("sy")).alias("total"))
     return both.where(DEN * F.col("common") >= NUM * (F.col("total") - F.col("common"))).select("x", "y", "common")
 
 
@@ -307,36 +306,35 @@ def join(docs: DataFrame, width: int = WIDTH) -> Join:
     able = least.join(shared, "sid", "left").select("sid", "rep", "least", F.coalesce("shared", F.lit(0)).alias("shared"), F.coalesce("hot", F.lit(0)).alias("hot"))
     able = materialize(able.where("shared >= least or least <= 0"), "able")
 
-    wanted = able.select("sid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.tkey").alias("tkey"))
-    if able.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
+    n_able = able.count()
+    wanted = if_small(able.select("sid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.tkey").alias("tkey")), n_able)
     found = rows.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tkey") == F.col("w.tkey"))).select("sid", "text")
     sets = materialize(found.mapInArrow(_sets(width), "sid long, shingles array<long>").dropDuplicates(["sid"]), "sets", BATCH_ROWS)
 
     # groups of sets that are able to link
     lists = base.where(F.col("kind") == GROUP_ROW).groupBy("members").agg(F.sum("count").alias("count"))
-    flat = lists.select(F.xxhash64("members").alias("g"), "count", F.explode("members").alias("sid")).join(able.select("sid"), "sid", "left_semi")
+    flat = lists.select(F.xxhash64("members").alias("g"), "count", F.explode("members").alias("sid")).join(if_small(able.select("sid"), n_able), "sid", "left_semi")
     groups = materialize(flat.groupBy("g").agg(F.array_sort(F.collect_set("sid")).alias("members"), F.first("count").alias("count")).where(F.size("members") > 1), "groups")
     star = groups.select(F.element_at("members", 1).alias("x"), F.explode(F.slice("members", 2, GROUP)).alias("y"))
     # a large group's star gets its most typical member, that of the most widely shared signatures, as its centre
     met = base.where(F.col("kind") == STAR).select(F.element_at("members", 1).alias("x"), F.col("sid").alias("y")).distinct()
-    met = met.unionByName(met.select("x", F.col("x").alias("y")).distinct()).join(able.select(F.col("sid").alias("y"), "hot"), "y")
+    met = met.unionByName(met.select("x", F.col("x").alias("y")).distinct()).join(if_small(able.select(F.col("sid").alias("y"), "hot"), n_able), "y")
     centre = met.groupBy("x").agg(F.max_by("y", F.struct("hot", "y")).alias("centre"))
     far = met.join(centre, "x").where("y != centre").select(F.least("centre", "y").alias("x"), F.greatest("centre", "y").alias("y")).distinct()
     links = materialize(verified(star.unionByName(far), sets), "links")
     labels = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
 
     # pairs of different components with enough common signatures
-    named = groups.select("g", "count", F.explode("members").alias("sid")).join(labels.withColumnRenamed("node", "sid"), "sid", "left").join(able.select("sid", (F.col("least") - F.col("hot")).alias("needs")), "sid")
+    named = groups.select("g", "count", F.explode("members").alias("sid")).join(labels.withColumnRenamed("node", "sid"), "sid", "left").join(if_small(able.select("sid", (F.col("least") - F.col("hot")).alias("needs")), n_able), "sid")
     item = F.struct("sid", F.coalesce("label", "sid").alias("label"), "needs")
     mixed = named.groupBy("g").agg(F.collect_list(item).alias("items"), F.first("count").alias("count")).where(F.size(F.array_distinct(F.col("items.label"))) > 1)
     crossed = mixed.select("count", F.explode("items").alias("a"), "items").select("count", "a", F.explode("items").alias("b")).where("a.sid < b.sid and a.label != b.label")
     enough = crossed.groupBy(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).agg(F.sum("count").alias("count"), F.first(F.greatest("a.needs", "b.needs")).alias("needs")).where("count >= needs")
-    more = verified(enough, sets)
+    more = enough.select("x", "y")
     soft = able.where("hot >= least")
     if not soft.isEmpty():
-        more = more.unionByName(verified(soft_pairs(soft, sets, labels), sets))
-    more = materialize(more, "links")
+        more = more.unionByName(soft_pairs(soft, sets, labels))
+    more = materialize(verified(more, sets), "links")
     if not more.isEmpty():
         joined = labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(more.select(F.col("x").alias("u"), F.col("y").alias("v")))
         labels = components(joined)
@@ -356,9 +354,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = materialize(join(docs).members, "components")
     first = found.where("sid is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("first"))
     gone = found.join(first, "label").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey")))).select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey")).distinct()
-    gone = materialize(gone, "gone")
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
+    gone = if_small(materialize(gone, "gone"))
     row = pack(docs).withColumn("__k", F.xxhash64(F.coalesce(F.col("__row.text"), F.lit(""))))
     kept = row.join(gone, F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__tkey")), "left_anti")
     repeated = found.where("sid is not null").groupBy("doc_id", "tkey").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey"))
