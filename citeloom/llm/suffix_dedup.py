@@ -93,7 +93,7 @@ def anchors(b: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     new = np.concatenate([[True], (p[1:] != p[:-1]) | (starts[1:] != starts[:-1] + 1)])
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [len(p)]]) - 1
-    return p[first], starts[first], starts[last], h[p[first]]
+    return p[first], starts[first], starts[last], mix(h[p[first]])  # mixed anew: as the smallest of many, an anchor's own hash is small
 
 
 def entries(texts: list[bytes], docs: np.ndarray, tags: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
