@@ -68,12 +68,15 @@ class Scorer:
                         break
                     anchors.add(t)
                     rest -= w * w
-        self.anchor = re.compile("|".join(sorted(map(re.escape, anchors), key=len, reverse=True)))
+        self.anchors = sorted(anchors)
+
+    def anchored(self, low: str) -> bool:
+        return any(a in low for a in self.anchors)
 
     def score(self, segment: str) -> tuple[float, str, int] | None:
         """(cosine, template name, words) of a notice."""
         low = segment.lower()
-        if not self.anchor.search(low):
+        if not self.anchored(low):
             return None
         counts = Counter(TERM.findall(low))
         weights = {t: c * self.idf.get(t, self.unseen) for t, c in counts.items()}
@@ -85,6 +88,8 @@ class Scorer:
 
     def scan(self, text: str) -> tuple[str | None, float | None, int, float]:
         """(licence, cosine, notices, share of the words in notices)."""
+        if not self.anchored(text.lower()):  # then no line has an anchor either
+            return None, None, 0, 0.0
         lines = text.split("\n")
         hits = [h for h in map(self.score, lines) if h]
         if not hits:
