@@ -1,8 +1,9 @@
 """Operator 9: substring dedup by sliding sentence spans.
 
 A text is cut into sentences (up to and with `.`, `!`, `?` or a line break; the pieces make up the text again). From
-every sentence on, the shortest run of at least SENTENCES sentences and WORDS words, or one sentence of twice as
-many words, is a span; its hash covers the words only, lower-cased. Spans are joined globally by hash, and every
+every sentence on, and up to the end of every sentence, the shortest run of at least SENTENCES sentences and WORDS
+words, or one sentence of twice as many words, is a span; its hash covers the words only, lower-cased. The spans within
+a repeated run of that size cover it from its first sentence to its last. Spans are joined globally by hash, and every
 sentence that a span covers goes unless that span is the first of its hash, by doc_id, then text hash, then place.
 Spans of one text count as well, so a passage repeated in a text stays once.
 
@@ -55,8 +56,17 @@ def spans(text: str, least_sentences: int, least_words: int) -> tuple[int, np.nd
     n = len(parts)
     first = np.arange(n)
     end = np.maximum(np.searchsorted(at, at[:-1] + least_words), first + least_sentences)
-    end = np.where(np.diff(at) >= 2 * least_words, first + 1, end)
-    ok = (end <= n) & (np.diff(at) > 0)
+    long = np.diff(at) >= 2 * least_words
+    end = np.where(long, first + 1, end)
+    # the same backwards; runs that are the shortest from both sides are taken once
+    until = np.arange(1, n + 1)
+    since = np.minimum(np.searchsorted(at, at[1:] - least_words, side="right") - 1, until - least_sentences)
+    since = np.where(long, until - 1, since)
+    new = since >= 0
+    new[new] = end[since[new]] != until[new]
+    first, end = np.concatenate([first, since[new]]), np.concatenate([end, until[new]])
+    ok = end <= n
+    ok[ok] = np.diff(at)[first[ok]] > 0
     first, end = first[ok], end[ok]
     # a polynomial over the words, by prefix sums with the powers of an odd number and of its inverse
     m = len(hashes)

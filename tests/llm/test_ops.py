@@ -300,6 +300,23 @@ def test_sentence_spans(spark, docs):
     assert "".join(sentence_dedup.sentences(passage + "\n\n? x")) == passage + "\n\n? x"
 
 
+def test_sentence_spans_reach_the_end_of_a_passage(spark, docs):
+    def sentence(n, tag):
+        return " ".join(f"{tag}{i}" for i in range(n)) + ". "
+
+    copy = sentence(10, "a") + sentence(10, "b") + sentence(5, "c")
+    given = [(1, copy), (2, copy), (3, f"Other text. {copy}Own end."), (4, sentence(40, "d") + sentence(3, "e")), (5, sentence(40, "d") + sentence(3, "e"))]
+    got = {r["doc_id"]: (r["n_removed"], r["text"]) for r in sentence_dedup.dedup(docs(given)).collect()}
+    assert got == {1: (0, copy), 2: (3, ""), 3: (3, "Other text. Own end."), 4: (0, given[3][1]), 5: (2, "")}
+    r = random.Random(9)
+    for _ in range(200):  # every sentence of a text with a run of the size is in a run that needs nothing around the text
+        sizes = [r.choice([1, 3, 5, 8, 13, 20, 40]) for _ in range(r.randrange(1, 8))]
+        n, first, end, h = sentence_dedup.spans("".join(sentence(s, f"s{i}x") for i, s in enumerate(sizes)), 2, 16)
+        covered = {i for a, z in zip(first, end) for i in range(a, z)}
+        assert len(set(zip(first, end))) == len(first) == len(h)
+        assert covered == (set(range(n)) if n > 1 and sum(sizes) >= 16 or max(sizes) >= 32 else set())
+
+
 # 10
 
 
