@@ -347,6 +347,32 @@ def test_anchors_lose_nothing():
             assert scorer.score(t)[0] > 0.99
 
 
+def test_notices_among_other_words(spark):
+    other = [" ".join(f"w{r}x{i}" for i in range(40)) for r in range(200)]
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    gpl, ten = "This work is licensed under the GNU General Public License, version 3.", " ".join(f"q{i}" for i in range(10))
+    given = [
+        ("Copyright 2020 Example Ltd. All rights reserved. Released under the MIT License.", "MIT"),
+        (apache, "Apache-2.0"),
+        (mpl, "MPL-2.0"),
+        (f"{ten} {gpl}", "GPL-3.0"),
+        (f"{ten} Released under the MIT License.", "MIT"),
+        (f"{ten} Released under\n# the MIT License. {other[0]}", "MIT"),
+        (f"{other[1]} {apache} {other[2]}", "Apache-2.0"),
+        (f"{other[3]} under the new roof of the house {other[4]}", None),
+    ]
+    files = [(i, f"d{i}/x.py", t) for i, t in enumerate([g[0] for g in given] + other)]
+    got = {r["doc_id"]: (r["license"], r["n_notices"]) for r in license_scan.scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    assert [got[i][0] for i in range(len(given))] == [g[1] for g in given]
+    assert all(got[i] == (None, 0) for i in range(len(given), len(files)))
+    scorer = license_scan.Scorer(license_scan.TEMPLATES, {"the": 900, "license": 30}, 1000, license_scan.THRESHOLD)
+    for name, ts in license_scan.TEMPLATES.items():
+        for t in ts:
+            assert scorer.scan(f"{other[5]} {t} {other[6]}")[0] == name and scorer.scan("\n".join(t.split()))[3] == 1.0
+    assert scorer.scan(f"{other[5]}\nReleased under the MIT License.\n{gpl}")[2] == 2
+
+
 # queries
 
 
