@@ -10,7 +10,8 @@ diagonals (text position - unit position) that differ by at most k.
    of the class's length counts fewer of them than the lemma asks are out.
 2. The other hits are counted in overlapping diagonal bands of twice the class's largest k, each hit in two bands, so
    the hits of one occurrence always meet in one band. Bands below the unit's bound are out.
-3. The regions of the remaining bands are verified by a banded alignment with free text ends.
+3. The regions of the remaining bands, cut at the ends of texts, are verified by a banded alignment with free text
+   ends, again beside each occurrence until nothing more is found.
 
 Neighbouring occurrences of an item's units are reported as one span of the original text in code points.
 
@@ -25,6 +26,7 @@ its rows; empty tables: no rows; extra columns are ignored (keep_clean() passes
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -167,6 +169,23 @@ def occurrence(u: Unit, text: np.ndarray) -> tuple[int, int, int] | None:
     return edits, end - back[1], end
 
 
+def occurrences(u: Unit, joined: np.ndarray, a: int, z: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(start, end, edits) of the occurrences between a and z that overlap those in taken by at most k places; they are added to it."""
+    gaps = [(a, z)]
+    for s, e in taken:
+        gaps = [g for b, c in gaps for g in ([(b, min(c, s + u.k)), (max(b, e - u.k), c)] if s < c and b < e else [(b, c)])]
+    while gaps:
+        b, c = gaps.pop()
+        if c - b < len(u.codes) - u.k:
+            continue
+        hit = occurrence(u, joined[b:c])
+        if hit:
+            s, e = b + hit[1], b + hit[2]
+            taken.append((s, e))
+            yield s, e, hit[0]
+            gaps += [(b, min(c, s + u.k)), (max(b, e - u.k), c)]
+
+
 def bands(ix: Index, codes: np.ndarray, q: int) -> Iterator[tuple[int, int, int]]:
     """(unit, smallest diagonal, band width) of every band that passes the filter."""
     h = gram_hashes(codes, q)
@@ -227,17 +246,16 @@ def spans(ix: Index, texts: list[str | None], q: int = Q) -> Iterator[tuple[int,
             upto += 1
         joined = np.concatenate([x for codes, _ in parts for x in (codes, [BREAK])])
         found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
-        taken: dict[int, list[tuple[int, int]]] = {}
+        taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for u, low, width in bands(ix, joined, q):
             one = ix.units[u]
             a, z = max(0, low - one.k), min(len(joined), low + width + len(one.codes) + one.k)
-            if any(s < z and a < e and min(e, z) - max(s, a) >= len(one.codes) - one.k for s, e in taken.get(u, ())):
-                continue  # the other band of an occurrence already verified
-            hit = occurrence(one, joined[a:z])
-            if hit:
-                taken.setdefault(u, []).append((a + hit[1], a + hit[2]))
-                text = int(np.searchsorted(offsets, a + hit[1], side="right")) - 1
-                found.setdefault((text, one.item), []).append((a + hit[1] - offsets[text], a + hit[2] - offsets[text], hit[0]))
+            text = bisect_right(offsets, a) - 1
+            while text < len(parts) and offsets[text] < z:
+                begin, stop = offsets[text], offsets[text + 1] - 1
+                for s, e, edits in occurrences(one, joined, max(a, begin), min(z, stop), taken.setdefault((u, text), [])):
+                    found.setdefault((text, one.item), []).append((s - begin, e - begin, edits))
+                text += 1
         for (text, item), hits in sorted(found.items()):
             places = parts[text][1]
             hits.sort()

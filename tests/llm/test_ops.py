@@ -221,6 +221,18 @@ def test_benchmark_items_are_found(spark, docs):
     assert decontaminate.find(given, bench.limit(0)).count() == 0
 
 
+def test_neighbouring_texts_and_occurrences_are_all_found():
+    r = random.Random(6)
+    letters = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    for m in (24, 32, 45):
+        item = letters(m)
+        ix = decontaminate.index([(1, item), (2, letters(200))])
+        edited = item[:11] + "z" + item[12:]
+        texts = [item, edited, item, letters(30), edited, edited, item, item[: m // 2], item[m // 2 :]]
+        assert sorted((t, i, e) for t, i, _, _, _, e in decontaminate.spans(ix, texts)) == [(0, 0, 0), (1, 0, 1), (2, 0, 0), (4, 0, 1), (5, 0, 1), (6, 0, 0)]
+        assert [s[2:5] for s in decontaminate.spans(ix, [f"{item}. {edited}. {item}"])] == [(0, 3 * m + 4, 3)]
+
+
 # 7
 
 SECRETS = [
