@@ -4,7 +4,8 @@ Texts and benchmark items are compared as lower-case code points with every run
 item is cut into units of at most UNIT characters that overlap by half, so a passage that holds a good part of an
 item is found too; a shorter item is one unit. A unit of m characters occurs in a text with at most
 k = RATE * m edits only if, by the q-gram lemma, at least m + 1 - q (k + 1) of its q-grams occur in the text on
-diagonals (text position - unit position) that differ by at most k.
+diagonals (text position - unit position) that differ by at most k. Where that is less than one (with the default
+values: units of 30 or 31 characters, k = 3), one q-gram is asked for, so edits that leave none are not found.
 
 1. A table of bits says for each q-gram of a text whether any unit of a length class has it; places whose window
    of the class's length counts fewer of them than the lemma asks are out.
@@ -117,8 +118,8 @@ def index(items: list[tuple[int | None, str | None]], q: int = Q, rate: float =
         starts = [0] if len(codes) <= unit else [*range(0, len(codes) - unit, unit // 2), len(codes) - unit]
         for s in starts:
             part = codes[s : s + unit]
-            k = max(0, min(int(rate * len(part)), (4 * len(part) // 5 + 1) // q - 1))  # leaves a bound of a fifth of the unit's length
-            units.append(Unit(n, part, k, len(part) + 1 - q * (k + 1)))
+            k = int(rate * len(part))
+            units.append(Unit(n, part, k, max(1, len(part) + 1 - q * (k + 1))))
     bounds = [LEAST, 60, 100, 140, 170, unit + 1]
     table, classes, grams, owner, place = np.zeros(1 << TABLE_BITS, np.uint8), [], [], [], []
     for a, z in zip(bounds[:-1], bounds[1:]):
@@ -169,21 +170,25 @@ def occurrence(u: Unit, text: np.ndarray) -> tuple[int, int, int] | None:
     return edits, end - back[1], end
 
 
-def occurrences(u: Unit, joined: np.ndarray, a: int, z: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
-    """(start, end, edits) of the occurrences between a and z that overlap those in taken by at most k places; they are added to it."""
-    gaps = [(a, z)]
+def occurrences(u: Unit, joined: np.ndarray, a: int, z: int, begin: int, stop: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(start, end, edits) of the occurrences between a and z in the text from begin to stop that overlap those in taken by at most k places; they are added to it."""
+    m, k = len(u.codes), u.k
+    gaps = [(begin, stop)]
     for s, e in taken:
-        gaps = [g for b, c in gaps for g in ([(b, min(c, s + u.k)), (max(b, e - u.k), c)] if s < c and b < e else [(b, c)])]
+        if s < z + m and a - m < e:
+            gaps = [g for b, c in gaps for g in ([(b, min(c, s + k)), (max(b, e - k), c)] if s < c and b < e else [(b, c)])]
     while gaps:
         b, c = gaps.pop()
-        if c - b < len(u.codes) - u.k:
-            continue
-        hit = occurrence(u, joined[b:c])
+        low, high = max(a, b), min(z, c)
+        hit = occurrence(u, joined[low:high]) if high - low >= m - k else None
+        if hit and hit[0]:  # the region may hold a part of it only
+            low, high = max(b, low + hit[1] - k), min(c, low + hit[2] + k)
+            hit = occurrence(u, joined[low:high])
         if hit:
-            s, e = b + hit[1], b + hit[2]
+            s, e = low + hit[1], low + hit[2]
             taken.append((s, e))
             yield s, e, hit[0]
-            gaps += [(b, min(c, s + u.k)), (max(b, e - u.k), c)]
+            gaps += [(b, min(c, s + k)), (max(b, e - k), c)]
 
 
 def bands(ix: Index, codes: np.ndarray, q: int) -> Iterator[tuple[int, int, int]]:
@@ -253,7 +258,7 @@ def spans(ix: Index, texts: list[str | None], q: int = Q) -> Iterator[tuple[int,
             text = bisect_right(offsets, a) - 1
             while text < len(parts) and offsets[text] < z:
                 begin, stop = offsets[text], offsets[text + 1] - 1
-                for s, e, edits in occurrences(one, joined, max(a, begin), min(z, stop), taken.setdefault((u, text), [])):
+                for s, e, edits in occurrences(one, joined, a, z, begin, stop, taken.setdefault((u, text), [])):
                     found.setdefault((text, one.item), []).append((s - begin, e - begin, edits))
                 text += 1
         for (text, item), hits in sorted(found.items()):

@@ -233,6 +233,21 @@ def test_neighbouring_texts_and_occurrences_are_all_found():
         assert [s[2:5] for s in decontaminate.spans(ix, [f"{item}. {edited}. {item}"])] == [(0, 3 * m + 4, 3)]
 
 
+def test_edits_up_to_the_budget():
+    r = random.Random(8)
+    letters = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    for m in (24, 32, 40, 81, 99, 100, 160, 200):
+        item, most = letters(m), m // 10
+        ix = decontaminate.index([(1, item)])
+        assert [u.k for u in ix.units] == [most]
+        for n in (most, most + 1):
+            edited = list(item)
+            for p in [(2 * i + 1) * m // (2 * n) for i in range(n)]:  # evenly, which leaves the fewest q-grams
+                edited[p] = "z"
+            found = [s[5] for s in decontaminate.spans(ix, [letters(50) + "".join(edited) + letters(50)])]
+            assert found == ([n] if n == most else []), m
+
+
 # 7
 
 SECRETS = [
