@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
+import pyarrow as pa
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +43,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where it is unset and all run on one machine (tests)."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = f"file://{tempfile.mkdtemp(prefix='citeloom-')}"
@@ -68,9 +77,63 @@ def materialize(df: DataFrame, label: str, batch_rows: int | None = None) -> Dat
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out._citeloom_path = path
+    if (held := _scratch.get()) is not None:
+        held.append(out)
     return out
 
 
+_scratch: ContextVar[list[DataFrame] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """The tables that are materialized within the block are deleted at its end, also on failure, but for those given to the function that it yields; an outer block deletes these."""
+    held: list[DataFrame] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._citeloom_path)
+        return df
+
+    token = _scratch.set(held)
+    try:
+        yield keep
+    except BaseException:
+        kept.clear()
+        raise
+    finally:
+        _scratch.reset(token)
+        discard(*[df for df in held if df._citeloom_path not in kept])
+        if (outer := _scratch.get()) is not None:
+            outer += [df for df in held if df._citeloom_path in kept]
+
+
+def trim() -> None:
+    """In a Python worker: hand freed memory back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+#: Texts that a Python worker is handed at once where only a narrow result is wanted back.
+TEXT_ROWS = 256
+
+
+def text_key(text: str = "text") -> Column:
+    """With doc_id, what a row is known by: rows that agree in both are given equal results."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """docs but the rows that gone (doc_id, tkey; a written table) lists. Texts stay where they are unless it lists very many."""
+    gone = if_small(gone.select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey")).distinct())
+    row = pack(docs).withColumn("__k", text_key("__row.text"))
+    kept = row.join(gone, F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__tkey")), "left_anti")
+    return kept.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
+
+
 #: Rows that a table may have to be broadcast: of rows of up to some hundred bytes, a few ten MB.
 BROADCAST_ROWS = 200_000
 

@@ -2,10 +2,11 @@
 
 Texts and benchmark items are compared as lower-case code points with every run of white space as one space. A long
 item is cut into units of at most UNIT characters that overlap by half, so a passage that holds a good part of an
-item is found too; a shorter item is one unit. A unit of m characters occurs in a text with at most
-k = RATE * m edits only if, by the q-gram lemma, at least m + 1 - q (k + 1) of its q-grams occur in the text on
-diagonals (text position - unit position) that differ by at most k. Where that is less than one (with the default
-values: units of 30 or 31 characters, k = 3), one q-gram is asked for, so edits that leave none are not found.
+item is found too; a shorter item is one unit. An occurrence of a unit of m characters is a piece of one text within
+k = floor(RATE * m) edits of it. By the q-gram lemma it shares at least m + 1 - q (k + 1) q-grams with the unit on
+diagonals (text position - unit position) that differ by at most k. q is the largest of LENGTHS that leaves a bound
+of at least one, so the filter loses no occurrence of any length: 8 for most units, 4 for some of up to 31 characters.
+Units without edits (under 10 characters) are looked for as they are.
 
 1. A table of bits says for each q-gram of a text whether any unit of a length class has it; places whose window
    of the class's length counts fewer of them than the lemma asks are out.
@@ -14,15 +15,18 @@ values: units of 30 or 31 characters, k = 3), one q-gram is asked for, so edits
 3. The regions of the remaining bands, cut at the ends of texts, are verified by a banded alignment with free text
    ends, again beside each occurrence until nothing more is found.
 
+An item of fewer than WHOLE characters counts only between word borders, so that `art` isn't found in `part`.
 Neighbouring occurrences of an item's units are reported as one span of the original text in code points.
 
 Execution: the benchmark is read in chunks of at most CHUNK characters; a chunk's q-gram index, of a size that this
-bounds, is shipped to the tasks, which scan whole texts; no shuffle. More than one chunk: one scan each, and the
-results are united.
-
-Defined cases: null or empty text: no occurrence; null or empty item, or one of fewer than LEAST characters after
-normalisation: too short to tell, never reported; null item_id: reported as null; repeated items or rows: each gets
-its rows; empty tables: no rows; extra columns are ignored (keep_clean() passes them on).
+bounds, is shipped to the tasks, which scan whole texts; no shuffle. More than one chunk: one scan each, whose hits
+are written before the next, and the results are united. keep_clean() takes only the keys of the rows that go back
+from Python and leaves texts where they are.
+
+Defined cases: null or empty text: no occurrence; null or blank item: none either; null item_id: reported as null;
+very long texts: scanned whole, each as a block of its own; an occurrence never spans two texts, whichever rows a task
+holds; of overlapping occurrences of one unit any set that leaves no gap is reported (as one span); repeated items or
+rows: each gets its rows; empty tables: no rows; extra columns are ignored (keep_clean() passes them on).
 """
 
 from __future__ import annotations
@@ -37,12 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import free_name
+from citeloom.llm.common import TEXT_ROWS, materialize, scratch, text_key, trim, without
 
-Q = 8
+LENGTHS = (8, 4, 2, 1)  # of q-grams
 RATE = 0.1
 UNIT = 200  # at most 255: a place in a unit is packed into 8 bits
-LEAST = 24
+WHOLE = 24
 CHUNK = 2_000_000
 BLOCK = 100_000  # characters of text scanned together; their arrays fit into a core's cache
 TABLE_BITS = 22
@@ -94,36 +98,39 @@ class Unit(NamedTuple):
     item: int
     codes: np.ndarray
     k: int
+    q: int  # 0: looked for as it is
     least: int  # q-grams shared by the lemma
+    bordered: bool
 
 
-class Index(NamedTuple):
-    item_ids: list
-    units: list[Unit]
+class Grams(NamedTuple):
+    """The units that are filtered by q-grams of one length."""
+
+    q: int
     table: np.ndarray  # bit c: some unit of class c has a q-gram with this hash prefix
     classes: list[tuple[int, int, int]]  # (window, least, largest k)
-    grams: np.ndarray  # sorted hashes, with the unit and the place in it
+    hashes: np.ndarray  # sorted, with the unit and the place in it
     owner: np.ndarray
     place: np.ndarray
 
 
-def index(items: list[tuple[int | None, str | None]], q: int = Q, rate: float = RATE, unit: int = UNIT) -> Index:
-    units: list[Unit] = []
-    for n, (_, text) in enumerate(items):
-        codes = normalised(text or "")[0]
-        codes = codes[1:] if len(codes) and codes[0] == 32 else codes
-        codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
-        if len(codes) < LEAST:
-            continue
-        starts = [0] if len(codes) <= unit else [*range(0, len(codes) - unit, unit // 2), len(codes) - unit]
-        for s in starts:
-            part = codes[s : s + unit]
-            k = int(rate * len(part))
-            units.append(Unit(n, part, k, max(1, len(part) + 1 - q * (k + 1))))
-    bounds = [LEAST, 60, 100, 140, 170, unit + 1]
-    table, classes, grams, owner, place = np.zeros(1 << TABLE_BITS, np.uint8), [], [], [], []
+class Index(NamedTuple):
+    item_ids: list
+    units: list[Unit]
+    grams: list[Grams]
+
+
+def unit_of(item: int, codes: np.ndarray, rate: float, bordered: bool) -> Unit:
+    k = int(rate * len(codes))
+    q = next(x for x in LENGTHS if len(codes) + 1 - x * (k + 1) >= 1) if k else 0
+    return Unit(item, codes, k, q, len(codes) + 1 - q * (k + 1), bordered)
+
+
+def grams_of(units: list[Unit], q: int, unit: int) -> Grams:
+    bounds = [0, 60, 100, 140, 170, unit + 1]
+    table, classes, hashes, owner, place = np.zeros(1 << TABLE_BITS, np.uint8), [], [], [], []
     for a, z in zip(bounds[:-1], bounds[1:]):
-        mine = [u for u in units if a <= len(u.codes) < z]
+        mine = [u for u in units if u.q == q and a <= len(u.codes) < z]
         if not mine:
             continue
         bit = np.uint8(1 << len(classes))
@@ -131,29 +138,49 @@ def index(items: list[tuple[int | None, str | None]], q: int = Q, rate: float =
         for u in mine:
             table[gram_hashes(u.codes, q) >> np.uint64(64 - TABLE_BITS)] |= bit
     for n, u in enumerate(units):
-        h = gram_hashes(u.codes, q)
-        grams.append(h), owner.append(np.full(len(h), n)), place.append(np.arange(len(h)))
-    if not units:
-        return Index([i for i, _ in items], [], table, [], np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
-    g, o, p = np.concatenate(grams), np.concatenate(owner), np.concatenate(place)
+        if u.q == q:
+            h = gram_hashes(u.codes, q)
+            hashes.append(h), owner.append(np.full(len(h), n)), place.append(np.arange(len(h)))
+    g, o, p = np.concatenate(hashes), np.concatenate(owner), np.concatenate(place)
     order = np.argsort(g, kind="stable")
-    return Index([i for i, _ in items], units, table, classes, g[order], o[order], p[order])
+    return Grams(q, table, classes, g[order], o[order], p[order])
+
+
+def index(items: list[tuple[int | None, str | None]], rate: float = RATE, unit: int = UNIT) -> Index:
+    if not 0 <= rate < 1:
+        raise ValueError("rate must be at least 0 and less than 1")
+    units: list[Unit] = []
+    for n, (_, text) in enumerate(items):
+        codes = normalised(text or "")[0]
+        codes = codes[1:] if len(codes) and codes[0] == 32 else codes
+        codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
+        if len(codes):
+            starts = [0] if len(codes) <= unit else [*range(0, len(codes) - unit, unit // 2), len(codes) - unit]
+            units += [unit_of(n, codes[s : s + unit], rate, len(codes) < WHOLE) for s in starts]
+    return Index([i for i, _ in items], units, [grams_of(units, q, unit) for q in LENGTHS if any(u.q == q for u in units)])
 
 
 def align(pattern: np.ndarray, text: np.ndarray, k: int) -> tuple[int, int] | None:
-    """(edits, end in text) of the best occurrence of pattern within text with at most k edits, free text ends; the row of the table is kept for the whole band of the region."""
-    n = len(text)
-    row = np.zeros(n + 1, np.int32)
-    steps = np.arange(n + 1, dtype=np.int32)
+    """(edits, end in text) of the best occurrence of pattern within text with at most k edits, free text ends.
+
+    Only the diagonals on which such an occurrence can lie are computed: len(text) - len(pattern) + 2 k + 1 of them.
+    """
+    m, n = len(pattern), len(text)
+    width = n - m + 2 * k + 1
+    if width < 1:
+        return None
+    edge = np.full(k, -1, text.dtype)  # equals nothing
+    padded = np.concatenate([edge, text, edge])
+    row = np.zeros(width, np.int32)
+    steps = np.arange(width, dtype=np.int32)
     for i, c in enumerate(pattern.tolist()):
-        new = np.empty(n + 1, np.int32)
-        new[0] = i + 1
-        np.minimum(row[:-1] + (text != c), row[1:] + 1, out=new[1:])
+        new = row + (padded[i : i + width] != c)
+        np.minimum(new[:-1], row[1:] + 1, out=new[:-1])
         row = np.minimum.accumulate(new - steps) + steps  # insertions along the row
         if row.min() > k:
             return None
     end = int(row.argmin())
-    return int(row[end]), end
+    return int(row[end]), min(max(end + m - k, 0), n)
 
 
 def occurrence(u: Unit, text: np.ndarray) -> tuple[int, int, int] | None:
@@ -162,8 +189,8 @@ def occurrence(u: Unit, text: np.ndarray) -> tuple[int, int, int] | None:
     at = text.tobytes().find(u.codes.tobytes())
     if at >= 0 and at % width == 0:  # the alignment without edits
         return 0, at // width, at // width + len(u.codes)
-    found = align(u.codes, text, u.k)
-    if found is None or found[0] > u.k:
+    found = align(u.codes, text, u.k) if u.k else None
+    if found is None:
         return None
     edits, end = found
     back = align(u.codes[::-1], text[:end][::-1], u.k)
@@ -191,10 +218,10 @@ def occurrences(u: Unit, joined: np.ndarray, a: int, z: int, begin: int, stop: i
             gaps += [(b, min(c, s + k)), (max(b, e - k), c)]
 
 
-def bands(ix: Index, codes: np.ndarray, q: int) -> Iterator[tuple[int, int, int]]:
+def bands(ix: Grams, units: list[Unit], codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(unit, smallest diagonal, band width) of every band that passes the filter."""
-    h = gram_hashes(codes, q)
-    if not len(h) or not ix.units:
+    h = gram_hashes(codes, ix.q)
+    if not len(h):
         return
     bits = ix.table[h >> np.uint64(64 - TABLE_BITS)]
     alive = np.zeros(len(h), bool)
@@ -212,7 +239,7 @@ def bands(ix: Index, codes: np.ndarray, q: int) -> Iterator[tuple[int, int, int]
             np.add.at(cover, full + span, -1)
             alive |= np.repeat(np.cumsum(cover[:-1]) > 0, RUN)[: len(h)] & (hit > 0)
     at = np.flatnonzero(alive)
-    left, right = np.searchsorted(ix.grams, h[at]), np.searchsorted(ix.grams, h[at], side="right")
+    left, right = np.searchsorted(ix.hashes, h[at]), np.searchsorted(ix.hashes, h[at], side="right")
     counts = right - left
     if not counts.sum():
         return
@@ -223,7 +250,7 @@ def bands(ix: Index, codes: np.ndarray, q: int) -> Iterator[tuple[int, int, int]
     band = (diagonal + UNIT) // width
     key = unit * (len(codes) + 2 * UNIT) + band + 1  # so that a band before the first has a number
     key = np.concatenate([key, key - 1])
-    least = np.array([u.least for u in ix.units])
+    least = np.array([u.least for u in units])
     stride = len(codes) + 2 * UNIT
     keys, n = np.unique(key, return_counts=True)
     high = keys[n >= least[keys // stride]]
@@ -238,7 +265,21 @@ def bands(ix: Index, codes: np.ndarray, q: int) -> Iterator[tuple[int, int, int]
         yield u, (b - 1) * width - UNIT, 2 * width
 
 
-def spans(ix: Index, texts: list[str | None], q: int = Q) -> Iterator[tuple[int, int, int, int, int, int]]:
+def unedited(u: Unit, codes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of every place of codes with the unit as it is."""
+    width, pattern, data = codes.itemsize, u.codes.tobytes(), codes.tobytes()
+    at = data.find(pattern)
+    while at >= 0:
+        if at % width == 0:
+            yield at // width, at // width + len(u.codes)
+        at = data.find(pattern, at + 1)
+
+
+def between_borders(codes: np.ndarray, s: int, e: int) -> bool:
+    return not (s and chr(codes[s - 1]).isalnum() and chr(codes[s]).isalnum()) and not (e < len(codes) and chr(codes[e]).isalnum() and chr(codes[e - 1]).isalnum())
+
+
+def spans(ix: Index, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(text, item, start, end, units, edits) of every occurrence, the places in code points of the original text."""
     at = 0
     while at < len(texts):
@@ -249,18 +290,29 @@ def spans(ix: Index, texts: list[str | None], q: int = Q) -> Iterator[tuple[int,
             size += len(codes) + 1
             offsets.append(size)
             upto += 1
-        joined = np.concatenate([x for codes, _ in parts for x in (codes, [BREAK])])
+        joined = np.concatenate([x for codes, _ in parts for x in (codes, np.array([BREAK], np.int32))])
         found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         taken: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for u, low, width in bands(ix, joined, q):
-            one = ix.units[u]
-            a, z = max(0, low - one.k), min(len(joined), low + width + len(one.codes) + one.k)
-            text = bisect_right(offsets, a) - 1
-            while text < len(parts) and offsets[text] < z:
-                begin, stop = offsets[text], offsets[text + 1] - 1
-                for s, e, edits in occurrences(one, joined, a, z, begin, stop, taken.setdefault((u, text), [])):
-                    found.setdefault((text, one.item), []).append((s - begin, e - begin, edits))
-                text += 1
+
+        def add(one: Unit, text: int, s: int, e: int, edits: int) -> None:
+            if not one.bordered or between_borders(parts[text][0], s, e):
+                found.setdefault((text, one.item), []).append((s, e, edits))
+
+        for one in ix.units:
+            if not one.q:
+                for s, e in unedited(one, joined):
+                    text = bisect_right(offsets, s) - 1
+                    add(one, text, s - offsets[text], e - offsets[text], 0)
+        for grams in ix.grams:
+            for u, low, width in bands(grams, ix.units, joined):
+                one = ix.units[u]
+                a, z = max(0, low - one.k), min(len(joined), low + width + len(one.codes) + one.k)
+                text = bisect_right(offsets, a) - 1
+                while text < len(parts) and offsets[text] < z:
+                    begin, stop = offsets[text], offsets[text + 1] - 1
+                    for s, e, edits in occurrences(one, joined, a, z, begin, stop, taken.setdefault((u, text), [])):
+                        add(one, text, s - begin, e - begin, edits)
+                    text += 1
         for (text, item), hits in sorted(found.items()):
             places = parts[text][1]
             hits.sort()
@@ -287,39 +339,43 @@ def chunks(benchmark: DataFrame, most: int) -> Iterator[list[tuple[int | None, s
         yield held
 
 
-def find(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, chunk: int = CHUNK) -> DataFrame:
-    """One row for each span of docs that holds an item: doc_id, item_id, start, end, n_units, edits."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    out = None
-    for items in chunks(benchmark, chunk):
-        shipped = docs.sparkSession.sparkContext.broadcast(index(items, q, rate))
+def search(docs: DataFrame, benchmark: DataFrame, rate: float, chunk: int) -> DataFrame:
+    """doc_id, tkey (of the text), item_id, start, end, n_units, edits."""
+    rows = docs.select(F.col("doc_id").cast("long"), text_key().alias("tkey"), F.col("text").cast("string"))
+    schema = f"tkey long, {SPANS}"
+    out, todo = None, chunks(benchmark, chunk)
+    items, after = next(todo, None), None
+    while items is not None:
+        after = next(todo, None)
+        shipped = docs.sparkSession.sparkContext.broadcast(index(items, rate))
 
         def scan(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
             ix = shipped.value
             for b in batches:
-                ids = b.column("doc_id").to_pylist()
-                hits = [(ids[t], ix.item_ids[i], *rest) for t, i, *rest in spans(ix, b.column("text").to_pylist(), q)]
+                ids, keys = b.column("doc_id"), b.column("tkey")
+                hits = [(keys[t].as_py(), ids[t].as_py(), ix.item_ids[i], *rest) for t, i, *rest in spans(ix, b.column("text").to_pylist())]
                 if hits:
-                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*hits), types)], names=["doc_id", "item_id", "start", "end", "n_units", "edits"])
-
-        part = rows.mapInArrow(scan, SPANS)
+                    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*hits), types)], names=["tkey", "doc_id", "item_id", "start", "end", "n_units", "edits"])
+            trim()
+
+        part = rows.mapInArrow(scan, schema)
+        if after is not None or out is not None:  # of many chunks one index at a time is held
+            part = materialize(part, "occurrences", TEXT_ROWS)
+            shipped.unpersist()
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], SPANS)
+        items = after
+    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, chunk: int = CHUNK) -> DataFrame:
-    """docs without the rows that hold a benchmark item."""
-    columns = docs.columns
-    helper = free_name(columns, "__text")
-    for items in chunks(benchmark, chunk):
-        shipped = docs.sparkSession.sparkContext.broadcast(index(items, q, rate))
+def find(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, chunk: int = CHUNK) -> DataFrame:
+    """One row for each span of docs that holds an item: doc_id, item_id, start, end, n_units, edits."""
+    return search(docs, benchmark, rate, chunk).drop("tkey")
 
-        def scan(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                dirty = {t for t, *_ in spans(shipped.value, b.column(helper).to_pylist(), q)}
-                keep = pa.array([i for i in range(b.num_rows) if i not in dirty], pa.int64())
-                yield b.take(keep).select(columns)
 
-        docs = docs.withColumn(helper, F.col("text").cast("string")).mapInArrow(scan, docs.schema)
-    return docs
+def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, chunk: int = CHUNK, least: int = WHOLE) -> DataFrame:
+    """docs without the rows that hold a benchmark item of at least `least` characters; a row isn't given up for a few words that any text may have."""
+    items = benchmark.where(F.length(F.trim(F.regexp_replace(F.col("text").cast("string"), r"\s+", " "))) >= least)
+    with scratch() as keep:
+        gone = keep(materialize(search(docs, items, rate, chunk).select("doc_id", "tkey"), "contaminated", TEXT_ROWS))
+    return without(docs, gone)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import free_name
+from citeloom.llm.common import TEXT_ROWS, free_name, materialize, text_key, trim, without
 
 SIZE = 300
 SAMPLE = 2000
@@ -149,6 +149,7 @@ def identify(docs: DataFrame, profiles: Profiles | None = None, keep: tuple[str,
         for b in batches:
             found = [classify(t.as_py(), profiles) for t in b.column(helper)]
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*keep, "lang_pred", "score"])
+        trim()
 
     return docs.select(*keep, F.col("text").cast("string").alias(helper)).mapInArrow(predict, schema)
 
@@ -159,7 +160,8 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def reject_undetermined(docs: DataFrame, profiles: Profiles | None = None) -> DataFrame:
-    """The rows of docs whose language can be told; the others (null text, no letters) are rejected."""
+    """The rows of docs whose language can be told; the others (null text, no letters) are rejected. Only keys of rejected rows come back from Python."""
     profiles = profiles or learn(docs)
-    columns = docs.columns
-    return identify(docs, profiles, tuple(columns)).where(F.col("lang_pred") != UNDETERMINED).select(*columns)
+    keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_key().alias("tkey"))
+    gone = identify(keyed, profiles, ("doc_id", "tkey")).where(F.col("lang_pred") == UNDETERMINED).select("doc_id", "tkey")
+    return without(docs, materialize(gone, "undetermined", TEXT_ROWS))
