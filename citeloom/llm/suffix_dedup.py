@@ -9,7 +9,8 @@ all data. So the collection is first cut into short strings that hold every stri
 1. Anchors. The anchor of a window of LENGTH bytes is its leftmost smallest SEED-gram by hash, so equal windows have
    equal anchors at equal offsets. An anchor's windows are consecutive; together they are its segment, of at most
    2 LENGTH - SEED bytes. All occurrences of an anchor meet in one bucket, known by hashes of 8 or 5 bytes.
-2. Equal segments. All but those of the smallest doc_id are removed whole.
+2. Equal segments. All but those of the smallest doc_id are removed whole, first among the texts that a task packs
+   together, before anything is shuffled, so a passage that very many texts hold leaves each pack once.
 3. Of the rest, only segments that share the SEED-gram and half of the rest of a window, on either side, with another
    document can share a window. Their bytes are fetched.
 4. Column-wise construction. The segments of a bucket, aligned at their anchors, are one collection. A round inserts one
@@ -23,7 +24,9 @@ buckets follows the input's bytes) and a machine's own disk is no place for them
 
 Defined cases: null text is empty; a text shorter than LENGTH is kept; null doc_id is larger than any other, and null is
 not smaller than null; rows with equal doc_id don't remove from each other; rows with equal doc_id and text give equal
-results; empty table: no rows; extra columns are ignored. Segment hashes of 64 bits stand for equality.
+results; very long texts are read in pieces of PIECE bytes that overlap by a window less one; empty table: no rows; extra
+columns are ignored. A row is known by doc_id, whether that is null, and 63 bits of a hash of its text. Segment hashes of
+64 bits stand for equality.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import materialize
+from citeloom.llm.common import materialize, scratch, trim
 from citeloom.llm.hashing import mix
 
 LENGTH = 50
@@ -56,10 +59,12 @@ _BYTE = np.random.Generator(np.random.PCG64(77)).integers(0, 2**64, 256, dtype=n
 _POWER = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.repeat(_MULT[7:8], 2 * PIECE)]))
 _BACK = np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(2 * PIECE, pow(int(_MULT[7]), -1, 1 << 64), np.uint64)]))
 
-ENTRY = np.dtype([("ctx", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("t", "<u2"), ("l4", "<u4"), ("l1", "u1"), ("r4", "<u4"), ("r1", "u1"), ("anchor", "u1"), ("more", "u1")])
-SEGMENT = np.dtype([("doc", "<i8"), ("start", "<u4"), ("t", "<u2"), ("anchor", "u1"), ("more", "u1"), ("bytes", "u1", (LENGTH + SPAN - 1,))])
-RANGES = "kind int, doc long, t int, start long, anchor int, more int"
+ENTRY = np.dtype([("ctx", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("t", "<i8"), ("l4", "<u4"), ("l1", "u1"), ("r4", "<u4"), ("r1", "u1"), ("anchor", "u1"), ("more", "u1")])
+SEGMENT = np.dtype([("doc", "<i8"), ("start", "<u4"), ("t", "<i8"), ("anchor", "u1"), ("more", "u1"), ("bytes", "u1", (LENGTH + SPAN - 1,))])
+RANGE = np.dtype([("doc", "<i8"), ("t", "<i8"), ("start", "<u4"), ("more", "u1")])
+RANGES = "kind int, doc long, t long, start long, anchor int, more int"
 REMOVED, WANTED = 0, 1
+DEALT = "bucket long, blob binary"
 
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
@@ -126,14 +131,47 @@ def entries(texts: list[bytes], docs: np.ndarray, tags: np.ndarray, offsets: np.
 
 def split(records: np.ndarray, h: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Rows (bucket, blob) of records dealt by the hashes h; a blob holds its columns one after the other."""
-    bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    records, at = records[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
-    used = [i for i in range(buckets) if at[i] < at[i + 1]]
-    for a in range(0, len(used), 64):
-        now = used[a : a + 64]
-        blobs = [b"".join(np.ascontiguousarray(records[c][at[i] : at[i + 1]]).tobytes() for c in records.dtype.names) for i in now]
-        yield pa.RecordBatch.from_arrays([pa.array(now, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+    records, bucket = records[order], bucket[order]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
+    last = np.concatenate([first[1:], [len(bucket)]])
+    for a in range(0, len(first), 64):
+        blobs = [columns(records[i:j]) for i, j in zip(first[a : a + 64].tolist(), last[a : a + 64].tolist())]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[first[a : a + 64]]), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
+
+def columns(records: np.ndarray) -> bytes:
+    return b"".join(np.ascontiguousarray(records[c]).tobytes() for c in records.dtype.names)
+
+
+def document_order(doc: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Numbers in the order of the documents, null last; the lowest bit of t says that doc_id is null."""
+    if not (doc == NONE).any():
+        return doc
+    return 2 * np.unique(doc, return_inverse=True)[1] + (t & 1)
+
+
+def behind(e: np.ndarray) -> np.ndarray:
+    """Whether the entry's segment occurs in a smaller document of these entries too."""
+    rank = document_order(e["doc"], e["t"])
+    order = np.lexsort((rank, e["ctx"]))
+    ctx, rank = e["ctx"][order], rank[order]
+    first = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
+    out = np.empty(len(e), bool)
+    out[order] = rank > np.repeat(rank[first], np.diff(np.concatenate([first, [len(e)]])))
+    return out
+
+
+def reduced(e: np.ndarray, h: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """The entries by bucket, but for those behind another of these, which are removed for certain: they go as ranges, with numbers below zero."""
+    gone = behind(e) if len(e) else np.empty(0, bool)
+    yield from split(e[~gone], h[~gone], buckets)
+    if gone.any():
+        ranges = np.zeros(int(gone.sum()), RANGE)
+        for c in RANGE.names:
+            ranges[c] = e[c][gone]
+        yield pa.RecordBatch.from_arrays([pa.array([-1 - int(ranges["t"][0]) % buckets], pa.int64()), pa.array([columns(ranges)], pa.binary())], names=["bucket", "blob"])
 
 
 def joined(blobs: list[bytes], kind: np.dtype) -> np.ndarray:
@@ -150,23 +188,23 @@ def joined(blobs: list[bytes], kind: np.dtype) -> np.ndarray:
     return out
 
 
-def by_bucket(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.ndarray]:
-    """The records of one bucket after the other; rows come sorted by bucket."""
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
+    """(bucket, blobs), one bucket after the other; rows come sorted by bucket. Blobs of ranges (numbers below zero) come one by one."""
     current, held = None, []
     for b in batches:
         for bucket, blob in zip(b.column("bucket").to_pylist(), b.column("blob")):
-            if bucket != current and held:
-                yield joined(held, kind)
+            if held and (bucket != current or bucket < 0):
+                yield current, held
                 held = []
             current = bucket
             held.append(blob.as_py())
     if held:
-        yield joined(held, kind)
+        yield current, held
 
 
 def _ranges(kind: int, doc, t, start, anchor, more) -> pa.RecordBatch:
     n = len(doc)
-    cols = [np.full(n, kind, np.int32), doc.astype(np.int64), t.astype(np.int32), start.astype(np.int64), anchor.astype(np.int32), more.astype(np.int32)]
+    cols = [np.full(n, kind, np.int32), doc.astype(np.int64), t.astype(np.int64), start.astype(np.int64), anchor.astype(np.int32), more.astype(np.int32)]
     return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "doc", "t", "start", "anchor", "more"])
 
 
@@ -183,17 +221,14 @@ def shared_by_documents(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 def compare_bucket(e: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Equal segments but those of the smallest document; and the segments whose bytes are wanted."""
-    order = np.lexsort((e["doc"], e["ctx"]))
-    e = e[order]
-    first = np.flatnonzero(np.concatenate([[True], e["ctx"][1:] != e["ctx"][:-1]]))
-    smallest = np.repeat(e["doc"][first], np.diff(np.concatenate([first, [len(e)]])))
-    gone = e[e["doc"] > smallest]
+    later = behind(e)
+    gone, rest = e[later], e[~later]
     if len(gone):
         yield _ranges(REMOVED, gone["doc"], gone["t"], gone["start"], gone["anchor"], gone["more"])
-    rest = e[e["doc"] == smallest]
+    rank = document_order(rest["doc"], rest["t"])
     left = rest["l4"].astype(np.uint64) | rest["l1"].astype(np.uint64) << np.uint64(32)
     right = rest["r4"].astype(np.uint64) | rest["r1"].astype(np.uint64) << np.uint64(32)
-    want = rest[shared_by_documents(left, rest["doc"]) | shared_by_documents(right, rest["doc"])]
+    want = rest[shared_by_documents(left, rank) | shared_by_documents(right, rank)]
     if len(want):
         yield _ranges(WANTED, want["doc"], want["t"], want["start"], want["anchor"], want["more"])
 
@@ -244,7 +279,8 @@ def match_bucket(s: np.ndarray) -> Iterator[pa.RecordBatch]:
         source = np.arange(width)[None, :] - shift[part, None]
         inside = (source >= 0) & (source < lengths[part, None])
         symbols[part] = np.where(inside, np.take_along_axis(s["bytes"][part], np.clip(source, 0, width - 1), axis=1), 256)
-    gone = []
+    gone, rank = [], document_order(s["doc"], s["t"])
+    beyond = np.iinfo(np.int64).max
     for column, order, lcp in construct(symbols):
         if column > zero:
             continue
@@ -253,9 +289,8 @@ def match_bucket(s: np.ndarray) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         at = column - shift[row]  # the window's place in its segment
         valid = (at >= 0) & (at <= s["more"][row])
-        doc = np.where(valid, s["doc"][row], NONE)
-        smallest = np.minimum.reduceat(doc, first)[group - group[0]]
-        hit = valid & (s["doc"][row] > smallest)
+        smallest = np.minimum.reduceat(np.where(valid, rank[row], beyond), first)[group - group[0]]
+        hit = valid & (rank[row] > smallest)
         gone.append(np.stack([row[hit], at[hit]]))
     rows, at = np.concatenate(gone, axis=1)
     if not len(rows):
@@ -272,12 +307,13 @@ def utf8(texts: list[str | None]) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in texts]
 
 
-def remove(docs: DataFrame) -> DataFrame:
+def remove(docs: DataFrame, flush: int = FLUSH, bucket: int = BUCKET) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, the remaining bytes (kept) and their kept_sha256 for every row."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    rows = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(NONE)).alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(0xFFFF).cast("int").alias("t"))
+    known = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(-2).bitwiseOR(F.col("doc_id").isNull().cast("long"))
+    rows = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(NONE)).alias("doc"), known.alias("t"))
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(16, -(-size // BUCKET))
+    buckets = max(16, -(-size // bucket))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, hashes, n = [], [], 0
@@ -285,7 +321,7 @@ def remove(docs: DataFrame) -> DataFrame:
             pieces, total = [], 0
 
             def take() -> None:
-                e, h = entries([p[0] for p in pieces], np.array([p[1] for p in pieces], np.int64), np.array([p[2] for p in pieces], np.uint16), np.array([p[3] for p in pieces], np.int64))
+                e, h = entries([p[0] for p in pieces], np.array([p[1] for p in pieces], np.int64), np.array([p[2] for p in pieces], np.int64), np.array([p[3] for p in pieces], np.int64))
                 held.append(e), hashes.append(h)
                 pieces.clear()
 
@@ -300,21 +336,21 @@ def remove(docs: DataFrame) -> DataFrame:
                         total = 0
             if pieces:
                 take()
-            if n >= FLUSH:
-                yield from split(np.concatenate(held), np.concatenate(hashes), buckets)
+            if n >= flush:
+                yield from reduced(np.concatenate(held), np.concatenate(hashes), buckets)
                 held, hashes, n = [], [], 0
         if held:
-            yield from split(np.concatenate(held), np.concatenate(hashes), buckets)
+            yield from reduced(np.concatenate(held), np.concatenate(hashes), buckets)
+        trim()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for e in by_bucket(batches, ENTRY):
-            yield from compare_bucket(e)
-
-    dealt = rows.select("text", "doc", "t").mapInArrow(find, "bucket int, blob binary").repartition("bucket").sortWithinPartitions("bucket")
-    equal = materialize(dealt.mapInArrow(compare, RANGES), "equal-segments", BATCH_ROWS)
-
-    wanted = equal.where(F.col("kind") == WANTED).groupBy("doc", "t").agg(F.collect_list(F.struct("start", "anchor", "more")).alias("want"))
-    wanted = wanted.select("doc", "t", F.col("want.start").alias("start"), F.col("want.anchor").alias("anchor"), F.col("want.more").alias("more"))
+        for bucket, blobs in by_bucket(batches):
+            if bucket < 0:
+                r = joined(blobs, RANGE)
+                yield _ranges(REMOVED, r["doc"], r["t"], r["start"], np.zeros(len(r)), r["more"])
+            else:
+                yield from compare_bucket(joined(blobs, ENTRY))
+        trim()
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = LENGTH + SPAN - 1
@@ -334,14 +370,20 @@ def remove(docs: DataFrame) -> DataFrame:
                 yield from split(s, mix(sums), buckets)
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for s in by_bucket(batches, SEGMENT):
-            yield from match_bucket(s)
-
-    segments = rows.select("text", "doc", "t").join(wanted, ["doc", "t"]).mapInArrow(fetch, "bucket int, blob binary").repartition("bucket").sortWithinPartitions("bucket")
-    partial = materialize(segments.mapInArrow(match, RANGES), "equal-windows", BATCH_ROWS)
-
-    every = equal.where(F.col("kind") == REMOVED).unionByName(partial)
-    gone = every.groupBy("doc", "t").agg(F.collect_list(F.struct("start", "more")).alias("gone")).select("doc", "t", F.col("gone.start").alias("start"), F.col("gone.more").alias("more"))
+        for _, blobs in by_bucket(batches):
+            yield from match_bucket(joined(blobs, SEGMENT))
+        trim()
+
+    def by_text(ranges: DataFrame, *fields: str) -> DataFrame:
+        return ranges.groupBy("doc", "t").agg(F.collect_set(F.struct(*fields)).alias("all")).select("doc", "t", *[F.col(f"all.{f}").alias(f) for f in fields])
+
+    with scratch() as keep:
+        dealt = rows.select("text", "doc", "t").mapInArrow(find, DEALT).repartition("bucket").sortWithinPartitions("bucket")
+        equal = materialize(dealt.mapInArrow(compare, RANGES), "equal-segments", BATCH_ROWS)
+        wanted = by_text(equal.where(F.col("kind") == WANTED), "start", "anchor", "more")
+        segments = rows.select("text", "doc", "t").join(wanted, ["doc", "t"]).mapInArrow(fetch, DEALT).repartition("bucket").sortWithinPartitions("bucket")
+        partial = materialize(segments.mapInArrow(match, RANGES), "equal-windows", BATCH_ROWS)
+        gone = keep(materialize(by_text(equal.where(F.col("kind") == REMOVED).unionByName(partial), "start", "more"), "removed"))
     both = rows.join(gone, ["doc", "t"], "left").select("doc_id", "text", "start", "more")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -57,8 +57,8 @@ def top_k(vectors, k=10):
 
 def without_repeats(rows):
     """(doc_id, bytes, removed, runs, sha256) for (doc_id, text)."""
-    last = 2**63 - 1
-    data = [(last if d is None else d, (t or "").encode("utf-8", "surrogatepass")) for d, t in rows]
+    last = (True, 0)
+    data = [((d is None, d or 0), (t or "").encode("utf-8", "surrogatepass")) for d, t in rows]
     lowest = {}
     for d, b in data:
         for i in range(len(b) - 49):
@@ -75,6 +75,17 @@ def without_repeats(rows):
     return out
 
 
+def least_edits(item, text):
+    """The edits between item and the piece of text nearest to it."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item):
+        new = [i + 1]
+        for j, x in enumerate(text):
+            new.append(min(row[j] + (x != c), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
 def secrets(text):
     """kind:start:end of every finding."""
     text = text or ""

@@ -138,12 +138,25 @@ def test_repeated_bytes_go(spark, docs):
     assert rows(suffix_dedup.digest(docs([]))) == []
 
 
+def test_repeated_and_null_ids(spark, docs):
+    """Rows that share doc_id, or have none, are told apart, whether texts meet in one pack or in different ones."""
+    r = random.Random(11)
+    passage = "".join(r.choice("abcd ") for _ in range(200))
+    other = "".join(r.choice("efgh ") for _ in range(150))
+    given = [(None, f"{passage[:100]}n{i}{other}"[: 60 + 3 * i]) for i in range(40)] + [(2**63 - 1, passage), (2**63 - 1, other + "x"), (2**63 - 2, passage[20:120]), (None, None), (None, "")]
+    given += [(7, other), (7, passage + other), (7, "y" + other)] * 3 + [(-5, passage[:60]), (3, "z" * 300), (4, "z" * 300)] + [(i, passage) for i in range(100, 140)]
+    want = sorted(brute.without_repeats(given), key=repr)
+    assert rows(suffix_dedup.digest(docs(given).repartition(3))) == want
+    small = suffix_dedup.remove(docs(given).coalesce(1), flush=500, bucket=300)
+    assert rows(small.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == want
+
+
 def test_pieces_of_long_texts(monkeypatch):
     """Anchors of pieces cover the same windows as those of the whole."""
     text = bytes(random.Random(5).choice(b"abc ") for _ in range(3000))
-    e, _ = suffix_dedup.entries([text], np.array([1]), np.array([1], np.uint16), np.array([0]))
+    e, _ = suffix_dedup.entries([text], np.array([1]), np.array([1]), np.array([0]))
     parts = [(text[a : a + 700 + 49], a) for a in range(0, len(text) - 49, 700)]
-    p, _ = suffix_dedup.entries([t for t, _ in parts], np.ones(len(parts), np.int64), np.ones(len(parts), np.uint16), np.array([a for _, a in parts]))
+    p, _ = suffix_dedup.entries([t for t, _ in parts], np.ones(len(parts), np.int64), np.ones(len(parts), np.int64), np.array([a for _, a in parts]))
     windows = lambda x: {s for a, m in zip(x["start"].tolist(), x["more"].tolist()) for s in range(a, a + m + 1)}
     assert windows(e) == windows(p) == set(range(len(text) - 49))
 
@@ -248,6 +261,53 @@ def test_edits_up_to_the_budget():
             assert found == ([n] if n == most else []), m
 
 
+def test_occurrences_equal_brute_force():
+    """Every (text, item) pair with an occurrence within the budget, and no other, whatever texts come before and after."""
+    r = random.Random(12)
+    letters = lambda n: "".join(r.choice("abcdefg") for _ in range(n))
+
+    def edited(s, n):
+        s = list(s)
+        for _ in range(n):
+            p = r.randrange(len(s))
+            s[p : p + 1] = r.choice([[], ["z"], [s[p], "z"]])
+        return "".join(s)
+
+    items = [(m, letters(m)) for m in [24, 25, 29, 30, 31, 32, 39, 40, 49, 50, 60, 99, 120, 199, 200] * 2]
+    texts = []
+    for i, (m, item) in enumerate(items):
+        k = len(item) // 10
+        texts += [edited(item, r.randrange(0, k + 3)), letters(20) + edited(item, k) + letters(20), item[: m // 2], item[m // 2 :], "zzzz " + item[: m // 2], item[m // 2 :] + " qqqq", letters(200)]
+    r.shuffle(texts)
+    ix = decontaminate.index(items)
+    got = {(t, i) for t, i, *_ in decontaminate.spans(ix, texts)}
+    want = {(t, i) for t, text in enumerate(texts) for i, (_, item) in enumerate(items) if brute.least_edits(item, text) <= len(item) // 10}
+    assert got == want and len(want) > 40
+    for one in range(0, len(texts), 9):  # alone as among others
+        assert {i for _, i, *_ in decontaminate.spans(ix, [texts[one]])} == {i for t, i in want if t == one}
+
+
+def test_short_items_stand_between_borders(spark, docs):
+    bench = spark.createDataFrame([(1, "art"), (2, "a"), (3, "ten letter words"), (4, "the cat sat on the mat.")], "item_id long, text string")
+    given = [(0, "a part of it"), (1, "ART!"), (2, "ten letxer words"), (3, "xten letter wordsy"), (4, "the cat  sat in the\nmat. and"), (5, ""), (6, None)]
+    found = sorted((f["doc_id"], f["item_id"], f["edits"]) for f in decontaminate.find(docs(given), bench).collect())
+    assert found == [(0, 2, 0), (1, 1, 0), (2, 3, 1), (4, 4, 1)]
+    assert sorted(c["doc_id"] for c in decontaminate.keep_clean(docs(given), bench).collect()) == list(range(7))
+    assert sorted(c["doc_id"] for c in decontaminate.keep_clean(docs(given), bench, least=1).collect()) == [3, 5, 6]
+
+
+def test_very_long_and_repeated_texts(spark, docs):
+    r = random.Random(13)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 8)))
+    item = " ".join(word() for _ in range(30))
+    long = " ".join(word() for _ in range(60_000))
+    given = [(1, f"{long} {item} {long}"), (2, item), (2, item), (3, long), (4, item[: len(item) // 2 - 20])]
+    bench = spark.createDataFrame([(7, item), (7, item)], "item_id long, text string")
+    found = sorted((f["doc_id"], f["item_id"], f["start"], f["edits"]) for f in decontaminate.find(docs(given), bench).collect())
+    assert found == [(1, 7, len(long) + 1, 0)] * 2 + [(2, 7, 0, 0)] * 4
+    assert sorted(c["doc_id"] for c in decontaminate.keep_clean(docs(given), bench).collect()) == [3, 4]
+
+
 # 7
 
 SECRETS = [
