@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,10 +23,12 @@ def session(app_name: str = "citeloom", **settings: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a folder of our own where it is unset (one machine)."""
+    """spark.checkpoint.dir, or a folder of our own where it is unset and all run on one machine."""
     given = spark.conf.get("spark.checkpoint.dir", None)
     if given:
         return given.rstrip("/")
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dir:
         _own_dir[app] = f"file://{tempfile.mkdtemp(prefix='citeloom-')}"
