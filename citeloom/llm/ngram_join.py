@@ -4,17 +4,20 @@ A text's set holds the 64-bit hashes of its distinct word shingles. Two sets lin
 is at least t = 3/4. Equal sets are one node from the start (their members are listed, not paired).
 
 Signatures. Sizes are cut into bands (r/2, r]. A pair belongs to the band of its larger set; a smaller set may
-have at most 4/3 its size as a partner, so a set signs for its own band and, near the upper end, for the next. In
-a band the hash domain is cut into n partitions; linked sets differ in at most k = (|A| + |B|) (1-t)/(1+t) elements,
-so at least n - k partitions agree entirely, and each agreeing partition that is not empty is one equal signature.
-n exceeds the largest k by a reserve, so a linked pair agrees in many partitions, not just one. In the lowest band
-every element is a partition of its own.
-
-Soft partitions. Empty partitions say nothing, and signatures shared by more than GROUP sets are not expanded into
-pairs. Both are exact to skip for a set that has more guaranteed agreements than soft partitions, because a
-linked pair must then share an expanded signature as well. Only pairs of sets that are both soft remain, and they
-are found by the finest partition, single shingles, rarest first (a set needs only as many of its rarest shingles as
-it may lack), see soft_pairs().
+have at most 4/3 its size as a partner, so a set signs for its own band and, near the upper end, for the next. Linked
+sets of a band differ in at most k = (|A| + |B|) (1-t)/(1+t) elements. The hash domain is cut on a first level into n
+partitions and each of these on a second level into SECOND = 3; of each three, all subsets of two are enumerated, and a
+set's elements within a subset are one signature. As n > k / 2, some first-level partition of a linked pair has at most
+one differing element, which leaves one of its three subsets alike: the pair shares that signature. n exceeds k / 2 by
+a reserve, so a linked pair shares many signatures, not just one: with d differences it shares at least 3 n - 2 d of them
+(d <= n) or 2 n - d, as the first difference in a partition spoils two subsets and the second one more. Sets of up to
+three shingles link with larger ones or not at all.
+
+Soft signatures. Empty subsets say nothing, and signatures shared by more than GROUP sets are not expanded into
+pairs. Both are exact to skip for a set that has more guaranteed signatures than soft ones, because a linked pair must
+then share an expanded signature as well. Only pairs of sets that are both soft remain, and they are found by the
+finest partition, single shingles, rarest first (a set needs only as many of its rarest shingles as it may lack), see
+soft_pairs().
 
 From groups to links:
 1. a set whose shared signatures are fewer than its guaranteed agreements can't link and is dropped;
@@ -26,9 +29,10 @@ goes unverified.
 
 Execution. Signatures never become JVM rows: a task packs them, (signature, set) of 14 bytes, into one binary row
 for each block of texts and bucket; a bucket is sorted in numpy with bounded memory (the number of buckets follows
-the input's bytes). All later tables hold only sets that share enough signatures.
+the input's bytes). All later tables hold only sets that share enough signatures. All tables but the result are deleted
+when it is written.
 
-Defined cases: null or empty text, or no words: an empty set that links with nothing; fewer words than a shingle:
+Defined cases: a very long text is hashed whole, and its set has as many signatures as its band asks; null or empty text, or no words: an empty set that links with nothing; fewer words than a shingle:
 the whole sequence is the one shingle; null doc_id: takes part, but never names a component unless all are null;
 repeated rows: equal sets, one component; empty table: no rows; extra columns are ignored (keep_one() passes them on).
 Hash equality stands for equality: with 64 bits, n sets meet by chance with probability n^2 / 2^65.
@@ -41,18 +45,21 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import if_small, materialize, pack
+from citeloom.llm.common import if_small, materialize, pack, scratch, text_key, trim, without
 from citeloom.llm.graph import components
 from citeloom.llm.hashing import mix, shingle_sets
 
 WIDTH = 5
 #: Similarity 3/4 as whole numbers; linked sets differ in at most (|A| + |B|) / 7 elements.
 NUM, DEN = 75, 100
-LOWEST = 24  # largest set of the lowest band
-RESERVE = 0.3  # partitions beyond the largest difference, as a share of it
+LOWEST = 3  # largest set of the lowest band, where linked sets are equal
+SECOND = 3  # second-level partitions
+SUBSETS = np.array([[0, 1], [0, 2], [1, 2]])  # of these, enumerated
+RESERVE = 0.15  # first-level partitions beyond half the largest difference, as a share of that difference
+NEVER = 1 << 30  # signatures that nobody shares
 GROUP = 32  # largest group whose pairs may be expanded
 FLUSH = 8_000_000  # bytes of text whose signatures a task packs together
 BUCKET = 8_000_000  # bytes of text for each bucket
@@ -65,15 +72,13 @@ MEMBER, BLOB, GROUP_ROW, SHARED, STAR = 0, 1, 2, 3, 4
 
 class Band(NamedTuple):
     upper: int  # largest set
-    parts: int  # 0: every element is a partition
+    parts: int  # first-level partitions
 
 
 def band(scheme: int) -> Band:
     upper = LOWEST << scheme
-    if scheme == 0:
-        return Band(upper, 0)
     k = 2 * upper // 7
-    return Band(upper, k + 2 + int(RESERVE * k))
+    return Band(upper, k // 2 + 1 + int(RESERVE * k) if k else 0)
 
 
 def scheme_of(n: int) -> int:
@@ -87,14 +92,19 @@ def scheme_of(n: int) -> int:
 def signatures(s: np.ndarray, mixed: np.ndarray, scheme: int, largest: int) -> tuple[np.ndarray, int]:
     """The signatures of a set for a band, and how many of them it shares at least with any linked set of up to `largest` elements there."""
     tag = np.uint64((scheme + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-    parts = band(scheme).parts
-    if not parts:
-        return mix(mixed ^ tag), -(-NUM * len(s) // DEN)
-    part = (s >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)  # rises with s
+    n = band(scheme).parts
+    if not n:
+        return np.empty(0, np.uint64), NEVER
+    part = ((s >> np.uint64(32)) * np.uint64(SECOND * n) >> np.uint64(32)).astype(np.int64)  # rises with s
     first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    found = mix(np.add.reduceat(mixed, first) + part[first] * np.uint64(0xD6E8FEB86659FD93) ^ tag)
+    sums, used = np.zeros(SECOND * n, np.uint64), np.zeros(SECOND * n, bool)
+    sums[part[first]], used[part[first]] = np.add.reduceat(mixed, first), True
+    pairs = (np.arange(n) * SECOND)[:, None, None] + SUBSETS  # first-level partition, subset, its two members
+    filled = used[pairs].any(axis=2)
+    number = (np.arange(n * len(SUBSETS), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)).reshape(n, -1)
+    found = mix(mix(sums[pairs[:, :, 0]] + number) + sums[pairs[:, :, 1]] ^ tag)[filled]
     differ = (len(s) + largest) // 7
-    return found, (parts - differ) - (parts - len(first))
+    return found, (3 * n - 2 * differ if differ <= n else 2 * n - differ) - int((~filled).sum())
 
 
 def sign(s: np.ndarray) -> tuple[int, int, list[tuple[np.ndarray, int]]]:
@@ -130,12 +140,13 @@ def _signed(buckets: int, width: int):
                 sids = np.repeat(np.array([o[0] for o in owners], np.int64), [o[1] for o in owners])
                 bucket = ((sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
-                sigs, sids = sigs[order], sids[order]
-                at = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                used = [i for i in range(buckets) if at[i] < at[i + 1]]
-                blobs = [sigs[at[i] : at[i + 1]].astype("<u4").tobytes() + (sigs[at[i] : at[i + 1]] >> np.uint64(32)).astype("<u2").tobytes() + sids[at[i] : at[i + 1]].tobytes() for i in used]
-                for a in range(0, len(used), 64):
-                    yield _rows(SIGNED, kind=[BLOB] * len(used[a : a + 64]), bucket=used[a : a + 64], blob=blobs[a : a + 64])
+                sigs, sids, bucket = sigs[order], sids[order], bucket[order]
+                begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
+                end = np.concatenate([begin[1:], [len(bucket)]])
+                for at in range(0, len(begin), 64):
+                    cuts = [slice(i, j) for i, j in zip(begin[at : at + 64].tolist(), end[at : at + 64].tolist())]
+                    blobs = [sigs[c].astype("<u4").tobytes() + (sigs[c] >> np.uint64(32)).astype("<u2").tobytes() + sids[c].tobytes() for c in cuts]
+                    yield _rows(SIGNED, kind=[BLOB] * len(cuts), bucket=bucket[begin[at : at + 64]].tolist(), blob=blobs)
             held.clear(), owners.clear(), done.clear()
             size = 0
 
@@ -158,6 +169,7 @@ def _signed(buckets: int, width: int):
                     yield from flush()
             yield _rows(SIGNED, kind=[MEMBER] * len(ids), **rows)
         yield from flush()
+        trim()
 
     return run
 
@@ -229,6 +241,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(blob) // 14
             parts.append((blob[: 4 * n], blob[4 * n : 6 * n], blob[6 * n :]))
     yield from finish()
+    trim()
 
 
 def _sets(width: int):
@@ -238,6 +251,7 @@ def _sets(width: int):
             for at in range(0, b.num_rows, 1000):
                 found = list(shingle_sets(lowered(b.column("text").slice(at, 1000).to_pylist()), width))
                 yield pa.RecordBatch.from_arrays([pa.array(sids[at : at + 1000], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["sid", "shingles"])
+        trim()
 
     return run
 
@@ -248,7 +262,7 @@ class Join(NamedTuple):
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("tkey", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return docs.withColumn("tkey", text_key())
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -282,6 +296,7 @@ def soft_pairs(soft: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
     prefix = materialize(prefix, "prefix")
     by_label = prefix.groupBy("h", "label").agg(F.count("*").alias("c"))
     mode = by_label.groupBy("h").agg(F.max_by("label", F.struct("c", "label")).alias("mode"), F.count("*").alias("labels")).where("labels > 1")
+    mode = materialize(mode, "modes")  # here and below: a join of two written tables, whose hot keys adaptive execution can split
     few = materialize(prefix.join(mode, "h").where("label != mode").select("h", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), F.col("rank").alias("ra"), F.col("short").alias("sa")), "few")
     larger, smaller = F.struct("na", "a") > F.struct("n", "sid"), F.struct("na", "a") < F.struct("n", "sid")
     common = F.ceil((F.col("na") + n) * NUM / (NUM + DEN))
@@ -293,7 +308,12 @@ def soft_pairs(soft: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
 
 
 def join(docs: DataFrame, width: int = WIDTH) -> Join:
-    spark: SparkSession = docs.sparkSession
+    with scratch() as keep:
+        found = _join(docs, width)
+        return Join(keep(materialize(found.members, "components")), keep(materialize(found.links, "links")))
+
+
+def _join(docs: DataFrame, width: int) -> Join:
     rows = keyed(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(16, -(-size // BUCKET))
@@ -319,7 +339,8 @@ def join(docs: DataFrame, width: int = WIDTH) -> Join:
     # a large group's star gets its most typical member, that of the most widely shared signatures, as its centre
     met = base.where(F.col("kind") == STAR).select(F.element_at("members", 1).alias("x"), F.col("sid").alias("y")).distinct()
     met = met.unionByName(met.select("x", F.col("x").alias("y")).distinct()).join(if_small(able.select(F.col("sid").alias("y"), "hot"), n_able), "y")
-    centre = met.groupBy("x").agg(F.max_by("y", F.struct("hot", "y")).alias("centre"))
+    met = materialize(met, "met")
+    centre = materialize(met.groupBy("x").agg(F.max_by("y", F.struct("hot", "y")).alias("centre")), "centres")
     far = met.join(centre, "x").where("y != centre").select(F.least("centre", "y").alias("x"), F.greatest("centre", "y").alias("y")).distinct()
     links = materialize(verified(star.unionByName(far), sets), "links")
     labels = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
@@ -346,22 +367,26 @@ def join(docs: DataFrame, width: int = WIDTH) -> Join:
 
 def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns."""
-    return join(docs).members.select("doc_id", "n_shingles", "component_id")
+    with scratch() as keep:
+        return keep(join(docs).members).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one document of each component, that of the smallest doc_id; texts without words all stay."""
-    found = materialize(join(docs).members, "components")
-    first = found.where("sid is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("first"))
-    gone = found.join(first, "label").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey")))).select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey")).distinct()
-    gone = if_small(materialize(gone, "gone"))
-    row = pack(docs).withColumn("__k", F.xxhash64(F.coalesce(F.col("__row.text"), F.lit(""))))
-    kept = row.join(gone, F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__tkey")), "left_anti")
-    repeated = found.where("sid is not null").groupBy("doc_id", "tkey").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey"))
-    repeated = materialize(repeated, "repeated")
-    if not repeated.isEmpty():  # rows with the same doc_id and text: one stays
-        again = F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__tkey"))
-        twice = kept.join(repeated, again, "left_semi")
-        once = twice.groupBy(F.col("__row.doc_id").alias("i"), "__k").agg(F.first("__row").alias("__row")).select("__row", "__k")
-        kept = kept.join(repeated, again, "left_anti").unionByName(once)
-    return kept.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
+    with scratch() as keep:
+        found = join(docs).members
+        first = found.where("sid is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("first"))
+        gone = found.join(first, "label").where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tkey") == F.col("first.tkey")))).select("doc_id", "tkey").distinct()
+        gone = keep(materialize(gone, "gone"))
+        repeated = found.where("sid is not null").groupBy("doc_id", "tkey").count().where("count > 1").select(F.col("doc_id").alias("__id"), F.col("tkey").alias("__tkey"))
+        repeated = keep(materialize(repeated, "repeated"))
+    kept = without(docs, gone)
+    if repeated.isEmpty():
+        return kept
+    # rows with the same doc_id and text: one stays
+    row = pack(kept).withColumn("__k", text_key("__row.text"))
+    again = F.col("__row.doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__k") == F.col("__tkey"))
+    twice = row.join(repeated, again, "left_semi")
+    once = twice.groupBy(F.col("__row.doc_id").alias("i"), "__k").agg(F.first("__row").alias("__row")).select("__row", "__k")
+    row = row.join(repeated, again, "left_anti").unionByName(once)
+    return row.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns])
