@@ -20,14 +20,17 @@ finest partition, single shingles, rarest first (a set needs only as many of its
 soft_pairs().
 
 From groups to links:
-1. a set whose shared signatures are fewer than its guaranteed agreements can't link and is dropped;
-2. in every group, whatever its size, each member is verified against one pivot: a star, not all pairs;
-3. links give components; only pairs of different components that share enough signatures are then verified.
+1. a set whose shared signatures are fewer than its guaranteed ones can't link and is dropped;
+2. in every group, whatever its size, each member is verified against one pivot: a star, not all pairs (in small groups
+   where the pair meets in enough of them; any other is left to the next step);
+3. a pair is verified exactly if its sketches allow it: the parities of a set's elements in BITS buckets; two sets
+   differ in at least as many elements as parities;
+4. links give components; only pairs of different components that share enough signatures are then verified.
 
 Hence a group of any size costs about its members, and no pair of different texts that could join two components
 goes unverified.
 
-Execution. Signatures never become JVM rows: a task packs them, (signature, set) of 14 bytes, into one binary row
+Execution. Signatures never become JVM rows: a task packs them, (signature, set) of 12 bytes (32 bits of the signature beside the bucket's; chance meetings are verified away), into one binary row
 for each block of texts and bucket; a bucket is sorted in numpy with bounded memory (the number of buckets follows
 the input's bytes). All later tables hold only sets that share enough signatures. All tables but the result are deleted
 when it is written.
@@ -58,8 +61,9 @@ NUM, DEN = 75, 100
 LOWEST = 3  # largest set of the lowest band, where linked sets are equal
 SECOND = 3  # second-level partitions
 SUBSETS = np.array([[0, 1], [0, 2], [1, 2]])  # of these, enumerated
-RESERVE = 0.15  # first-level partitions beyond half the largest difference, as a share of that difference
+RESERVE = 0.1  # first-level partitions beyond half the largest difference, as a share of that difference
 NEVER = 1 << 30  # signatures that nobody shares
+BITS = 2048  # parities in a set's sketch
 GROUP = 32  # largest group whose pairs may be expanded
 FLUSH = 8_000_000  # bytes of text whose signatures a task packs together
 BUCKET = 8_000_000  # bytes of text for each bucket
@@ -67,6 +71,7 @@ BATCH_ROWS = 100  # texts, or blobs of some 100 KB, that a Python worker holds a
 
 SIGNED = "kind int, bucket int, doc_id long, tkey long, sid long, n int, scheme int, least0 int, least1 int, blob binary"
 GROUPED = "kind int, doc_id long, tkey long, sid long, n int, scheme int, least0 int, least1 int, members array<long>, count int, hot int"
+SETS = "sid long, n int, sketch array<long>, shingles array<long>"
 MEMBER, BLOB, GROUP_ROW, SHARED, STAR = 0, 1, 2, 3, 4
 
 
@@ -145,7 +150,7 @@ def _signed(buckets: int, width: int):
                 end = np.concatenate([begin[1:], [len(bucket)]])
                 for at in range(0, len(begin), 64):
                     cuts = [slice(i, j) for i, j in zip(begin[at : at + 64].tolist(), end[at : at + 64].tolist())]
-                    blobs = [sigs[c].astype("<u4").tobytes() + (sigs[c] >> np.uint64(32)).astype("<u2").tobytes() + sids[c].tobytes() for c in cuts]
+                    blobs = [sigs[c].astype("<u4").tobytes() + sids[c].tobytes() for c in cuts]
                     yield _rows(SIGNED, kind=[BLOB] * len(cuts), bucket=bucket[begin[at : at + 64]].tolist(), blob=blobs)
             held.clear(), owners.clear(), done.clear()
             size = 0
@@ -224,8 +229,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def finish() -> Iterator[pa.RecordBatch]:
         if parts:
-            low, high, sids = (np.concatenate([np.frombuffer(p[i], t) for p in parts]) for i, t in enumerate(("<u4", "<u2", "<i8")))
-            yield from group_bucket(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), sids)
+            yield from group_bucket(*(np.concatenate([np.frombuffer(p[i], t) for p in parts]) for i, t in enumerate(("<u4", "<i8"))))
         parts.clear()
 
     for b in batches:
@@ -238,19 +242,24 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if bucket != current:
                 yield from finish()
                 current = bucket
-            n = len(blob) // 14
-            parts.append((blob[: 4 * n], blob[4 * n : 6 * n], blob[6 * n :]))
+            n = len(blob) // 12
+            parts.append((blob[: 4 * n], blob[4 * n :]))
     yield from finish()
     trim()
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    odd = np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sids = b.column("sid").to_pylist()
             for at in range(0, b.num_rows, 1000):
                 found = list(shingle_sets(lowered(b.column("text").slice(at, 1000).to_pylist()), width))
-                yield pa.RecordBatch.from_arrays([pa.array(sids[at : at + 1000], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], names=["sid", "shingles"])
+                yield _rows(SETS, sid=sids[at : at + 1000], n=[len(s) for s in found], sketch=[sketch(s) for s in found], shingles=[s.view(np.int64) for s in found])
         trim()
 
     return run
@@ -266,11 +275,16 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs x, y of set ids whose sets link."""
+    """The pairs x, y of set ids whose sets link; every join is one of written tables, whose hot keys adaptive execution can split."""
+    small = if_small(sets.select("sid", "n", "sketch"))
+    x, y = (small.select(F.col("sid").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"p{c}")) for c in "xy")
+    apart = F.aggregate(F.zip_with("px", "py", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, b: a + b)
+    total = F.col("nx") + F.col("ny")
+    near = materialize(pairs.select("x", "y").distinct(), "pairs").join(x, "x").join(y, "y").where(apart * (NUM + DEN) <= total * (DEN - NUM)).select("x", "y")
     x = sets.select(F.col("sid").alias("x"), F.col("shingles").alias("sx"))
     y = sets.select(F.col("sid").alias("y"), F.col("shingles").alias("sy"))
     common = F.size(F.array_intersect("sx", "sy")).cast("long")
-    both = if_small(materialize(pairs.select("x", "y").distinct(), "pairs")).join(x, "x").join(y, "y").select("x", "y", common.alias("common"), (F.size("sx") + F.size("sy")).alias("total"))
+    both = if_small(materialize(near, "near")).join(x, "x").join(y, "y").select("x", "y", common.alias("common"), (F.size("sx") + F.size("sy")).alias("total"))
     return both.where(DEN * F.col("common") >= NUM * (F.col("total") - F.col("common"))).select("x", "y", "common")
 
 
@@ -329,13 +343,15 @@ def _join(docs: DataFrame, width: int) -> Join:
     n_able = able.count()
     wanted = if_small(able.select("sid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.tkey").alias("tkey")), n_able)
     found = rows.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.tkey") == F.col("w.tkey"))).select("sid", "text")
-    sets = materialize(found.mapInArrow(_sets(width), "sid long, shingles array<long>").dropDuplicates(["sid"]), "sets", BATCH_ROWS)
+    sets = materialize(found.mapInArrow(_sets(width), SETS).dropDuplicates(["sid"]), "sets", BATCH_ROWS)
 
     # groups of sets that are able to link
     lists = base.where(F.col("kind") == GROUP_ROW).groupBy("members").agg(F.sum("count").alias("count"))
-    flat = lists.select(F.xxhash64("members").alias("g"), "count", F.explode("members").alias("sid")).join(if_small(able.select("sid"), n_able), "sid", "left_semi")
-    groups = materialize(flat.groupBy("g").agg(F.array_sort(F.collect_set("sid")).alias("members"), F.first("count").alias("count")).where(F.size("members") > 1), "groups")
-    star = groups.select(F.element_at("members", 1).alias("x"), F.explode(F.slice("members", 2, GROUP)).alias("y"))
+    needs = able.select("sid", (F.col("least") - F.col("hot")).alias("needs"))  # signatures in small groups that a link must share
+    flat = lists.select(F.xxhash64("members").alias("g"), "count", F.explode("members").alias("sid")).join(if_small(needs, n_able), "sid")
+    groups = materialize(flat.groupBy("g").agg(F.array_sort(F.collect_set(F.struct("sid", "needs"))).alias("members"), F.first("count").alias("count")).where(F.size("members") > 1), "groups")
+    star = groups.select("count", F.element_at("members", 1).alias("a"), F.explode(F.slice("members", 2, GROUP)).alias("b"))
+    star = star.groupBy(F.col("a.sid").alias("x"), F.col("b.sid").alias("y")).agg(F.sum("count").alias("count"), F.first(F.greatest("a.needs", "b.needs")).alias("needs")).where("count >= needs").select("x", "y")
     # a large group's star gets its most typical member, that of the most widely shared signatures, as its centre
     met = base.where(F.col("kind") == STAR).select(F.element_at("members", 1).alias("x"), F.col("sid").alias("y")).distinct()
     met = met.unionByName(met.select("x", F.col("x").alias("y")).distinct()).join(if_small(able.select(F.col("sid").alias("y"), "hot"), n_able), "y")
@@ -346,7 +362,7 @@ def _join(docs: DataFrame, width: int) -> Join:
     labels = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
 
     # pairs of different components with enough common signatures
-    named = groups.select("g", "count", F.explode("members").alias("sid")).join(labels.withColumnRenamed("node", "sid"), "sid", "left").join(if_small(able.select("sid", (F.col("least") - F.col("hot")).alias("needs")), n_able), "sid")
+    named = groups.select("g", "count", F.inline("members")).join(labels.withColumnRenamed("node", "sid"), "sid", "left")
     item = F.struct("sid", F.coalesce("label", "sid").alias("label"), "needs")
     mixed = named.groupBy("g").agg(F.collect_list(item).alias("items"), F.first("count").alias("count")).where(F.size(F.array_distinct(F.col("items.label"))) > 1)
     crossed = mixed.select("count", F.explode("items").alias("a"), "items").select("count", "a", F.explode("items").alias("b")).where("a.sid < b.sid and a.label != b.label")
@@ -360,7 +376,7 @@ def _join(docs: DataFrame, width: int) -> Join:
         joined = labels.select(F.col("node").alias("u"), F.col("label").alias("v")).unionByName(more.select(F.col("x").alias("u"), F.col("y").alias("v")))
         labels = components(joined)
     named = members.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("doc_id", "tkey", "sid", "n_shingles", F.coalesce("label", "sid").alias("label"))
-    lowest = named.where("sid is not null").groupBy("label").agg(F.min("doc_id").alias("lowest"))
+    lowest = materialize(named.where("sid is not null").groupBy("label").agg(F.min("doc_id").alias("lowest")), "lowest")
     out = named.join(lowest, "label", "left").select("doc_id", "tkey", "sid", "n_shingles", F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"), "label")
     return Join(out, links.unionByName(more))
 
