@@ -3,7 +3,9 @@
 Every version of every path is content-addressed by the SHA-256 of its text. A ledger holds one row for each blob
 and rule version already scanned: (blob_id, rule, findings). scan() takes the versions, leaves out the pairs that
 the ledger has, scans each remaining blob once however many paths hold it, and returns both the new ledger rows
-and the findings joined back to all paths.
+and the findings joined back to all paths. scan_stored() keeps the ledger as Parquet under a path: a run appends the
+pairs that it scanned, in one commit, and reads all findings from there, so the next run over any versions scans only
+what is new, be it a blob or a rule's version. Two runs at a time may scan a pair twice; its rows are equal.
 
 Rules. A rule is a kind, a version and a Java regular expression. Matches are leftmost and non-overlapping for each
 kind; spans are counted in code points, the end exclusive. A match that is too short (by its whole, or by the group
@@ -16,7 +18,7 @@ levels so that a text with very many matches costs little more than its length.
 Scale: blobs are made distinct by a partial aggregate before the shuffle, so a text that a third of all rows hold
 leaves each map task once; the join back to the paths is an equi-join on blob_id that Spark may split.
 
-Defined cases: null text is the empty text; empty table gives no rows; rows with a null doc_id and repeated rows
+Defined cases: null text is the empty text; a very long text is scanned whole, in one row; empty table gives no rows; rows with a null doc_id and repeated rows
 each get a result row; extra columns are ignored.
 """
 
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm.common import if_small, materialize, pack
@@ -101,6 +103,14 @@ def scan(versions: DataFrame, paths: list[str], ledger: DataFrame | None = None,
     """versions: the path columns and text, one row for each version of each path."""
     addressed = address(versions)
     blobs = addressed.groupBy("blob_id").agg(F.first("text").alias("text"))
+    new = unseen(blobs, ledger, rules)
+    known = new if ledger is None else new.unionByName(ledger.where(F.col("rule").isin([r.key for r in rules])).select("blob_id", "rule", "findings").distinct())
+    by_blob = materialize(listed(known, rules), "findings")  # broadcast by its true size, or a join whose hot blobs can be split
+    return Scan(new, by_blob, back_to_paths(addressed, by_blob, paths))
+
+
+def unseen(blobs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ...]) -> DataFrame:
+    """Ledger rows for the pairs of blob and rule that the ledger hasn't."""
     every = F.array(*[F.lit(r.key) for r in rules])
     if ledger is None:
         todo = blobs.withColumn("todo", every)
@@ -108,18 +118,40 @@ def scan(versions: DataFrame, paths: list[str], ledger: DataFrame | None = None,
         seen = ledger.groupBy("blob_id").agg(F.collect_set("rule").alias("seen"))
         todo = blobs.join(seen, "blob_id", "left").withColumn("todo", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>")))).where(F.size("todo") > 0)
     found = [F.when(F.array_contains("todo", r.key), F.struct(F.lit(r.key).alias("rule"), find(F.col("text"), r).alias("findings"))) for r in rules]
-    new = todo.select("blob_id", F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
-    known = new if ledger is None else new.unionByName(ledger.where(F.col("rule").isin([r.key for r in rules])).select("blob_id", "rule", "findings").distinct())
+    return todo.select("blob_id", F.inline(F.filter(F.array(*found), lambda x: x.isNotNull())))
+
+
+def listed(known: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """Ledger rows to blob_id, findings; blobs without any are left out."""
     order = {r.key: i for i, r in enumerate(rules)}
     rank = F.coalesce(*[F.when(F.col("rule") == k, F.lit(i)) for k, i in order.items()])
     kinds = F.array(*[F.lit(r.kind) for r in rules])
-    listed = known.where(F.size("findings") > 0).select("blob_id", F.transform("findings", lambda f: F.struct(f["start"].alias("start"), rank.alias("rank"), f["end"].alias("end"))).alias("found"))
-    by_blob = listed.groupBy("blob_id").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
-    by_blob = by_blob.select("blob_id", F.transform("found", lambda f: F.struct(F.element_at(kinds, f["rank"] + 1).alias("kind"), f["start"].alias("start"), f["end"].alias("end"))).alias("findings"))
-    by_blob = materialize(by_blob, "findings")  # broadcast by its true size, or a join whose hot blobs can be split
+    held = known.where(F.size("findings") > 0).select("blob_id", F.transform("findings", lambda f: F.struct(f["start"].alias("start"), rank.alias("rank"), f["end"].alias("end"))).alias("found"))
+    by_blob = held.groupBy("blob_id").agg(F.array_sort(F.flatten(F.collect_list("found"))).alias("found"))
+    return by_blob.select("blob_id", F.transform("found", lambda f: F.struct(F.element_at(kinds, f["rank"] + 1).alias("kind"), f["start"].alias("start"), f["end"].alias("end"))).alias("findings"))
+
+
+def back_to_paths(addressed: DataFrame, by_blob: DataFrame, paths: list[str]) -> DataFrame:
     empty = F.array().cast("array<struct<kind:string,start:int,end:int>>")
     named = addressed.select(*[F.col("__row").getField(p).alias(p) for p in paths], "blob_id")
-    return Scan(new, by_blob, named.join(by_blob, "blob_id", "left").select(*paths, "blob_id", F.coalesce("findings", empty).alias("findings")))
+    return named.join(by_blob, "blob_id", "left").select(*paths, "blob_id", F.coalesce("findings", empty).alias("findings"))
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger stored under path; empty if there is none yet."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in (("blob_id", "string"), ("rule", "string"), ("findings", f"array<{FINDING}>"))])
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def scan_stored(versions: DataFrame, paths: list[str], path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The findings (path columns, blob_id, findings) of every version, by the ledger stored under path, which this brings up to date."""
+    spark, addressed = versions.sparkSession, address(versions)
+    blobs = addressed.groupBy("blob_id").agg(F.first("text").alias("text"))
+    unseen(blobs, read_ledger(spark, path), rules).write.mode("append").parquet(path)
+    known = read_ledger(spark, path).where(F.col("rule").isin([r.key for r in rules]) & (F.size("findings") > 0)).distinct()
+    return back_to_paths(addressed, materialize(listed(known, rules), "findings"), paths)
 
 
 def spans_text(findings: Column) -> Column:
