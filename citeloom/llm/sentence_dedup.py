@@ -1,18 +1,22 @@
 """Operator 9: substring dedup by sliding sentence spans.
 
-A text is cut into sentences (up to and with `.`, `!`, `?` or a line break; the pieces make up the text again). From
-every sentence on, and up to the end of every sentence, the shortest run of at least SENTENCES sentences and WORDS
-words, or one sentence of twice as many words, is a span; its hash covers the words only, lower-cased. The spans within
-a repeated run of that size cover it from its first sentence to its last. Spans are joined globally by hash, and every
-sentence that a span covers goes unless that span is the first of its hash, by doc_id, then text hash, then place.
-Spans of one text count as well, so a passage repeated in a text stays once.
+A text is cut into sentences (up to and with `.`, `!`, `?` or a line break; the pieces make up the text again). Every run
+of at least SENTENCES consecutive sentences that has at least WORDS words is a span, as is a single sentence of twice as
+many words; its hash covers the words only, lower-cased. Spans are joined globally by hash, and every sentence that a span
+covers goes unless that span is the first of its hash, by doc_id, then text hash, then place. Spans of one text count as
+well, so a passage repeated in a text stays once.
+
+Runs of every length need not be written out: wherever a run repeats, so does each shorter run in it, and every sentence
+of a run is covered by the shortest span that begins at it within the run or else by the shortest that ends with the run.
+So hashing, for each sentence, the shortest span from it on and the shortest up to its end removes exactly the sentences
+that all runs would remove (the tests hold it against all runs).
 
 Scale: the spans are written once; first occurrences are a minimum with map-side combine, so a passage in a third of
 all texts leaves each task once; the join back is an equi-join that adaptive execution may split. Only runs of
 sentence numbers, not texts, are gathered for each text.
 
 Defined cases: null text: no sentences, text stays null; empty text: none; fewer words than a span: never removed;
-null doc_id comes last; rows with equal doc_id and text are one document; empty table: no rows; extra columns are
+null doc_id comes last; very long texts: cut and hashed whole; rows with equal doc_id and text are one document; empty table: no rows; extra columns are
 ignored. Hash equality stands for equality (64 bits).
 """
 
@@ -26,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import materialize
+from citeloom.llm.common import materialize, scratch, text_key, trim
 from citeloom.llm.hashing import mix, words
 
 SENTENCES = 2
@@ -78,9 +82,19 @@ def spans(text: str, least_sentences: int, least_words: int) -> tuple[int, np.nd
     return n, first, end, mix((sums[z] - sums[a]) * back[a] + (z - a).astype(np.uint64))
 
 
+def _covered(spans: DataFrame) -> DataFrame:
+    """doc_id, tkey and the spans (first, end) of the text that are not the first of their hash."""
+    found = materialize(spans, "spans")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "first")
+    # counts places, not rows, so that repeated rows are one document
+    leading = found.groupBy("h").agg(F.min(place).alias("lead"), F.max(place).alias("last")).where("lead != last").select("h", "lead")
+    leading = materialize(leading, "leading")  # a join of two plain tables, whose hot keys adaptive execution can split
+    return found.join(leading, "h").where(place != F.col("lead")).groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("first", "end")).alias("gone"))
+
+
 def dedup(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int = WORDS) -> DataFrame:
     """doc_id, n_sentences, n_removed and the remaining text of every row."""
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("tkey", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("tkey", text_key())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -93,13 +107,10 @@ def dedup(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int =
                     keys += [tkey] * len(f)
                     first.append(f), end.append(e), h.append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(h).view(np.int64)), pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(np.concatenate(first).astype(np.int32)), pa.array(np.concatenate(end).astype(np.int32))], names=["h", "doc_id", "tkey", "first", "end"])
+        trim()
 
-    found = materialize(rows.mapInArrow(cut, "h long, doc_id long, tkey long, first int, end int"), "spans")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tkey", "first")
-    # counts places, not rows, so that repeated rows are one document
-    leading = found.groupBy("h").agg(F.min(place).alias("lead"), F.max(place).alias("last")).where("lead != last").select("h", "lead")
-    leading = materialize(leading, "leading")  # a join of two plain tables, whose hot keys adaptive execution can split
-    covered = found.join(leading, "h").where(place != F.col("lead")).groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("first", "end")).alias("gone"))
+    with scratch() as keep:
+        covered = keep(materialize(_covered(rows.mapInArrow(cut, "h long, doc_id long, tkey long, first int, end int")), "covered"))
     covered = covered.select(F.col("doc_id").alias("i"), F.col("tkey").alias("k"), F.col("gone.first").alias("first"), F.col("gone.end").alias("end"))
     joined = rows.join(covered, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("tkey") == F.col("k")), "left").select("doc_id", "text", "first", "end")
 
@@ -120,5 +131,6 @@ def dedup(docs: DataFrame, least_sentences: int = SENTENCES, least_words: int =
                 gone.append(len(parts) - int(stays.sum()))
                 kept.append("".join(p for p, s in zip(parts, stays) if s))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_sentences", "n_removed", "text"])
+        trim()
 
     return joined.mapInArrow(remove, "doc_id long, n_sentences long, n_removed long, text string")

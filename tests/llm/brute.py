@@ -47,10 +47,10 @@ def top_k(vectors, k=10):
 
     whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in whole:
+    for n_q, (q, a) in enumerate(whole):
         if q % 100 == 0:
             score = lambda b: min(max(sum(x * y for x, y in zip(a, b)), -(2**63)), 2**63 - 1)  # noqa: B023, E731  a long, as the contract asks
-            found = sorted((-score(b), i) for i, b in whole if i != q and len(a) == len(b))[:k]
+            found = sorted((-score(b), i) for n_b, (i, b) in enumerate(whole) if n_b != n_q and len(a) == len(b))[:k]
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
     return out
 
@@ -75,6 +75,24 @@ def without_repeats(rows):
     return out
 
 
+def without_repeated_runs(rows, sentences, least_sentences, least_words):
+    """{doc_id: remaining text} for (doc_id, text) with distinct ids, hashing every run of sentences of any length."""
+    runs = []
+    for d, t in rows:
+        parts = sentences(t or "")
+        said = [re.sub(r"[^\w\s]+", " ", p.lower()).split() for p in parts]
+        for a in range(len(parts)):
+            for z in range(a + 1, len(parts) + 1):
+                words = sum(said[a:z], [])
+                if said[a] and (z - a >= least_sentences and len(words) >= least_words or z - a == 1 and len(words) >= 2 * least_words):
+                    runs.append((tuple(words), (d is None, d or 0, a), d, a, z))
+    first = {}
+    for key, place, *_ in runs:
+        first[key] = min(place, first.get(key, place))
+    gone = {(d, i) for key, place, d, a, z in runs if place != first[key] for i in range(a, z)}
+    return {d: None if t is None else "".join(p for i, p in enumerate(sentences(t)) if (d, i) not in gone) for d, t in rows}
+
+
 def least_edits(item, text):
     """The edits between item and the piece of text nearest to it."""
     row = [0] * (len(text) + 1)

@@ -86,6 +86,17 @@ def test_top_k_is_exact(spark):
     assert rows(vector_search.top_k(df.limit(0), df.limit(0))) == []
 
 
+def test_repeated_and_tied_vectors(spark):
+    """Only the query's own row is left out, not others of its id; equal scores go to the smaller id."""
+    ones = [1.0] * 4
+    vectors = [(100, [1.0, 2.0, 3.0, 4.0]), (100, [4.0, 3.0, 2.0, 1.0]), (1, [1.0, 0.0, 0.0, 0.0])]
+    got = rows(vector_search.top_k(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"), spark.createDataFrame(vectors[:2], "vec_id long, embedding array<double>")))
+    assert [r[:3] for r in got] == [(100, 1, 100), (100, 1, 100), (100, 2, 1), (100, 2, 1)]
+    vectors = [(i % 70, ones) for i in range(300)] + [(100, ones), (100, ones), (200, [-x for x in ones]), (300, [0.0] * 4), (7, [1e30] * 4), (400, [1e30, -1e30, 1e30, 0.5])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    assert rows(vector_search.top_k(df.repartition(4), df.where("vec_id % 100 = 0"))) == sorted(brute.top_k(vectors), key=repr)
+
+
 # 3
 
 
@@ -339,6 +350,25 @@ def test_ledger_scans_only_what_is_new(spark, docs):
     assert {r["rule"] for r in secret_scan.scan(docs(SECRETS[:2]), ["doc_id"], ledger, newer).new_entries.collect()} == {"assign@2"}
 
 
+def test_stored_ledger(spark, docs, tmp_path):
+    path = str(tmp_path / "ledger")
+    one = secret_scan.scan_stored(docs(SECRETS[:2]), ["doc_id"], path)
+    assert rows(secret_scan.digest(one)) == rows(secret_scan.digest(secret_scan.scan(docs(SECRETS[:2]), ["doc_id"]).findings))
+    assert secret_scan.read_ledger(spark, path).count() == 6
+    both = docs([*SECRETS, (9, SECRETS[0][1]), (None, None)])
+    found = rows(secret_scan.digest(secret_scan.scan_stored(both, ["doc_id"], path)))
+    assert found == rows(secret_scan.digest(secret_scan.scan(both, ["doc_id"]).findings))
+    ledger = secret_scan.read_ledger(spark, path)
+    assert ledger.count() == ledger.select("blob_id", "rule").distinct().count() == 15
+    newer = (secret_scan.RULES[0]._replace(version=2), *secret_scan.RULES[1:])
+    assert rows(secret_scan.digest(secret_scan.scan_stored(both, ["doc_id"], path, newer))) == found
+    assert secret_scan.read_ledger(spark, path).groupBy("rule").count().where("count = 5").count() == 4
+    marked = ledger.withColumn("findings", F.array(F.struct(F.lit(1).alias("start"), F.lit(2).alias("end")))).where("rule = 'hex@1'")
+    marked.write.parquet(str(tmp_path / "other"))  # what is stored is taken from there, not scanned again
+    got = secret_scan.scan_stored(docs([(1, SECRETS[3][1])]), ["doc_id"], str(tmp_path / "other"))
+    assert "hex:1:2" in secret_scan.digest(got).first()["spans"]
+
+
 def test_redaction(spark, docs):
     out = {r["doc_id"]: r for r in secret_scan.redact(docs([*SECRETS, (None, None), (7, "clean")], CLASH)).collect()}
     assert out[1]["text"] == "token: token: abcdefgh [SECRET] \U0001f600 [SECRET]\" [SECRET]"
@@ -357,17 +387,35 @@ def test_mixing(spark, docs):
     assert rows(out) == rows(mixing.mix(given.repartition(5), {"big": 1.0, "small": 1.0, None: 1.0}, total_rows=9000))
     assert set(mixing.mix(given, {"big": 1.0}).select("source").distinct().toPandas()["source"]) == {"big"}
     assert mixing.mix(docs([])).count() == 0
-    assert mixing.mix(docs(ODD)).count() >= 0
+    odd = mixing.mix(docs(ODD), total_rows=1000)
+    assert 800 < odd.count() < 1200 and {(r["doc_id"], r["text"]) for r in odd.collect()} == set(ODD)
 
 
-def test_poisson_cdf(spark):
+def test_poisson_tables(spark):
+    import bisect
     import math
 
-    for rate in (0.1, 1.0, 7.5, 900.0):
-        got = spark.range(1).select(mixing.poisson_cdf(F.lit(rate))).first()[0]
-        k = int(rate)
-        want = sum(math.exp(-rate + i * math.log(rate) - math.lgamma(i + 1)) for i in range(k + 1))
-        assert abs(got[k] - want) < 1e-9 and got[-1] > 1 - 1e-9
+    rates = (0.001, 0.1, 1.0, 7.5, 25.0, 900.0, 1e6)
+    got = {r["rate"]: r for r in mixing.tabulated(spark.createDataFrame([(f"s{i}", x) for i, x in enumerate(rates)] + [(None, 3.0)], "source string, rate double")).collect()}
+    assert len(got) == len(rates) + 1
+    for rate in rates:
+        low, cdf = got[rate]["low"], got[rate]["cdf"]
+        total, at = 0.0, 0
+        for k in range(low, low + len(cdf)):
+            total += math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))
+            assert abs(cdf[k - low] - total) < 1e-6 if rate > 1e5 else abs(cdf[k - low] - total) < 1e-12
+        assert abs(cdf[-1] - 1) < 1e-9 and (low == 0 or cdf[0] < 1e-20)
+        draws = [0.0, 1e-9, 0.1, 0.5, 0.9, 1 - 2.0**-52]
+        df = spark.createDataFrame([(u, cdf) for u in draws], "u double, cdf array<double>")
+        counted = {r["u"]: r["n"] for r in df.select("u", mixing.drawn_count(F.col("cdf"), F.col("u")).alias("n")).collect()}
+        assert counted == {u: bisect.bisect_right(cdf, u) for u in draws}
+
+
+def test_mixing_of_a_rare_source(spark, docs):
+    """One row among thousands that is to make up half of a million."""
+    given = docs([(i, f"text {i}") for i in range(2000)]).withColumn("source", F.when(F.col("doc_id") < 1999, "big").otherwise("one"))
+    n = {r["source"]: r["count"] for r in mixing.mix(given, total_rows=1_000_000).groupBy("source").count().collect()}
+    assert all(490_000 < n[s] < 510_000 for s in ("big", "one"))
 
 
 # 9
@@ -404,6 +452,16 @@ def test_sentence_spans_reach_the_end_of_a_passage(spark, docs):
         assert covered == (set(range(n)) if n > 1 and sum(sizes) >= 16 or max(sizes) >= 32 else set())
 
 
+def test_sentence_spans_equal_all_runs(spark, docs):
+    r = random.Random(21)
+    stock = [" ".join(f"v{i}x{j}" for j in range(r.choice([1, 2, 4, 7, 9, 15, 17, 33]))) for i in range(25)]
+    given = [(i, "".join(r.choice(stock) + r.choice([". ", "! ", "\n", "?? "]) for _ in range(r.randrange(0, 14)))) for i in range(60)]
+    passage = "".join(f"{s}. " for s in stock[:9])
+    given += [(100, "... " + passage), (101, passage * 3), (102, passage), (None, "Own words. " + passage), (103, None), (104, ""), (105, " ".join(["one"] * 70)), (106, "word " * 50_000 + ". " + passage)]
+    got = {x["doc_id"]: x["text"] for x in sentence_dedup.dedup(docs(given, CLASH).repartition(3)).collect()}
+    assert got == brute.without_repeated_runs(given, sentence_dedup.sentences, sentence_dedup.SENTENCES, sentence_dedup.WORDS)
+
+
 # 10
 
 
