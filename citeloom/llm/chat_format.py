@@ -121,14 +121,14 @@ def windows_of(conv, turns: Iterator[Turn], budget: int, history: int, history_t
 def format_windows(conversations: DataFrame, budget: int = 1024, history: int = 2, history_tokens: int = 256, tokenizer: str = TOKENIZER) -> DataFrame:
     """conversations: conv_id, turn, role, text. tokenizer: a vocabulary file of at most a few MB, read here and shipped to the tasks."""
     with open(tokenizer, "rb") as f:
-        ranks = f.read()
+        ranks = conversations.sparkSession.sparkContext.broadcast(f.read())
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce(F.col("role"), F.lit("")).alias("role"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import itertools
 
-        encode = encoder(ranks).encode_ordinary
+        encode = encoder(ranks.value).encode_ordinary
         count = lambda text: len(encode(text))
         stream = ((c, r, t) for b in batches for c, r, t in zip(b.column("conv_id").to_pylist(), b.column("role").to_pylist(), b.column("text").to_pylist()))
         out, size = [], 0
@@ -153,8 +153,10 @@ def as_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def read_back(windows: DataFrame) -> DataFrame:
-    """The contract's columns, parsed from the formatted windows as format_windows() left them in their partitions."""
+def read_back(windows: DataFrame, written: bool = False) -> DataFrame:
+    """The contract's columns, parsed from the formatted windows as format_windows() left them in their partitions; if they were written meanwhile, they are dealt and sorted anew."""
+    if written:
+        windows = windows.repartition("conv_id").sortWithinPartitions("conv_id", "window_no")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import itertools

@@ -134,7 +134,8 @@ def classify(text: str | None, profiles: Profiles) -> tuple[str, float]:
     at = np.minimum(np.searchsorted(profiles.grams, top), len(profiles.grams) - 1)
     known = profiles.grams[at] == top
     missing = (len(top) - int(known.sum())) * profiles.size
-    distances = np.abs(profiles.ranks[:, at[known]] - np.flatnonzero(known)).sum(axis=1) + missing
+    ranks = profiles.ranks[:, at[known]]
+    distances = np.where(ranks == profiles.size, profiles.size, np.abs(ranks - np.flatnonzero(known))).sum(axis=1) + missing
     best = int(distances.argmin())
     return profiles.languages[best], float(1 - distances[best] / (len(top) * profiles.size))
 

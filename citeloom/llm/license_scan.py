@@ -17,8 +17,9 @@ file: the distinct directories are exploded into their ancestors, joined with th
 deepest match is joined back to the files, so a directory of any size is resolved once.
 
 Defined cases: null or empty text: no notice, may inherit; null path: no inheritance and no directory; several licence
-files in a directory: the largest score, then the first path; repeated rows each get a row; empty table: no rows;
-extra columns are ignored.
+files in a directory: the largest score, then the first path; cosines are rounded to nine digits, so that
+equal ones tie; repeated rows each get a row; very long texts: every run is scored, by running sums; empty table: no
+rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -160,11 +161,11 @@ class Scorer:
             segments.append((at, at + n, among))
             at += n
         segments += [(a, z, [j]) for j in among for a, z in self.runs(words, j)]
-        hits = [(-h[0], h[1], a, z) for a, z, js in segments if (h := self.best(words[a:z], js))]
+        hits = [(-round(h[0], 9), h[1], a, z) for a, z, js in segments if (h := self.best(words[a:z], js))]
         if not hits:
             return None, None, 0, 0.0
         covered, counted, n = bytearray(len(words)), bytearray(len(words)), 0
-        for _, _, a, z in sorted(hits, key=lambda h: (round(h[0], 9), *h[1:])):
+        for _, _, a, z in sorted(hits):
             covered[a:z] = b"\1" * (z - a)
             if counted.find(1, a, z) < 0:
                 counted[a:z] = b"\1" * (z - a)

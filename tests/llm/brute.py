@@ -93,6 +93,117 @@ def without_repeated_runs(rows, sentences, least_sentences, least_words):
     return {d: None if t is None else "".join(p for i, p in enumerate(sentences(t)) if (d, i) not in gone) for d, t in rows}
 
 
+def languages(rows, size):
+    """{doc_id: (held out, language, score)} for (doc_id, text, lang)."""
+    import zlib
+
+    def grams(text):
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        out = collections.Counter()
+        for i, w in enumerate(words):
+            out.update(w)
+            out.update(a + b for a, b in zip("_" + w, w + "_"))
+            out.update(a + b + c for a, b, c in zip("_" + w, w + "_", w[1:] + "_"))
+        return out
+
+    def number(g):  # a border is larger than any letter
+        n = 0
+        for c in g:
+            n = n << 21 | (0x1FFFFF if c == "_" else ord(c))
+        return n
+
+    def ranked(counts):
+        return sorted(counts, key=lambda g: (-counts[g], number(g)))[:size]
+
+    out = lambda d: zlib.crc32(str(d).encode()) % 5 == 0
+    learned = collections.defaultdict(collections.Counter)
+    for d, t, lang in rows:
+        if not out(d) and lang is not None and t is not None:
+            learned[lang].update(grams(t))
+    profiles = {lang: {g: i for i, g in enumerate(ranked(c))} for lang, c in sorted(learned.items()) if c}
+    found = {}
+    for d, t, _ in rows:
+        top = ranked(grams(t))
+        if not top:
+            found[d] = (out(d), "und", 0.0)
+            continue
+        distance = {lang: sum(abs(i - p[g]) if g in p else size for i, g in enumerate(top)) for lang, p in profiles.items()}
+        best = min(distance, key=lambda lang: (distance[lang], lang))
+        found[d] = (out(d), best, round(1 - distance[best] / (len(top) * size), 9))
+    return found
+
+
+def licences(files, templates, threshold):
+    """(doc_id, licence, score, origin) for (doc_id, path, text); every segment against every template it is held against."""
+    import math
+
+    term = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+    said = lambda t: term.findall((t or "").lower())
+    known = {w for ts in templates.values() for t in ts for w in said(t)}
+    df = collections.Counter(w for _, _, t in files for w in set(said(t)))
+    weight = lambda w: math.log((1 + len(files)) / (1 + (df[w] if w in known else 0))) + 1
+
+    def vector(words):
+        v = {w: n * weight(w) for w, n in collections.Counter(words).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    held = [(name, said(t), vector(said(t))) for name, ts in templates.items() for t in ts]
+    own = []
+    for d, path, text in files:
+        words, best, spans, runs = said(text), None, [], collections.defaultdict(list)
+        low, at = (text or "").lower(), 0
+        pieces = [(0, len(words), held)]
+        for line in low.split("\n"):
+            n = len(said(line))
+            pieces.append((at, at + n, held))
+            at += n
+        for h in held:
+            n = len(h[1])
+            if known & set(words) and len(words) < 5000:
+                pieces += [(a, a + n, [h]) for a in range(len(words) - n + 1)]
+            elif len(words) >= 5000:  # only where the words of a template are
+                pieces += [(a, a + n, [h]) for a in range(len(words) - n + 1) if sum(w in h[2] for w in words[a : a + n]) > n // 3]
+        for a, z, among in pieces:
+            if z > a and known & set(words[a:z]):
+                v = vector(words[a:z])
+                for name, form, t in among:
+                    c = sum(x * t.get(w, 0.0) for w, x in v.items())
+                    if c >= threshold:
+                        if among is held:
+                            spans.append((a, z))
+                        else:
+                            runs[name, tuple(form)].append((-round(c * c, 9), a, z))
+                        if best is None or (-round(c, 9), name) < (-best[0], best[1]):
+                            best = (round(c, 9), name)
+        for hits in runs.values():  # of a template's runs that overlap, the best stays
+            stay = []
+            for _, a, z in sorted(hits):
+                if all(z <= x or y <= a for x, y in stay):
+                    stay.append((a, z))
+            spans += stay
+        own.append((d, path, best, words, spans))
+    inside = {}
+    for d, path, best, words, spans in own:
+        covered = len({i for a, z in spans for i in range(a, z)}) / max(1, len(words))
+        if best and path is not None and (covered >= 0.5 or re.search(r"(?i)(^|/)(licen[cs]e|copying|notice)[^/]*$", path)):
+            key = path.rpartition("/")[0]
+            inside[key] = min(inside.get(key, (0, "~")), (-best[0], path, best[1]))
+    out = []
+    for d, path, best, _, _ in own:
+        if best:
+            out.append((d, best[1], round(best[0], 6), "own"))
+            continue
+        at, got = path, None
+        while at and got is None:
+            at = at.rpartition("/")[0]
+            got = inside.get(at)
+        if got is None and path is not None:
+            got = inside.get("")
+        out.append((d, got[2], round(-got[0], 6), "inherited") if got else (d, None, None, None))
+    return out
+
+
 def least_edits(item, text):
     """The edits between item and the piece of text nearest to it."""
     row = [0] * (len(text) + 1)

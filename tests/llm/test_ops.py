@@ -123,6 +123,21 @@ def test_long_text_counts_in_pieces(monkeypatch):
     assert (whole[0] == pieces[0]).all() and (whole[1] == pieces[1]).all()
 
 
+@needs_data
+def test_language_query_equals_brute_force(spark):
+    given = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    want = brute.languages(given, language_id.SIZE)
+    got = {r["doc_id"]: (r["held_out"], r["lang_pred"], round(r["score"], 9)) for r in QUERIES["op3_language_id"](spark, DATA).collect()}
+    assert got == want and len(got) == len(given)
+
+
+def test_language_ties_and_repeated_rows(spark):
+    given = [(i, "ab ab cd", lang) for i, lang in enumerate(["yy", "xx"] * 10)] + [(0, "ab ab cd", "yy")] * 2
+    df = spark.createDataFrame(given, "doc_id long, text string, lang string")
+    got = language_id.digest(df.repartition(3)).collect()
+    assert len(got) == 22 and {r["lang_pred"] for r in got} == {"xx"} and {r["score"] for r in got} == {1.0}
+
+
 @needs_data
 def test_held_out_accuracy(spark):
     got = QUERIES["op3_language_id"](spark, DATA.replace("0.001", "0.01"))
@@ -207,6 +222,27 @@ def test_chat_round_trip(spark):
     assert chat_format.format_windows(conversation(spark, [])).count() == 0
 
 
+def test_written_windows_read_back(spark, tmp_path):
+    turns = [(c, n, ["user", "assistant"][n % 2], f"turn {n} of {c} " * (n + 1) + "long " * (30_000 if (c, n) == (3, 5) else 0)) for c in range(30) for n in range(12)]
+    windows = chat_format.format_windows(conversation(spark, turns), 100, 2, 30)
+    windows.repartition(7, F.rand(3)).write.parquet(str(tmp_path / "w"))
+    stored = spark.read.parquet(str(tmp_path / "w"))
+    assert stored.count() > 30 and rows(chat_format.read_back(stored, written=True)) == rows(chat_format.read_back(windows))
+
+
+@needs_data
+def test_chat_query_equals_brute_force(spark):
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns = {-1: [("user", said), ("assistant", said)]}
+    for r in spark.read.parquet(f"{DATA}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        turns.setdefault(r["conv_id"], []).append((r["role"], r["text"] or ""))
+    want = {}
+    for c, t in turns.items():
+        loss = "".join(x for role, x in t if role == "assistant")
+        want[c] = (len(t), hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in t).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert {r[0]: tuple(r[1:5]) for r in QUERIES["op5_chat_format"](spark, DATA).collect()} == want
+
+
 def test_chat_windows_keep_budget(spark):
     turns = [(1, 0, "system", "be kind")] + [(1, n, ["assistant", "user"][n % 2], f"word {n} " * 6) for n in range(1, 30)] + [(1, 30, "user", "long " * 200)]
     w = chat_format.format_windows(conversation(spark, turns), 120, 2, 60).orderBy("window_no").collect()
@@ -485,6 +521,24 @@ def test_licences(spark):
     assert license_scan.scan(df.limit(0)).count() == 0
 
 
+def test_licences_equal_brute_force(spark):
+    r = random.Random(31)
+    notices = [t for ts in license_scan.TEMPLATES.values() for t in ts]
+    words = [f"w{i}" for i in range(60)] + ["license", "the", "under", "software", "version", "public", "copyright"]
+    files = []
+    for i in range(120):
+        t = " ".join(r.choice(words) for _ in range(r.randrange(0, 60)))
+        for _ in range(r.choice([0, 0, 1, 2])):
+            n = r.choice(notices).split()
+            n = [w for w in n if r.random() > r.choice([0, 0, 0.1, 0.4])]
+            t = f"{t}{r.choice(['', ' ', chr(10)])} {r.choice([' ', chr(10)]).join(n)} {' '.join(r.choice(words) for _ in range(r.randrange(0, 20)))}"
+        files.append((i, "/".join(r.choice("abc") for _ in range(r.randrange(0, 4))) + f"/{r.choice(['LICENSE', 'x.py'])}{i}", t))
+    files += [(200, None, notices[0]), (201, "a/b/c/d/e.py", None), (202, "a/b/c/d/f.py", ""), (203, "same/LICENSE", notices[0]), (204, "same/COPYING", notices[0]), (205, "same/x.py", "code"), (205, "same/x.py", "code"), (206, "long/x.py", "w1 w2 " * 20_000 + notices[-1])]
+    got = sorted(((x["doc_id"], x["license"], x["score"] and round(x["score"], 6), x["origin"]) for x in license_scan.scan(spark.createDataFrame(files, "doc_id long, path string, text string").repartition(3)).collect()), key=repr)
+    assert got == sorted(brute.licences(files, license_scan.TEMPLATES, license_scan.THRESHOLD), key=repr)
+    assert [x["license_path"] for x in license_scan.scan(spark.createDataFrame(files[-5:-1], "doc_id long, path string, text string")).where("doc_id = 205").collect()] == ["same/COPYING"] * 2
+
+
 def test_anchors_lose_nothing():
     scorer = license_scan.Scorer(license_scan.TEMPLATES, {"the": 900, "license": 30}, 1000, license_scan.THRESHOLD)
     for ts in license_scan.TEMPLATES.values():
