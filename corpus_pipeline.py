@@ -1,7 +1,14 @@
 """Documents to training mix: language ID, near duplicates, benchmark decontamination, secret redaction, source mixing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame. run() writes every stage as Parquet in the shared
-folder and rereads it, so a lost executor repeats one stage's tasks at most and no lineage grows.
+folder and rereads it, so a lost executor repeats one stage's tasks at most and no lineage grows. Stages decide on
+(doc_id, text): only keys of rows that go come back from Python, and texts stay where they are.
+
+Defined cases: null or empty text, or text without a letter: goes in the first stage; null doc_id: kept like any other
+row, and in a group of near duplicates the last choice; ties: the smallest doc_id of a group stays; repeated rows: one
+stays; null source: a source of its own; very long texts: whole in every stage; extra columns, whatever their names, are
+passed on (those that the last stage adds replace columns of the same name); empty documents or benchmark: no rows, or
+nothing to look for.
 """
 
 from __future__ import annotations
