@@ -31,7 +31,29 @@ def format_string(x: Column, prefix: str = "", suffix: str = "") -> Column:
 def significant(x: Column, digits: int) -> Column:
     """x rounded to so many significant digits."""
     scale = F.pow(F.lit(10.0), digits - 1 - F.floor(F.log10(F.abs(x))))
-    return F.when(x == 0, x).otherwise(F.round(x * scale) / scale)
+    plain = (x == 0) | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf"))
+    return F.when(plain, x).otherwise(F.round(x * scale) / scale)
+
+
+def precise(x: Column, digits: int) -> Column:
+    """x with so many significant digits as text: plain from 1e-6 up to as many digits before the point, else with an exponent; null, NaN and infinities give null."""
+    science = F.format_string(f"%.{digits - 1}e", x.cast("double"))
+    parts = F.split(science, "e")
+    mantissa, exponent = parts[0], parts[1].cast("int")
+    shown = F.concat(mantissa, F.when(exponent < 0, "e-").otherwise("e+"), F.abs(exponent).cast("string"))
+    for e in range(-6, digits):
+        shown = F.when(exponent == e, F.format_string(f"%.{digits - 1 - e}f", x.cast("double"))).otherwise(shown)
+    return F.when(x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")), shown)
+
+
+def rescaled(x: Column, scale: int) -> Column:
+    """x as a whole number of 10^-scale, for sliders that count in steps."""
+    return F.floor(x * 10**scale + 0.5).cast("long")
+
+
+def unscaled(n: Column, scale: int) -> Column:
+    """Such a number as text with all its places."""
+    return F.format_string(f"%.{scale}f", n.cast("double") / 10**scale)
 
 
 def format_date(x: Column, pattern: str = "yyyy-MM-dd") -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,6 +50,13 @@ def abbreviate_authors(authors: Column) -> Column:
     return F.when(F.size(names) == 1, first).when(F.size(names) == 2, F.concat_ws(" & ", first, F.element_at(names, 2))).when(F.size(names) > 2, F.concat(first, F.lit(" et al.")))
 
 
+def split_escaped(c: Column, separator: str = ".", escape: str = "\\") -> Column:
+    """Split at separators that no escape character precedes, and take the escapes away: `a\\.b.c` is `a.b` and `c`. Up to 40 escapes in a row are told apart."""
+    s, e = re.escape(separator), re.escape(escape)
+    parts = F.split(c, f"(?<!(?<!{e})(?:{e}{e}){{0,20}}{e}){s}", -1)
+    return F.transform(parts, lambda p: F.regexp_replace(p, f"{e}(.)", "$1"))
+
+
 def background_of(sm: Column) -> Column:
     """The first two `-` tokens of a sub message; fewer than two raise, null stays null."""
     bad = F.raise_error(F.concat(F.lit("sub message without two tokens: "), sm))

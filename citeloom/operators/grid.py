@@ -4,18 +4,32 @@ from __future__ import annotations
 
 import datetime
 import re
-from typing import NamedTuple
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from citeloom.session import shared_dir
 
-def parse_range(given: str, low: float, high: float) -> tuple[float, float]:
-    """`lo ... hi`; an open end is the column's own."""
-    m = re.fullmatch(r"\s*([^\s]*)\s*\.\.\.\s*([^\s]*)\s*", given)
-    if not m:
+
+def parse_range(given: str, low, high, read: Callable = float) -> tuple:
+    """`lo ... hi`, each end read by `read`; an open end is the column's own."""
+    first, dots, last = given.partition("...")
+    if not dots or "..." in last:
         raise ValueError(f"not a range: {given!r}")
-    return (float(m[1]) if m[1] else low), (float(m[2]) if m[2] else high)
+    return tuple(read(x.strip()) if x.strip() else own for x, own in ((first, low), (last, high)))
+
+
+def parse_date_range(given: str, first: datetime.date, last: datetime.date) -> tuple[datetime.date, datetime.date]:
+    """The same of ISO days."""
+    return parse_range(given, first, last, datetime.date.fromisoformat)
+
+
+def parse_time_range(given: str, first: datetime.datetime, last: datetime.datetime) -> tuple[datetime.datetime, datetime.datetime]:
+    """The same of ISO times."""
+    return parse_range(given, first, last, datetime.datetime.fromisoformat)
 
 
 def range_filter(c: Column, low, high, least=None, most=None) -> Column:
@@ -60,23 +74,51 @@ def search_all(columns: list[str], query: str, **options: bool) -> Column:
     return search(row, query, **options)
 
 
-class Page(NamedTuple):
+DEEP = 100_000  # rows up to a page's end that one task may hold
+
+
+@dataclass(frozen=True)
+class Page:
     rows: DataFrame  # of the page, with row_number among all that match
-    matching: DataFrame  # all that match, with row_number
+    df: DataFrame
+    order: list[Column]
+
+    @property
+    def matching(self) -> DataFrame:
+        """All that match, with row_number."""
+        return numbered(self.df, self.order)
+
+
+def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """df with row_number (from 1) in an order that ends in a tiebreaker, by no task that sees all rows.
+
+    The rows are dealt by ranges of the order, sorted in their tasks and written with task and place; a task's rows follow
+    those of all tasks before it, whose counts are one row a task.
+    """
+    spark = df.sparkSession
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    path = f"{shared_dir(spark)}/numbered-{uuid.uuid4().hex}"
+    sorted_rows.withColumn("__task", F.spark_partition_id()).withColumn("__place", place).write.parquet(path)
+    written = spark.read.parquet(path)
+    counts = written.groupBy("__task").agg(F.count("*").alias("n"))
+    before = counts.withColumn("before", F.sum("n").over(Window.orderBy("__task")) - F.col("n")).select("__task", "before")
+    return written.join(before, "__task").withColumn("row_number", (F.col("before") + F.col("__place") + 1).cast("int")).select(*df.columns, "row_number")
 
 
 def page(df: DataFrame, order: list[Column], number: int, length: int) -> Page:
     """The number-th page (from 1). order must end in a tiebreaker.
 
-    The page itself comes from a top-k plan (only number * length rows leave the tasks); numbering all rows is only
-    done by whoever reads `matching`.
+    The page itself comes from a top-k plan (only number * length rows leave the tasks), or, if it lies deep, from all
+    rows numbered; otherwise numbering all rows is only done by whoever reads `matching`.
     """
     if number < 1:
         raise ValueError("pages count from 1")
-    top = df.orderBy(*order).limit(number * length)
-    w = Window.orderBy(*order)
-    rows = top.withColumn("row_number", F.row_number().over(w)).where(F.col("row_number") > (number - 1) * length)
-    return Page(rows, df.withColumn("row_number", F.row_number().over(w)))
+    if number * length > DEEP:
+        ranked = numbered(df, order)
+    else:
+        ranked = df.orderBy(*order).limit(number * length).withColumn("row_number", F.row_number().over(Window.orderBy(*order)))
+    return Page(ranked.where(F.col("row_number").between((number - 1) * length + 1, number * length)), df, order)
 
 
 def checked_page(df: DataFrame, order: list[Column], number: int, length: int) -> Page:
@@ -90,6 +132,26 @@ def selected(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return df.join(keys.select(key).distinct(), key, "left_semi")
 
 
+def selected_columns(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """A column selection: the key and the chosen columns, in the table's order."""
+    return df.select(*[c for c in df.columns if c == key or c in columns])
+
+
+def selected_cells(df: DataFrame, key: str, cells: DataFrame) -> DataFrame:
+    """cells: the key and `column`. The chosen cells as rows: key, column, value (text)."""
+    shown = [c for c in df.columns if c != key]
+    flat = df.select(key, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in shown])).alias("cell")).select(key, "cell.column", "cell.value")
+    return flat.join(cells.select(key, "column").distinct(), [key, "column"], "left_semi")
+
+
+def selected_both(df: DataFrame, key: str, keys: DataFrame, columns: list[str]) -> DataFrame:
+    """A selection of rows and columns: every cell that is in a chosen row or a chosen column, as selected_cells()."""
+    rows = keys.select(key).distinct().withColumn("column", F.explode(F.array(*[F.lit(c) for c in df.columns if c != key])))
+    if columns:
+        rows = rows.unionByName(df.select(key).withColumn("column", F.explode(F.array(*[F.lit(c) for c in columns]))))
+    return selected_cells(df, key, rows)
+
+
 def selectable(df: DataFrame, key: str, keys: list[int]) -> DataFrame:
     """Positive keys allow only these rows; keys of zero and less deny the rows of their absolute values."""
     if not keys:
@@ -116,6 +178,55 @@ def add_row(df: DataFrame, values: list) -> DataFrame:
     return df.union(df.sparkSession.createDataFrame([tuple(values)], df.schema))
 
 
+def edit_cells(df: DataFrame, key: str, edits: DataFrame) -> DataFrame:
+    """edits: the key, `column` and `value` (text, null to empty the cell), at most one row a cell; cast to the columns' types. Cells of the key can't be edited."""
+    by_row = edits.groupBy(F.col(key).alias("__key")).agg(F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("__new"))
+
+    def changed(c: str) -> Column:
+        here = F.coalesce(F.map_contains_key("__new", F.lit(c)), F.lit(False))
+        return F.when(here, F.element_at("__new", F.lit(c)).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+
+    return df.join(by_row, F.col(key) == F.col("__key"), "left").select(*[F.col(c) if c == key else changed(c) for c in df.columns])
+
+
+def edit_row(df: DataFrame, key: str, value, new: dict) -> DataFrame:
+    """Several cells of one row changed."""
+    for column, v in new.items():
+        df = edit(df, key, value, column, v)
+    return df
+
+
+def edit_column(df: DataFrame, key: str, column: str, values: DataFrame) -> DataFrame:
+    """values: the key and `value`. A whole column changed; rows without a value keep theirs."""
+    return edit_cells(df, key, values.select(key, F.lit(column).alias("column"), F.col("value").cast("string").alias("value")))
+
+
+def edit_all(df: DataFrame, key: str, new: DataFrame) -> DataFrame:
+    """Every column of the rows of `new` (the same columns) taken from there; rows that it lacks stay."""
+    return df.join(new.select(key).distinct(), key, "left_anti").select(*df.columns).unionByName(new.select(*df.columns))
+
+
+def reload(fresh: DataFrame, key: str, selection: DataFrame | None, clear: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """New data, and what is left of a selection (keys) in it; clear drops the selection."""
+    if selection is None or clear:
+        return fresh, None
+    return fresh, selection.join(fresh.select(key), key, "left_semi")
+
+
+def highlighted(c: Column, query: str, regex: bool = False, case_insensitive: bool = True) -> Column:
+    """c with every word of the query (or every match of the expression) within <mark>; null stays null, a blank query marks nothing."""
+    words = [query] if regex else [re.escape(w) for w in sorted(set(query.split()), key=len, reverse=True)]
+    if not any(words):
+        return c
+    return F.regexp_replace(c, ("(?i)" if case_insensitive else "") + f"({'|'.join(words)})", "<mark>$1</mark>")
+
+
+def row_groups(df: DataFrame, by: str, order: list[Column], hide: bool = True) -> DataFrame:
+    """Rows in groups: `group` first, then whether the row begins one; the column itself is hidden unless wanted. A group is numbered by one task."""
+    first = F.row_number().over(Window.partitionBy(by).orderBy(*order)) == 1
+    return df.select(F.col(by).alias("group"), first.alias("group_start"), *[c for c in df.columns if c != by or not hide])
+
+
 def edit(df: DataFrame, key: str, value, column: str, new) -> DataFrame:
     """One cell changed."""
     return df.withColumn(column, F.when(F.col(key) == value, F.lit(new).cast(df.schema[column].dataType)).otherwise(F.col(column)))

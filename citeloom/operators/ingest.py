@@ -14,16 +14,31 @@ def works_lookup(works: DataFrame, refs: DataFrame) -> DataFrame:
     return works.join(asked, "doi", "left_semi")
 
 
-def key_works(refs: DataFrame, works: DataFrame, normalize_doi: bool = False) -> DataFrame:
-    """Every reference with its work; a reference without DOI meets works without DOI (null equals null)."""
+SALTS = 64  # tasks over which references without DOI are dealt
+
+
+def key_works(refs: DataFrame, works: DataFrame, normalize_doi: bool = False, null_meets_null: bool = True) -> DataFrame:
+    """Every reference with its work; a reference without DOI meets every work without DOI, or none (null_meets_null).
+
+    References without DOI are one key, so they are joined apart: dealt over SALTS numbers, each of which has a copy of the
+    works without DOI.
+    """
     left = refs.withColumn("doi", text.prefixed(F.col("doi"), text.DOI_PREFIX))
     right = works.withColumnRenamed("doi", "work_doi")
     a, b = F.col("doi"), F.col("work_doi")
     if normalize_doi:
         a, b = F.lower(a), F.lower(b)
-    return left.join(right, a.eqNullSafe(b), "left").drop("work_doi")
+    known = left.where("doi is not null").join(right, a == b, "left").drop("work_doi")
+    blank = left.where("doi is null")
+    if not null_meets_null:
+        return known.unionByName(blank, allowMissingColumns=True)
+    salted = blank.withColumn("__salt", F.pmod(F.xxhash64(*[c for c in blank.columns if c != "doi"]), F.lit(SALTS)))
+    copies = right.where("work_doi is null").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return known.unionByName(salted.join(copies, salted["__salt"] == copies["__salt"], "left").drop("work_doi", "__salt"))
 
 
 def messages_per_work(key: DataFrame) -> DataFrame:
-    """One row a work id (null is one) with all its background messages, repeated ones too, in order."""
-    return key.groupBy(text.strip(F.col("id"), text.WORK_PREFIX).alias("id")).agg(F.sort_array(F.collect_list("bm")).alias("bms"))
+    """One row a work id (null is one, and comes last) with all its background messages, repeated ones too, in order. Repeats are counted before they are gathered."""
+    counted = key.groupBy(text.strip(F.col("id"), text.WORK_PREFIX).alias("id"), "bm").agg(F.count("bm").cast("int").alias("n"))
+    listed = counted.groupBy("id").agg(F.array_sort(F.collect_list(F.when(F.col("bm").isNotNull(), F.struct("bm", "n")))).alias("c"))
+    return listed.select("id", F.flatten(F.transform("c", lambda x: F.array_repeat(x["bm"], x["n"]))).alias("bms")).orderBy(F.asc_nulls_last("id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -34,10 +36,10 @@ def slider_keys(df: DataFrame, key: str, c: Column, low, high) -> DataFrame:
 
 
 def group_keys(groups: DataFrame, chosen: list[str]) -> DataFrame | None:
-    """groups: name, keys (array). The keys of the chosen groups, each once; None (clear) if nothing is chosen."""
+    """groups: name, key, a row for each key of a group. The keys of the chosen groups, each once; None (clear) if nothing is chosen."""
     if not chosen:
         return None
-    return groups.where(F.col("name").isin(chosen)).select(F.explode("keys").alias("key")).distinct()
+    return groups.where(F.col("name").isin(chosen)).select("key").distinct()
 
 
 def keyset_diff(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -53,6 +55,24 @@ def check_sorted(keys: list[str]) -> None:
         raise ValueError("keys must be sorted and distinct")
 
 
+class Var:
+    """A value whose listeners are told of changes: listener(new, old). Setting what it holds already tells nobody."""
+
+    def __init__(self, value=None) -> None:
+        self.value, self.listeners = value, []
+
+    def on(self, listener: Callable) -> Callable[[], None]:
+        """Returns a function that removes the listener."""
+        self.listeners.append(listener)
+        return lambda: self.listeners.remove(listener) if listener in self.listeners else None
+
+    def set(self, value) -> None:
+        old, self.value = self.value, value
+        if value is not old:
+            for listener in list(self.listeners):
+                listener(value, old)
+
+
 class FilterSet:
     """A group's filter handles. set() replaces a handle's keys, clear() removes the handle; keys() is None without any."""
 
@@ -71,11 +91,80 @@ class FilterSet:
         return intersection(self.handles)
 
 
-class Selection:
+class Selection(Var):
     """The last writer's keys."""
 
+
+class Group:
+    """What linked views of one name share: a filter set, whose keys `filter` announces, a selection, and variables by name."""
+
+    def __init__(self, name: str) -> None:
+        self.name, self.filters, self.filter, self.selection = name, FilterSet(), Var(), Selection()
+        self.variables: dict[str, Var] = {}
+
+    def var(self, name: str) -> Var:
+        return self.variables.setdefault(name, Var())
+
+
+class Groups:
+    """Groups by name, made when first asked for."""
+
     def __init__(self) -> None:
-        self.value: DataFrame | None = None
+        self.by_name: dict[str, Group] = {}
+
+    def get(self, name: str) -> Group:
+        return self.by_name.setdefault(name, Group(name))
+
+
+class FilterHandle:
+    """One view's part in a group's filter. A handle without a group does nothing; one that changes groups leaves its old filter behind cleared."""
+
+    _count = itertools.count()
+
+    def __init__(self, group: Group | None = None) -> None:
+        self.id, self.group = f"filter{next(FilterHandle._count)}", group
 
     def set(self, keys: DataFrame | None) -> None:
-        self.value = keys
+        if self.group:
+            if keys is None:
+                self.group.filters.clear(self.id)
+            else:
+                self.group.filters.set(self.id, keys)
+            self.group.filter.set(self.group.filters.keys())
+
+    def clear(self) -> None:
+        if self.group and self.id in self.group.filters.handles:
+            self.set(None)
+
+    def close(self) -> None:
+        """Takes its filter and leaves the group."""
+        self.switch(None)
+
+    def switch(self, group: Group | None) -> None:
+        if group is not self.group:
+            self.clear()
+            self.group = group
+
+    def keys(self) -> DataFrame | None:
+        return self.group.filter.value if self.group else None
+
+
+class SelectionHandle:
+    """One view's access to a group's selection. A change of groups keeps both groups' values."""
+
+    def __init__(self, group: Group | None = None) -> None:
+        self.group = group
+
+    def set(self, keys: DataFrame | None) -> None:
+        if self.group:
+            self.group.selection.set(keys)
+
+    def clear(self) -> None:
+        self.set(None)
+
+    def switch(self, group: Group | None) -> None:
+        self.group = group
+
+    @property
+    def value(self) -> DataFrame | None:
+        return self.group.selection.value if self.group else None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CUT_OFF = 1998
+SITE = "https://messages.example"
 OVER_BM = 4
 FIRST_YEAR, LAST_YEAR = 1996, 2000
 
@@ -50,13 +51,15 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as references; their DOIs spread over as many numbers as there are parts and a quarter more, which no work has."""
     o = table(spark, sf_dir, "orders")
+    numbers = table(spark, sf_dir, "part").agg(F.floor(F.count("*") * 1.25)).scalar()
     bm = F.concat(F.lit("bm-"), (F.col("o_custkey") % 5).cast("string"))
     return o.select(
         bm.alias("bm"),
         F.concat(bm, F.lit("-"), (F.col("o_custkey") % 25).cast("string")).alias("sm"),
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("zotero"),
-        F.when(F.col("o_orderkey") % 10 == 0, "").otherwise(F.concat(F.lit("10."), (F.col("o_orderkey") % 3000).cast("string"))).alias("doi"),
+        F.when(F.col("o_orderkey") % 10 == 0, "").otherwise(F.concat(F.lit("10."), (F.col("o_orderkey") % numbers).cast("string"))).alias("doi"),
         F.col("o_orderkey").alias("ref_no"),
     )
 
@@ -75,9 +78,22 @@ def citing_works(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "orders").where("o_orderkey % 50 = 0").select(F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("id"))
-    b = table(spark, sf_dir, "part").where("p_partkey % 40 = 0").select(F.concat(F.lit("W"), F.col("p_partkey").cast("string")).alias("id"))
-    return a.unionAll(b)
+    """The works flagged as key papers."""
+    return nodes(spark, sf_dir).where("oa_input").select("id").distinct()
+
+
+def raw_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the reference list comes: messages and DOIs as URLs, blank fields, missing ones, quotes and line breaks."""
+    key = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(
+        key.cast("string").alias(""),
+        F.concat(F.lit(f"{SITE}/report/bgm/"), (F.col("o_custkey") % 5).cast("string")).alias("Background Message"),
+        F.concat(F.lit(f"{SITE}/report/subm/"), (F.col("o_custkey") % 5).cast("string"), F.lit("-"), (F.col("o_custkey") % 25).cast("string")).alias("Sub Message"),
+        F.when(key % 3 == 0, "").otherwise(F.col("o_orderpriority")).alias("Level if Confidence"),
+        F.when(key % 7 == 0, None).otherwise(F.concat(F.lit("z"), (key % 100).cast("string"))).alias("zotero"),
+        F.when(key % 10 == 0, "").otherwise(F.concat(F.lit("https://doi.org/10."), (key % 100).cast("string"))).alias("doi"),
+        F.concat(F.lit('said "'), F.col("o_orderpriority"), F.lit('",\nagain')).alias("description"),
+    )
 
 
 NODES = """nodes AS (SELECT DISTINCT concat('W', CAST(p_partkey AS VARCHAR)) AS id, p_brand AS author, p_name AS title, p_type AS type,
@@ -94,7 +110,7 @@ EDGES = """edges AS (SELECT DISTINCT concat('O', CAST(l_orderkey AS VARCHAR)) AS
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 REFS = """refs AS (SELECT concat('bm-', CAST(o_custkey % 5 AS VARCHAR)) AS bm, concat('bm-', CAST(o_custkey % 5 AS VARCHAR), '-', CAST(o_custkey % 25 AS VARCHAR)) AS sm,
-  nullif(o_orderpriority, '5-LOW') AS zotero, CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE concat('10.', CAST(o_orderkey % 3000 AS VARCHAR)) END AS doi,
+  nullif(o_orderpriority, '5-LOW') AS zotero, CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE concat('10.', CAST(o_orderkey % (SELECT CAST(floor(count(*) * 1.25) AS BIGINT) FROM part) AS VARCHAR)) END AS doi,
   o_orderkey AS ref_no FROM orders)"""
 
 WORKS = """works AS (SELECT concat('https://openalex.org/W', CAST(p_partkey AS VARCHAR)) AS id,
@@ -103,7 +119,6 @@ WORKS = """works AS (SELECT concat('https://openalex.org/W', CAST(p_partkey AS V
 KEY_WORKS = f"""{REFS}, {WORKS}, key_works AS (SELECT r.bm, r.sm, r.zotero, r.doi, r.ref_no, w.id, w.title FROM (SELECT bm, sm, zotero,
   CASE WHEN doi = '' THEN NULL ELSE concat('https://doi.org/', doi) END AS doi, ref_no FROM refs) r LEFT JOIN works w ON r.doi IS NOT DISTINCT FROM w.doi)"""
 
-HOP = """seeds AS (SELECT concat('O', CAST(o_orderkey AS VARCHAR)) AS id FROM orders WHERE o_orderkey % 50 = 0
-  UNION SELECT concat('W', CAST(p_partkey AS VARCHAR)) FROM part WHERE p_partkey % 40 = 0),
+HOP = f"""{NODES}, seeds AS (SELECT DISTINCT id FROM nodes WHERE oa_input),
 cites AS (SELECT DISTINCT concat('O', CAST(l_orderkey AS VARCHAR)) AS "from", concat('W', CAST(l_partkey AS VARCHAR)) AS "to" FROM lineitem),
 hop AS (SELECT * FROM cites WHERE "from" IN (SELECT id FROM seeds) OR "to" IN (SELECT id FROM seeds))"""

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from citeloom.functions import formats, text
 from citeloom.operators import grid, ingest, linked, reports, snowball
 from citeloom.plans import bindings as b
+from citeloom.schemas import NODES
 from citeloom.session import shared_dir
-from citeloom.sources import datasets
+from citeloom.sources import datasets, payload, refs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -173,6 +174,49 @@ def works_lookup(spark: SparkSession, d: str) -> DataFrame:
     return ingest.works_lookup(b.works(spark, d), b.refs(spark, d))
 
 
+@query(f"""SELECT DISTINCT CAST(o_custkey % 5 AS VARCHAR) AS bm, concat(CAST(o_custkey % 5 AS VARCHAR), '-', CAST(o_custkey % 25 AS VARCHAR)) AS sm,
+CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderpriority END AS loc, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE concat('z', CAST(o_orderkey % 100 AS VARCHAR)) END AS zotero,
+CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE concat('10.', CAST(o_orderkey % 100 AS VARCHAR)) END AS doi, concat('said "', o_orderpriority, '",', chr(10), 'again') AS citation FROM orders""")
+def tidy_refs(spark: SparkSession, d: str) -> DataFrame:
+    """The reference list written as CSV, read and tidied."""
+    path = f"{shared_dir(spark)}/refs-{uuid.uuid4().hex}"
+    b.raw_refs(spark, d).write.csv(path, header=True, quote='"', escape='"', nullValue="NA", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return refs.tidy_refs(refs.read_refs_raw(spark, path), f"^{b.SITE}/report/bgm/", f"^{b.SITE}/report/subm/")
+
+
+@query("""SELECT n_nationkey, CASE count(s_name) WHEN 0 THEN NULL WHEN 1 THEN min(s_name) WHEN 2 THEN concat(min(s_name), ' & ', max(s_name)) ELSE concat(min(s_name), ' et al.') END AS author
+FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey GROUP BY n_nationkey""")
+def short_authors(spark: SparkSession, d: str) -> DataFrame:
+    """A nation's suppliers as a work's authors."""
+    rows = b.table(spark, d, "nation").join(b.table(spark, d, "supplier"), F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    names = F.array_sort(F.collect_list(F.when(F.col("s_name").isNotNull(), F.struct(F.col("s_name").alias("name")))))
+    return rows.groupBy("n_nationkey").agg(names.alias("authors")).select("n_nationkey", text.abbreviate_authors(F.col("authors")).alias("author"))
+
+
+@query("SELECT p_partkey, p_name, p_size FROM part")
+def json_payload(spark: SparkSession, d: str) -> DataFrame:
+    """A brand's parts as a payload of columns, read back."""
+    sent = b.table(spark, d, "part").groupBy("p_brand").agg(payload.to_payload(["p_partkey", "p_name", "p_size"], "p_partkey").alias("json"))
+    return payload.read_payload(sent, "json", b.table(spark, d, "part").select("p_partkey", "p_name", "p_size").schema)
+
+
+@query("SELECT p_partkey, concat(p_name, '.', p_brand) AS first, p_type AS second FROM part")
+def split_escaped(spark: SparkSession, d: str) -> DataFrame:
+    parts = text.split_escaped(F.concat("p_name", F.lit("\\."), "p_brand", F.lit("."), "p_type"))
+    return b.table(spark, d, "part").select("p_partkey", parts[0].alias("first"), parts[1].alias("second"))
+
+
+@query("SELECT concat('W', CAST(p_partkey AS VARCHAR)) AS id, CASE WHEN p_size <= 25 THEN p_name END AS title, CASE WHEN p_size > 25 THEN p_type END AS type FROM part")
+def existing_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Two tables with different columns, one that is missing and one that is broken."""
+    base, part = f"{shared_dir(spark)}/existing-{uuid.uuid4().hex}", b.table(spark, d, "part").withColumn("id", F.concat(F.lit("W"), F.col("p_partkey").cast("string")))
+    part.where("p_size <= 25").select("id", F.col("p_name").alias("title")).write.parquet(f"{base}/titles")
+    part.where("p_size > 25").select("id", F.col("p_type").alias("type")).write.parquet(f"{base}/types")
+    spark.range(1).select(F.lit("no table").alias("value")).write.text(f"{base}/broken")
+    found = datasets.read_existing(spark, [f"{base}/{n}" for n in ("titles", "none", "types", "broken")], NODES)
+    return found.rows.select("id", "title", "type")
+
+
 @query("SELECT page_id, regexp_replace(url, 'https?://', '', 'g') AS url FROM pages")
 def strip_url_prefix(spark: SparkSession, d: str) -> DataFrame:
     return b.table(spark, d, "pages").select("page_id", text.strip(F.col("url"), "https?://").alias("url"))
@@ -192,6 +236,31 @@ def grid_date_filter(spark: SparkSession, d: str) -> DataFrame:
     return b.table(spark, d, "events").where(grid.date_filter(F.col("ts"), datetime.date(2024, 1, 5), datetime.date(2024, 1, 20))).select("event_id", "event_type")
 
 
+@query("SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= (SELECT max(CAST(CAST(ts AS DATE) AS TIMESTAMP)) FROM events)")
+def grid_date_range(spark: SparkSession, d: str) -> DataFrame:
+    """The range as a text with an open end, which is the column's last day."""
+    events = b.table(spark, d, "events")
+    days = events.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    return events.where(grid.date_filter(F.col("ts"), *grid.parse_date_range("2024-01-05 ... ", *days))).select("event_id", "event_type")
+
+
+@query("SELECT event_id, value FROM events")
+def grid_full_range(spark: SparkSession, d: str) -> DataFrame:
+    """A range over all of a column is no filter."""
+    events = b.table(spark, d, "events")
+    least, most = grid.column_stats(events, ["value"]).first()
+    return events.where(grid.range_filter(F.col("value"), *grid.parse_range("...", least, most), least, most)).select("event_id", "value")
+
+
+@query("""WITH r AS (SELECT min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part WHERE p_size <= 25)
+SELECT p_partkey, p_retailprice FROM part, r WHERE p_retailprice BETWEEN least(greatest(950.0, lo), hi) AND greatest(least(2000.0, hi), lo)""")
+def grid_clipped_range(spark: SparkSession, d: str) -> DataFrame:
+    """A user's range within new limits."""
+    part = b.table(spark, d, "part")
+    limits = grid.column_stats(part.where("p_size <= 25"), ["p_retailprice"]).first()
+    return part.where(grid.range_filter(F.col("p_retailprice"), *grid.clip_range(950.0, 2000.0, *limits))).select("p_partkey", "p_retailprice")
+
+
 @query("SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase')")
 def grid_factor_filter(spark: SparkSession, d: str) -> DataFrame:
     return b.table(spark, d, "events").where(grid.factor_filter(F.col("event_type"), ["click", "purchase"])).select("event_id", "event_type")
@@ -214,6 +283,80 @@ def grid_page(spark: SparkSession, d: str) -> DataFrame:
     return grid.page(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.desc("p_size"), F.asc("p_partkey")], 3, 10).rows
 
 
+@query("SELECT p_partkey, p_size, CAST(row_number() OVER (ORDER BY p_size DESC, p_partkey) AS INTEGER) AS row_number FROM part")
+def grid_row_numbers(spark: SparkSession, d: str) -> DataFrame:
+    return grid.page(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.desc("p_size"), F.asc("p_partkey")], 1, 10).matching
+
+
+@query("SELECT p_partkey, p_size, row_number FROM (SELECT p_partkey, p_size, CAST(row_number() OVER (ORDER BY p_size, p_partkey DESC) AS INTEGER) AS row_number FROM part) WHERE row_number BETWEEN 15 AND 40")
+def grid_shift_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A shift selection from the later row to the earlier one."""
+    return grid.between_rows(grid.numbered(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.asc("p_size"), F.desc("p_partkey")]), 40, 15)
+
+
+@query("""SELECT p_partkey, 'p_brand' AS "column", p_brand AS value FROM part WHERE p_size = 7
+UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part WHERE p_size IN (7, 8)""")
+def grid_selected_cells(spark: SparkSession, d: str) -> DataFrame:
+    part = b.table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    brands, sizes = part.where("p_size = 7").select("p_partkey", F.lit("p_brand").alias("column")), part.where("p_size in (7, 8)").select("p_partkey", F.lit("p_size").alias("column"))
+    return grid.selected_cells(part, "p_partkey", brands.unionByName(sizes).unionByName(sizes))
+
+
+@query("""SELECT p_partkey, 'p_brand' AS "column", p_brand AS value FROM part WHERE p_size = 9 UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part""")
+def grid_selected_rows_and_columns(spark: SparkSession, d: str) -> DataFrame:
+    part = b.table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
+    return grid.selected_both(part, "p_partkey", part.where("p_size = 9"), ["p_size"])
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size < 5 THEN concat('new ', p_name) ELSE p_name END AS p_name, CASE WHEN p_size = 3 THEN NULL WHEN p_size > 45 THEN p_size + 1 ELSE p_size END AS p_size FROM part""")
+def grid_edits(spark: SparkSession, d: str) -> DataFrame:
+    part = b.table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    cells = part.where("p_size < 5").select("p_partkey", F.lit("p_name").alias("column"), F.concat(F.lit("new "), "p_name").alias("value"))
+    emptied = part.where("p_size = 3").select("p_partkey", F.lit("p_size").alias("column"), F.lit(None).cast("string").alias("value"))
+    part = grid.edit_cells(part, "p_partkey", cells.unionByName(emptied))
+    return grid.edit_column(part, "p_partkey", "p_size", part.where("p_size > 45").select("p_partkey", (F.col("p_size") + 1).alias("value")))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size <= 20 THEN 'edited' ELSE p_brand END AS p_brand FROM part UNION ALL SELECT -1, 'added'""")
+def grid_edit_all(spark: SparkSession, d: str) -> DataFrame:
+    part = b.table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
+    out = grid.edit_all(part, "p_partkey", part.where("p_size <= 20").withColumn("p_brand", F.lit("edited")))
+    return grid.add_row(grid.show(out, hide=("p_size",)), [-1, "added"])
+
+
+@query("SELECT p_partkey FROM part WHERE p_size > 30 AND p_brand < 'Brand#3'")
+def grid_reload(spark: SparkSession, d: str) -> DataFrame:
+    """What is left of a selection when the table is read anew with fewer rows."""
+    part = b.table(spark, d, "part")
+    return grid.reload(part.where("p_size > 30"), "p_partkey", part.where("p_brand < 'Brand#3'").select("p_partkey"))[1]
+
+
+@query("SELECT p_partkey, regexp_replace(p_name, '(red|a)', '<mark>\\1</mark>', 'gi') AS p_name FROM part")
+def grid_highlight(spark: SparkSession, d: str) -> DataFrame:
+    return b.table(spark, d, "part").select("p_partkey", grid.highlighted(F.col("p_name"), "a red").alias("p_name"))
+
+
+@query("""SELECT p_brand AS "group", row_number() OVER (PARTITION BY p_brand ORDER BY p_name, p_partkey) = 1 AS group_start, p_partkey, p_name FROM part""")
+def grid_row_groups(spark: SparkSession, d: str) -> DataFrame:
+    return grid.row_groups(b.table(spark, d, "part").select("p_partkey", "p_brand", "p_name"), "p_brand", [F.col("p_name"), F.col("p_partkey")])
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS steps, printf('%.1f', l_quantity) AS shown FROM lineitem")
+def grid_fixed_scale(spark: SparkSession, d: str) -> DataFrame:
+    quantity = formats.unscaled(formats.rescaled(F.col("l_quantity"), 1), 1)
+    return b.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", formats.rescaled(F.col("l_extendedprice"), 2).alias("steps"), quantity.alias("shown"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey < 10 THEN printf('%.2f', CAST(o_orderkey AS DOUBLE)) WHEN o_orderkey < 100 THEN printf('%.1f', CAST(o_orderkey AS DOUBLE)) WHEN o_orderkey < 1000 THEN CAST(o_orderkey AS VARCHAR)
+ELSE concat(left(CAST(o_orderkey AS VARCHAR), 1), '.', substr(CAST(o_orderkey AS VARCHAR), 2, 2), 'e+', CAST(length(CAST(o_orderkey AS VARCHAR)) - 1 AS VARCHAR)) END AS shown
+FROM (SELECT CASE WHEN o_orderkey < 1000 THEN o_orderkey ELSE o_orderkey - o_orderkey % CAST(pow(10, length(CAST(o_orderkey AS VARCHAR)) - 3) AS BIGINT) END AS o_orderkey FROM orders)""")
+def grid_significant(spark: SparkSession, d: str) -> DataFrame:
+    """Order keys with three significant digits, those above 999 cut to three before."""
+    key = F.col("o_orderkey")
+    cut = F.when(key < 1000, key).otherwise(key - key % F.pow(F.lit(10), F.length(key.cast("string")) - 3).cast("long"))
+    return b.table(spark, d, "orders").select(cut.alias("o_orderkey")).select("o_orderkey", formats.precise(F.col("o_orderkey"), 3).alias("shown"))
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_discount >= 0.1) AND p_partkey NOT IN (3, 5, 8)")
 def grid_selected_rows(spark: SparkSession, d: str) -> DataFrame:
     keys = b.table(spark, d, "lineitem").where("l_discount >= 0.1").select(F.col("l_partkey").alias("p_partkey"))
@@ -263,10 +406,32 @@ def keyset_diff(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_returnflag IN ('A', 'R')")
 def group_keys_union(spark: SparkSession, d: str) -> DataFrame:
-    groups = b.table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("name")).agg(F.collect_set("l_partkey").alias("keys"))
+    groups = b.table(spark, d, "lineitem").select(F.col("l_returnflag").alias("name"), F.col("l_partkey").alias("key"))
     return linked.group_keys(groups, ["A", "R"])
 
 
+@query("""SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS key FROM lineitem WHERE l_quantity > 45
+AND l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_tax = 0.0)""")
+def filter_set(spark: SparkSession, d: str) -> DataFrame:
+    """Two views' filters on one group; a third view's is taken back."""
+    lines, group = b.table(spark, d, "lineitem"), linked.Groups().get("parts")
+    for where in ("l_quantity > 45", "l_tax = 0.0"):
+        linked.FilterHandle(group).set(lines.where(where).select(F.col("l_partkey").alias("key")))
+    third = linked.FilterHandle(group)
+    third.set(lines.where("l_quantity < 2").select(F.col("l_partkey").alias("key")))
+    third.close()
+    return group.filter.value
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_size < 10")
+def linked_selection(spark: SparkSession, d: str) -> DataFrame:
+    """The last writer's keys, seen by another view."""
+    part, group = b.table(spark, d, "part"), linked.Group("parts")
+    for where in ("p_size > 10", "p_size < 10"):
+        linked.SelectionHandle(group).set(part.where(where).select("p_partkey"))
+    return grid.selected(part, "p_partkey", linked.SelectionHandle(group).value).select("p_partkey", "p_name")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem")
 def columns_to_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey")))

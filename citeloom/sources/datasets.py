@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import logging
+import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from typing import NamedTuple
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from citeloom.schemas import EDGES, NODES
 
 PARTITIONS = ("bm", "sm")
+log = logging.getLogger("citeloom")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -19,8 +26,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...] = PARTITIONS) -> None:
-    """Write by partition, replacing only those partitions that df has rows for; a task's rows of one partition go to one file."""
-    df.repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    """Write by partition, replacing only those partitions that df has rows for. Rows are gathered by partition into tasks of about equal size; a large partition becomes several files."""
+    df.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def read_nodes(spark: SparkSession, path: str) -> DataFrame:
@@ -38,10 +45,52 @@ def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame])
     return spark.read.parquet(path)
 
 
-def read_existing(spark: SparkSession, paths: list[str], schema: T.StructType) -> tuple[DataFrame, list[str]]:
-    """The union of the finished tables among paths, columns that a table lacks being null, and the paths that are missing."""
+def materialize_all(spark: SparkSession, paths: list[str], build: Callable[[], list[DataFrame]]) -> list[DataFrame]:
+    """Build and write all tables unless every one is there, and read them back: a run that was cut off between two is done again."""
+    if not all(exists(spark, p) for p in paths):
+        for p, df in zip(paths, build(), strict=True):
+            df.write.mode("overwrite").parquet(p)
+    return [spark.read.parquet(p) for p in paths]
+
+
+class Existing(NamedTuple):
+    rows: DataFrame
+    missing: list[str]  # paths without a finished table
+    failed: list[str]  # paths whose table can't be read
+
+
+def read_existing(spark: SparkSession, paths: list[str], schema: T.StructType) -> Existing:
+    """The rows of the readable tables among paths in one scan, columns that a table lacks being null; what is missing or broken is skipped and named.
+
+    A table whose footer can't be read is left out whole; a file that turns out broken in the scan is skipped.
+    """
     there = [p for p in paths if exists(spark, p)]
-    out = spark.createDataFrame([], schema)
-    for p in there:
-        out = out.unionByName(spark.read.parquet(p), allowMissingColumns=True)
-    return out.select(*schema.names), [p for p in paths if p not in there]
+    good, failed = [], []
+    for n, p in enumerate(there):
+        try:
+            spark.read.parquet(p)
+            good.append(p)
+        except (PySparkException, Py4JJavaError) as e:
+            failed.append(p)
+            log.warning("%s (%d of %d) can't be read: %s", p, n + 1, len(there), str(e).split("\n")[0])
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(*good) if good else spark.createDataFrame([], schema)
+    return Existing(rows, [p for p in paths if p not in there], failed)
+
+
+def free(spark: SparkSession, path: str, df: DataFrame | None = None) -> None:
+    """Drop a result that nobody reads any more: from the cache and from storage."""
+    if df is not None:
+        df.unpersist()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def timed(label: str) -> Iterator[None]:
+    """Log how long the block took, also if it fails."""
+    began = time.perf_counter()
+    log.info("%s: begun", label)
+    try:
+        yield
+    finally:
+        log.info("%s: %.1f s", label, time.perf_counter() - began)

@@ -15,11 +15,11 @@ def read_refs_raw(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[text.na_to_null(F.col(c)).alias(c) for c in raw.columns])
 
 
-def tidy_refs(raw: DataFrame) -> DataFrame:
-    """Message codes without their URLs, blank level as null, distinct rows."""
+def tidy_refs(raw: DataFrame, background_prefix: str = text.BACKGROUND_PREFIX, sub_prefix: str = text.SUB_PREFIX) -> DataFrame:
+    """Message codes without their URLs (the prefixes are patterns), blank level as null, distinct rows."""
     return raw.select(
-        text.strip(F.col("background_message"), text.BACKGROUND_PREFIX).alias("bm"),
-        text.strip(F.col("sub_message"), text.SUB_PREFIX).alias("sm"),
+        text.strip(F.col("background_message"), background_prefix).alias("bm"),
+        text.strip(F.col("sub_message"), sub_prefix).alias("sm"),
         text.blank_to_null(F.col("level")).alias("loc"),
         "zotero",
         text.strip(F.col("doi"), text.DOI_PREFIX).alias("doi"),

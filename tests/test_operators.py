@@ -1,4 +1,6 @@
 import datetime
+import struct
+import zlib
 
 import pytest
 from pyspark.errors import PySparkException
@@ -43,12 +45,16 @@ def test_null_doi_meets_null_doi(spark):
     out = {(x["doi"], x["id"]) for x in ingest.key_works(r, w).collect()}
     assert out == {(None, "https://openalex.org/W1"), ("https://doi.org/10.1", "https://openalex.org/W2"), ("https://doi.org/10.X", None)}
     assert ingest.key_works(r, w, normalize_doi=True).where("id like '%W3'").count() == 1
+    apart = {(x["doi"], x["id"]) for x in ingest.key_works(r, w, null_meets_null=False).collect()}
+    assert apart == {(None, None), ("https://doi.org/10.1", "https://openalex.org/W2"), ("https://doi.org/10.X", None)}
+    several = r.unionAll(r.where("doi = ''")).unionAll(r.where("doi = ''"))
+    assert ingest.key_works(several, w.unionAll(w)).where("doi is null").count() == 6
     assert [x["id"][-2:] for x in ingest.works_lookup(w, r).collect()] == ["W2"]
 
 
 def test_messages_per_work_keeps_repeats(spark):
-    k = spark.createDataFrame([("https://openalex.org/W1", "a"), ("https://openalex.org/W1", "a"), (None, "b")], "id string, bm string")
-    assert {x["id"]: x["bms"] for x in ingest.messages_per_work(k).collect()} == {"W1": ["a", "a"], None: ["b"]}
+    k = spark.createDataFrame([(None, "b"), ("https://openalex.org/W2", None), ("https://openalex.org/W1", "c"), ("https://openalex.org/W1", "a"), ("https://openalex.org/W1", "a")], "id string, bm string")
+    assert [(x["id"], x["bms"]) for x in ingest.messages_per_work(k).collect()] == [("W1", ["a", "a", "c"]), ("W2", []), (None, ["b"])]
 
 
 def test_text_functions(spark):
@@ -56,6 +62,8 @@ def test_text_functions(spark):
     assert one(spark, text.background_of(F.lit("a-b-c-d"))) == "a-b"
     with pytest.raises(PySparkException):
         one(spark, text.background_of(F.concat(F.lit("a"), F.col("id").cast("string"))))
+    for given, parts in (("a.b", ["a", "b"]), ("a\\.b.c", ["a.b", "c"]), ("a\\\\.b", ["a\\", "b"]), ("", [""]), (".", ["", ""]), (None, None)):
+        assert spark.createDataFrame([(given,)], "x string").select(text.split_escaped(F.col("x"))).first()[0] == parts
     authors = spark.createDataFrame([([("A",)],), ([("A",), ("B",)],), ([("A",), ("B",), ("C",)],), ([],), (None,)], "a array<struct<name:string>>")
     assert [r[0] for r in authors.select(text.abbreviate_authors(F.col("a"))).collect()] == ["A", "A & B", "A et al.", None, None]
 
@@ -67,6 +75,11 @@ def test_formats(spark):
     assert one(spark, formats.format_percentage(F.lit(0.125), 1)) == "12.5%"
     assert one(spark, formats.format_string(F.lit(None).cast("string"), "<", ">")) == ""
     assert one(spark, formats.significant(F.lit(123456.0), 2)) == 120000.0 and one(spark, formats.significant(F.lit(0.0), 2)) == 0.0
+    assert one(spark, formats.significant(F.lit(float("inf")), 2)) == float("inf") and one(spark, formats.significant(F.lit(None).cast("double"), 2)) is None
+    for x, digits, shown in ((123456.0, 2, "1.2e+5"), (0.0001234, 3, "0.000123"), (1.0, 3, "1.00"), (0.0, 2, "0.0"), (-1.5e-9, 2, "-1.5e-9"), (999.9, 3, "1.00e+3"), (12.0, 1, "1e+1"), (1e21, 4, "1.000e+21")):
+        assert one(spark, formats.precise(F.lit(x), digits)) == shown
+    assert one(spark, formats.precise(F.lit(float("nan")), 2)) is None
+    assert one(spark, formats.rescaled(F.lit(1.005), 1)) == 10 and one(spark, formats.unscaled(F.lit(-7), 2)) == "-0.07"
     assert one(spark, formats.format_round(F.lit(0.125), 2)) == "0.12"  # half-even on the binary value
     assert one(spark, formats.format_date(F.lit(datetime.date(2024, 1, 5)))) == "2024-01-05"
 
@@ -122,12 +135,46 @@ def test_partitions_replace_only_their_own_and_stay_text(spark, tmp_path):
 
 def test_missing_tables_and_columns(spark, tmp_path):
     spark.range(1).select(F.lit("a").alias("id")).write.parquet(str(tmp_path / "one"))
-    df, missing = datasets.read_existing(spark, [str(tmp_path / "one"), str(tmp_path / "two")], NODES)
-    assert df.first()["ab"] is None and missing == [str(tmp_path / "two")]
+    for name in ("broken", "half"):
+        spark.range(1).select(F.lit("b").alias("id")).coalesce(1).write.parquet(str(tmp_path / name))
+        file = next((tmp_path / name).glob("*.parquet"))
+        (tmp_path / name / f".{file.name}.crc").unlink()
+        if name == "broken":
+            file.write_bytes(b"no table")
+        else:
+            file.with_name("part-z.parquet").write_bytes(b"PAR1 no table PAR1")
+    (tmp_path / "unfinished").mkdir()
+    paths = [str(tmp_path / x) for x in ("one", "two", "broken", "half", "unfinished")]
+    df, missing, failed = datasets.read_existing(spark, paths, NODES)
+    assert {(r["id"], r["ab"]) for r in df.collect()} == {("a", None), ("b", None)} and missing == [paths[1], paths[4]] and failed == [paths[2]]
+    assert datasets.read_existing(spark, paths[1:2], NODES).rows.count() == 0
     built = []
     for _ in range(2):
         datasets.materialize(spark, str(tmp_path / "m"), lambda: built.append(1) or spark.range(3))
     assert built == [1]
+    pair = [str(tmp_path / x) for x in ("n", "e")]
+    for _ in range(2):
+        datasets.materialize_all(spark, pair, lambda: built.append(2) or [spark.range(3), spark.range(4)])
+    assert built == [1, 2]
+    datasets.free(spark, pair[1], spark.range(1))
+    assert [t.count() for t in datasets.materialize_all(spark, pair, lambda: built.append(3) or [spark.range(5), spark.range(6)])] == [5, 6]
+
+
+def test_timed_logs(caplog):
+    with caplog.at_level("INFO", "citeloom"), pytest.raises(ZeroDivisionError), datasets.timed("step"):
+        1 / 0
+    assert [m.split(":")[0] for m in caplog.messages] == ["step", "step"]
+
+
+def test_messages_of_a_large_partition_are_split(spark, tmp_path):
+    path = str(tmp_path / "nodes")
+    df = spark.range(20_000).select(*[F.sha2(F.col("id").cast("string"), 256).alias(c) if c == "id" else F.lit(None).cast(NODES[c].dataType).alias(c) for c in NODES.names if c not in ("bm", "sm")], F.lit("b").alias("bm"), F.lit("b-c").alias("sm"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        datasets.write_partitioned(df.repartition(8), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert datasets.read_nodes(spark, path).count() == 20_000 and len(list((tmp_path / "nodes").glob("bm=b/sm=b-c/*.parquet"))) > 1
 
 
 def test_union_repairs_columns(spark):
@@ -144,8 +191,20 @@ def test_grid(spark):
     assert ids(df.where(grid.logical_filter(F.col("b"), ["na", "false"]))) == [2, 3, 4]
     assert ids(df.where(grid.factor_filter(F.col("k"), []))) == [1, 2, 3, 4]
     assert grid.parse_range("... 7", 1, 9) == (1, 7)
+    for bad in ("1-7", "1 ... 2 ... 3", "a ... 2"):
+        with pytest.raises(ValueError):
+            grid.parse_range(bad, 1, 9)
+    day = datetime.date
+    assert grid.parse_date_range("2024-01-05 ...", day(2020, 1, 1), day(2025, 1, 1)) == (day(2024, 1, 5), day(2025, 1, 1))
+    assert grid.parse_time_range("... 2024-01-05T10:00", datetime.datetime(2020, 1, 1), None)[1].hour == 10
     with pytest.raises(ValueError):
-        grid.parse_range("1-7", 1, 9)
+        grid.parse_date_range("2024-13-01 ...", day(2020, 1, 1), day(2025, 1, 1))
+    cells = spark.createDataFrame([(1, "v", "7.5"), (3, "b", None)], "k int, column string, value string")
+    assert {tuple(r) for r in grid.edit_cells(df, "k", cells).where("k in (1, 3)").collect()} == {(1, 7.5, True), (3, None, None)}
+    assert grid.edit_row(df, "k", 4, {"v": 1, "b": True}).where("k = 4").first()[1:] == (1.0, True)
+    assert ids(grid.reload(df, "k", cells)[1]) == [1, 3] and grid.reload(df, "k", cells, clear=True)[1] is None
+    assert grid.selected_columns(df, "k", ["b"]).columns == ["k", "b"]
+    assert one(spark, grid.highlighted(F.lit("a.b AB"), "b a.")) == "<mark>a.</mark><mark>b</mark> A<mark>B</mark>" and one(spark, grid.highlighted(F.lit("x"), " ")) == "x"
     assert [r["k"] for r in grid.page(df, [F.desc("k")], 2, 3).rows.collect()] == [1]
     with pytest.raises(ValueError):
         grid.checked_page(df, [F.col("k")], 3, 3)
@@ -185,7 +244,7 @@ def test_linked_sets(spark):
     assert {tuple(r) for r in linked.keyset_diff(keys(1, 2), keys(2, 3)).collect()} == {("1", "removed"), ("3", "added")}
     with pytest.raises(ValueError):
         linked.check_sorted(["b", "a"])
-    groups = spark.createDataFrame([("g", ["1", "2"]), ("h", ["2"])], "name string, keys array<string>")
+    groups = spark.createDataFrame([("g", "1"), ("g", "2"), ("h", "2")], "name string, key string")
     assert sorted(r[0] for r in linked.group_keys(groups, ["g", "h"]).collect()) == ["1", "2"] and linked.group_keys(groups, []) is None
     s = linked.Selection()
     s.set(keys(1))
@@ -193,15 +252,49 @@ def test_linked_sets(spark):
     assert s.value.first()[0] == "2"
 
 
+def test_linked_groups(spark):
+    keys = lambda *k: spark.createDataFrame([(str(x),) for x in k], "key string")
+    shown = lambda df: None if df is None else sorted(r["key"] for r in df.collect())
+    groups, told = linked.Groups(), []
+    a, z = groups.get("a"), groups.get("z")
+    assert groups.get("a") is a
+    off = a.filter.on(lambda new, old: told.append(shown(new)))
+    one, two = linked.FilterHandle(a), linked.FilterHandle(a)
+    one.set(keys(1, 2))
+    two.set(keys(2, 3))
+    assert shown(one.keys()) == ["2"]
+    two.switch(z)  # leaves no filter behind
+    assert shown(one.keys()) == ["1", "2"] and two.keys() is None
+    one.close()
+    one.set(keys(9))
+    assert a.filter.value is None and one.keys() is None and told == [["1", "2"], ["2"], ["1", "2"], None]
+    off()
+    linked.FilterHandle(a).set(keys(5))
+    assert len(told) == 4
+    s = linked.SelectionHandle(a)
+    s.set(keys(1))
+    s.switch(z)
+    assert s.value is None and shown(a.selection.value) == ["1"]
+    s.clear()
+    linked.SelectionHandle().set(keys(1))  # without a group nothing happens
+    assert a.var("n") is a.var("n") and a.var("n").value is None
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("<b>", '<a href="x" target="_blank">x</a>', 2020, 10), (None, "q", 2021, 100)], "sm string, link string, publication_year int, n long")
     sinks.to_html(df, str(tmp_path / "t.html"), fixed_columns=2)
     page = (tmp_path / "t.html").read_text()
-    assert "&lt;b&gt;" in page and '<a href="x"' in page
+    assert "&lt;b&gt;" in page and '<a href="x"' in page and page.count("class=fixed") == 6 and "LENGTH" not in page and "FIXED" not in page
     assert sinks.to_markdown(df.select("sm", "n")).splitlines()[3] == "| NA | 100 |"
     sinks.to_csv(df, str(tmp_path / "csv"))
-    sinks.to_svg(df, str(tmp_path / "f.svg"))
-    assert "<polyline" in (tmp_path / "f.svg").read_text()
+    with pytest.raises(ValueError):
+        sinks.to_csv(df, str(tmp_path / "csv"), most=1)
+    files = [str(tmp_path / "figures" / f"f.{x}") for x in ("svg", "pdf", "png")]
+    assert sinks.to_figure_once(lambda: df, *files, mark=2020) and not sinks.to_figure_once(lambda: 1 / 0, *files)
+    svg, pdf, png = (open(f, "rb").read() for f in files)
+    assert b"<polyline" in svg and pdf.startswith(b"%PDF-") and int(pdf.split()[-2]) == pdf.index(b"xref\n0 5")
+    size, data = struct.unpack(">II", png[16:24]), zlib.decompress(png[png.index(b"IDAT") + 4 : png.index(b"IEND") - 8])
+    assert size == (sinks.WIDTH, sinks.HEIGHT) and len(data) == sinks.HEIGHT * (3 * sinks.WIDTH + 1) and b"\0\0\0\xff" in data
     with pytest.raises(ValueError):
         sinks.to_markdown(spark.range(5), most=3)
 
