@@ -29,9 +29,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm.common import TEXT_ROWS, free_name, materialize, text_key, trim, without
+from citeloom.llm.mixing import uniform
 
 SIZE = 300
 SAMPLE = 2000
+SEED = 31
 MAX_LANGUAGES = 2000
 UNDETERMINED = "und"
 BORDER = 0x1FFFFF
@@ -100,7 +102,7 @@ def learn(docs: DataFrame, size: int = SIZE, sample: int = SAMPLE) -> Profiles:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
         return Profiles([], np.empty(0, np.int64), np.empty((0, 0), np.int64), size)
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
+    draw = uniform(f"{SEED}", F.col("doc_id").cast("string"))
     share = docs.sparkSession.createDataFrame([(k, min(1.0, sample / n)) for k, n in sizes.items()], "lang string, share double")
     drawn = usable.join(F.broadcast(share), "lang").where(draw < F.col("share")).select("lang", "text")
 

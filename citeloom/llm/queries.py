@@ -88,6 +88,103 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC,
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
+UPPER, LOWER = (bytes(range(c, c + 26)).decode() for c in b"Aa")
+
+#: Distinct sets are paired by their common shingles; components by everything that a set reaches.
+JOIN_SQL = rf"""
+WITH RECURSIVE worded AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingled AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM worded),
+named AS (SELECT r, doc_id, len(g) AS n, md5(array_to_string(list_sort(g), chr(10))) AS s, g FROM shingled),
+sets AS (SELECT s, any_value(n) AS n, any_value(g) AS g, min(doc_id) AS lowest FROM named WHERE n > 0 GROUP BY s),
+flat AS (SELECT s, n, unnest(g) AS h FROM sets),
+common AS (SELECT a.s AS x, b.s AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS c FROM flat a JOIN flat b ON a.h = b.h AND a.s <> b.s GROUP BY a.s, b.s),
+links AS (SELECT x, y FROM common WHERE 100 * c >= 75 * (nx + ny - c)),
+reached AS (SELECT s, s AS t FROM sets UNION SELECT reached.s, links.y FROM reached JOIN links ON reached.t = links.x),
+labels AS (SELECT reached.s, min(sets.lowest) AS label FROM reached JOIN sets ON reached.t = sets.s GROUP BY reached.s)
+SELECT doc_id, n AS n_shingles, CASE WHEN n = 0 THEN doc_id ELSE label END AS component_id FROM named LEFT JOIN labels USING (s)
+"""
+
+#: Every window of 50 bytes, as hex; a run of removed bytes ends where the next window begins beyond the last one's end.
+SUFFIX_SQL = """
+WITH coded AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT r, doc_id, h, unnest(range(0, greatest(length(h) // 2 - 49, 0))) AS i FROM coded),
+windows AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 100) AS g FROM places),
+lowest AS (SELECT g, min(doc_id) AS d FROM windows GROUP BY g),
+gone AS (SELECT r, i FROM windows JOIN lowest USING (g) WHERE d < doc_id),
+marked AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS fresh FROM gone),
+numbered AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS run FROM marked),
+runs AS (SELECT r, run, min(i) AS a, max(i) + 50 AS z FROM numbered GROUP BY r, run),
+gaps AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS since FROM runs),
+cut AS (SELECT r, CAST(sum(z - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(z) AS last, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept FROM gaps JOIN coded USING (r) GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM coded LEFT JOIN cut USING (r)
+"""
+
+#: crc32 by its bits; n-grams from the characters and the two after each, packed as in the operator.
+LANGUAGE_SQL = f"""
+WITH told AS (SELECT row_number() OVER () AS r, doc_id, lang, text, string_split(regexp_replace('_' || lower(coalesce(text, '')) || '_', '[^\\p{{L}}]+', '_', 'g'), '') AS chars,
+  xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, CAST(3988292384 AS BIGINT)) ELSE a // 2 END), CAST(4294967295 AS BIGINT)) % 5 = 0 AS held_out FROM documents),
+flat AS (SELECT r, unnest(chars) AS c, generate_subscripts(chars, 1) AS i FROM told),
+coded AS (SELECT r, i, CASE WHEN c = '_' THEN {language_id.BORDER} ELSE unicode(c) END AS a FROM flat),
+three AS (SELECT r, CAST(a AS BIGINT) AS a, CAST(lead(a, 1) OVER w AS BIGINT) AS b, CAST(lead(a, 2) OVER w AS BIGINT) AS c FROM coded WINDOW w AS (PARTITION BY r ORDER BY i)),
+grams AS (SELECT r, a AS g FROM three WHERE a <> {language_id.BORDER} UNION ALL SELECT r, a * 2097152 + b FROM three WHERE b IS NOT NULL
+  UNION ALL SELECT r, a * 4398046511104 + b * 2097152 + c FROM three WHERE c IS NOT NULL AND b <> {language_id.BORDER}),
+counted AS (SELECT r, g, count(*) AS n FROM grams GROUP BY r, g),
+top AS (SELECT r, g, row_number() OVER (PARTITION BY r ORDER BY n DESC, g) - 1 AS place FROM counted WHERE r IN (SELECT r FROM coded WHERE a <> {language_id.BORDER}) QUALIFY place < {language_id.SIZE}),
+usable AS (SELECT r, lang, count(*) OVER (PARTITION BY lang) AS n,
+  CAST(CAST('0x' || substr(md5('{language_id.SEED}|' || CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u FROM told WHERE NOT held_out AND lang IS NOT NULL AND text IS NOT NULL),
+learned AS (SELECT lang, g, sum(n) AS n FROM (SELECT r, lang FROM usable WHERE u < least(1.0, {language_id.SAMPLE} / CAST(n AS DOUBLE))) JOIN counted USING (r)
+  WHERE r IN (SELECT r FROM coded WHERE a <> {language_id.BORDER}) GROUP BY lang, g),
+profiles AS (SELECT lang, g, row_number() OVER (PARTITION BY lang ORDER BY n DESC, g) - 1 AS place FROM learned QUALIFY place < {language_id.SIZE}),
+near AS (SELECT r, l.lang, count(*) AS n, sum(coalesce(abs(t.place - p.place), {language_id.SIZE})) AS d
+  FROM top t CROSS JOIN (SELECT DISTINCT lang FROM profiles) l LEFT JOIN profiles p ON p.lang = l.lang AND p.g = t.g GROUP BY r, l.lang),
+best AS (SELECT r, lang, 1 - CAST(d AS DOUBLE) / (n * {language_id.SIZE}) AS score FROM near QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, lang) = 1)
+SELECT doc_id, coalesce(held_out, true) AS held_out, coalesce(best.lang, 'und') AS lang_pred, coalesce(score, 0.0) AS score FROM told LEFT JOIN best USING (r)
+"""
+
+
+#: A sentence has a word (but for a text's first one), so a span of the least size has at most SENTENCES + WORDS sentences.
+SENTENCE_SQL = rf"""
+WITH pieces AS (SELECT row_number() OVER () AS r, doc_id, text, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS ps FROM documents),
+flat AS (SELECT r, doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM pieces),
+begun AS (SELECT *, sum(CASE WHEN i = 1 OR regexp_matches(p, '[\pL\pN]') THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS n FROM flat),
+sentences AS (SELECT r, any_value(doc_id) AS doc_id, CAST(n AS BIGINT) AS n, string_agg(p, '' ORDER BY i) AS p FROM begun GROUP BY r, n),
+worded AS (SELECT *, regexp_extract_all(regexp_replace(lower(p), '[^\pL\pN_\s]+', ' ', 'g'), '[^\x20\x09-\x0D]+') AS w FROM sentences),
+counted AS (SELECT *, sum(len(w)) OVER (PARTITION BY r ORDER BY n) AS upto FROM worded),
+runs AS (SELECT a.r, a.n AS a, z.n AS z, z.upto - a.upto + len(a.w) AS m, len(a.w) AS first_words, len(z.w) AS last_words FROM counted a JOIN counted z
+  ON a.r = z.r AND z.n >= a.n AND z.n < a.n + {sentence_dedup.SENTENCES + sentence_dedup.WORDS}),
+sized AS (SELECT *, CASE WHEN z = a THEN m >= {2 * sentence_dedup.WORDS} ELSE z - a + 1 >= {sentence_dedup.SENTENCES} AND m >= {sentence_dedup.WORDS} END AS enough FROM runs),
+spans AS (SELECT r, a, z FROM sized WHERE enough AND first_words > 0 QUALIFY z = min(z) OVER (PARTITION BY r, a) OR a = max(a) OVER (PARTITION BY r, z)),
+said AS (SELECT r, a, z, string_agg(array_to_string(w, ' '), ' ' ORDER BY n) FILTER (len(w) > 0) AS key, any_value(doc_id) AS doc_id FROM spans JOIN worded USING (r) WHERE n BETWEEN a AND z GROUP BY r, a, z),
+later AS (SELECT r, a, z FROM said QUALIFY (doc_id, a) <> first_value((doc_id, a)) OVER (PARTITION BY key ORDER BY doc_id, a)),
+gone AS (SELECT DISTINCT r, n FROM later JOIN sentences USING (r) WHERE n BETWEEN a AND z),
+kept AS (SELECT s.r, count(*) AS n_sentences, count(g.n) AS n_removed, coalesce(string_agg(p, '' ORDER BY s.n) FILTER (g.n IS NULL), '') AS kept FROM sentences s LEFT JOIN gone g ON s.r = g.r AND s.n = g.n GROUP BY s.r)
+SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed, coalesce(kept, text) AS text FROM pieces LEFT JOIN kept USING (r)
+"""
+
+
+def _secret_sql() -> str:
+    """Every rule's matches between marks; the lengths of the pieces give the places."""
+    parts = []
+    for i, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"SELECT r, {i} AS k, '{rule.kind}' AS kind, string_split(regexp_replace(t, '{pattern}', '{secret_scan.MARK}\\0{secret_scan.MARK}', 'g'), '{secret_scan.MARK}') AS pieces, '{pattern}' AS pattern, {rule.group} AS part, {rule.least} AS least FROM versions")
+    tests = " ".join(f"WHEN {i} THEN length(regexp_extract(piece, '{r.pattern.replace(chr(39), chr(39) * 2)}', {r.group})) >= {r.least}" for i, r in enumerate(secret_scan.RULES))
+    counts = ", ".join(f"count(*) FILTER (k = {i}) AS n_{r.kind}" for i, r in enumerate(secret_scan.RULES))
+    return f"""
+WITH versions AS (SELECT row_number() OVER () AS r, doc_id, replace(coalesce(text, ''), '{secret_scan.MARK}', '{secret_scan.OTHER}') AS t FROM documents),
+marked AS ({" UNION ALL ".join(parts)}),
+flat AS (SELECT r, k, kind, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS i FROM marked),
+placed AS (SELECT r, k, kind, piece, i, sum(length(piece)) OVER (PARTITION BY r, k ORDER BY i) AS z FROM flat),
+found AS (SELECT r, k, CAST(z - length(piece) AS BIGINT) AS a, concat(kind, ':', CAST(z - length(piece) AS BIGINT), ':', CAST(z AS BIGINT)) AS span FROM placed WHERE i % 2 = 0 AND CASE k {tests} END),
+listed AS (SELECT r, {counts}, string_agg(span, ',' ORDER BY a, k) AS spans FROM found GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secret_scan.RULES)}, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM versions LEFT JOIN listed USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_vector_search": op2_vector_search,
@@ -101,4 +198,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_vector_search": SEARCH_SQL, "op8_source_mixing": MIXING_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": JOIN_SQL,
+    "op2_vector_search": SEARCH_SQL,
+    "op3_language_id": LANGUAGE_SQL,
+    "op4_suffix_dedup": SUFFIX_SQL,
+    "op7_secret_scan": _secret_sql(),
+    "op8_source_mixing": MIXING_SQL,
+    "op9_sentence_dedup": SENTENCE_SQL,
+}
