@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.session import shared_dir
+from citeloom.session import shared_dir, until_exit
 
 
 def parse_range(given: str, low, high, read: Callable = float) -> tuple:
@@ -100,7 +100,7 @@ def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
     sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
     path = f"{shared_dir(spark)}/numbered-{uuid.uuid4().hex}"
     sorted_rows.withColumn("__task", F.spark_partition_id()).withColumn("__place", place).write.parquet(path)
-    written = spark.read.parquet(path)
+    written = spark.read.parquet(until_exit(spark, path))
     counts = written.groupBy("__task").agg(F.count("*").alias("n"))
     before = counts.withColumn("before", F.sum("n").over(Window.orderBy("__task")) - F.col("n")).select("__task", "before")
     return written.join(before, "__task").withColumn("row_number", (F.col("before") + F.col("__place") + 1).cast("int")).select(*df.columns, "row_number")

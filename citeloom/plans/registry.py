@@ -13,7 +13,7 @@ from citeloom.functions import formats, text
 from citeloom.operators import grid, ingest, linked, reports, snowball
 from citeloom.plans import bindings as b
 from citeloom.schemas import NODES
-from citeloom.session import shared_dir
+from citeloom.session import shared_dir, until_exit
 from citeloom.sources import datasets, payload, refs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,7 +152,7 @@ def nodes_scan(spark: SparkSession, d: str) -> DataFrame:
     """Written by message and read back."""
     path = f"{shared_dir(spark)}/nodes-{uuid.uuid4().hex}"
     datasets.write_partitioned(b.nodes(spark, d).withColumn("publication_year", F.col("publication_year").cast("int")), path)
-    return datasets.read_nodes(spark, path)
+    return datasets.read_nodes(spark, until_exit(spark, path))
 
 
 # ingestion
@@ -181,7 +181,7 @@ def tidy_refs(spark: SparkSession, d: str) -> DataFrame:
     """The reference list written as CSV, read and tidied."""
     path = f"{shared_dir(spark)}/refs-{uuid.uuid4().hex}"
     b.raw_refs(spark, d).write.csv(path, header=True, quote='"', escape='"', nullValue="NA", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return refs.tidy_refs(refs.read_refs_raw(spark, path), f"^{b.SITE}/report/bgm/", f"^{b.SITE}/report/subm/")
+    return refs.tidy_refs(refs.read_refs_raw(spark, until_exit(spark, path)), f"^{b.SITE}/report/bgm/", f"^{b.SITE}/report/subm/")
 
 
 @query("""SELECT n_nationkey, CASE count(s_name) WHEN 0 THEN NULL WHEN 1 THEN min(s_name) WHEN 2 THEN concat(min(s_name), ' & ', max(s_name)) ELSE concat(min(s_name), ' et al.') END AS author
@@ -213,6 +213,7 @@ def existing_tables(spark: SparkSession, d: str) -> DataFrame:
     part.where("p_size <= 25").select("id", F.col("p_name").alias("title")).write.parquet(f"{base}/titles")
     part.where("p_size > 25").select("id", F.col("p_type").alias("type")).write.parquet(f"{base}/types")
     spark.range(1).select(F.lit("no table").alias("value")).write.text(f"{base}/broken")
+    until_exit(spark, base)
     found = datasets.read_existing(spark, [f"{base}/{n}" for n in ("titles", "none", "types", "broken")], NODES)
     return found.rows.select("id", "title", "type")
 

@@ -33,3 +33,10 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _own_dir:
         _own_dir[app] = f"file://{tempfile.mkdtemp(prefix='citeloom-')}"
     return _own_dir[app]
+
+
+def until_exit(spark: SparkSession, path: str) -> str:
+    """What is at path (a written table) is deleted when the application ends, if nobody has deleted it before."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
