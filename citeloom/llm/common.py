@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import re
 import tempfile
 import uuid
 import zipfile
@@ -17,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_dir: dict[str, str] = {}
+from citeloom.session import shared_dir, until_exit
+
 _shipped: set[str] = set()
 
 #: Spark 4 can drop a query's shuffle files as soon as its output is written.
@@ -42,19 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or one of our own where it is unset and all run on one machine (tests)."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    if not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        _own_dir[app] = f"file://{tempfile.mkdtemp(prefix='citeloom-')}"
-    return _own_dir[app]
-
-
 #: Rows in a batch that Spark hands to Python.
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -62,7 +49,8 @@ BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 def materialize(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """Write df to the shared folder and return the table read back: cuts lineage and survives lost executors.
 
-    batch_rows: for plans whose Python steps read long rows, the most rows handed over at once.
+    batch_rows: for plans whose Python steps read long rows, the most rows handed over at once; a setting of the session
+    while the table is written. The table is deleted by scratch() or discard(), at the latest when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/citeloom/{label}-{uuid.uuid4().hex}"
@@ -75,7 +63,7 @@ def materialize(df: DataFrame, label: str, batch_rows: int | None = None) -> Dat
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(until_exit(spark, path))
     out._citeloom_path = path
     if (held := _scratch.get()) is not None:
         held.append(out)

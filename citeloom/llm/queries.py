@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.llm import chat_format, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, sentence_dedup, suffix_dedup, vector_search
-from citeloom.llm.common import shared_dir, table
+from citeloom.llm.common import table
+from citeloom.session import shared_dir, until_exit
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +45,9 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By a ledger that begins empty, so that every run does the whole work."""
     ledger = f"{shared_dir(spark)}/citeloom/secret-ledger-{uuid.uuid4().hex}"
-    return secret_scan.digest(secret_scan.scan_stored(table(spark, sf_dir, "documents"), ["doc_id"], ledger))
+    findings = secret_scan.scan_stored(table(spark, sf_dir, "documents"), ["doc_id"], ledger)
+    until_exit(spark, ledger)
+    return secret_scan.digest(findings)
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

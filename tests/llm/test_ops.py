@@ -1,13 +1,15 @@
 import hashlib
 import os
 import random
+from pathlib import Path
 
 import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_format, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, sentence_dedup, suffix_dedup, vector_search
+from citeloom import session
+from citeloom.llm import chat_format, common, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, sentence_dedup, suffix_dedup, vector_search
 from citeloom.llm.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -46,6 +48,47 @@ def test_join_finds_every_component(spark, docs):
     assert rows(ngram_join.digest(docs(given, CLASH).repartition(3))) == sorted(brute.components(given), key=repr)
 
 
+def test_join_of_very_long_texts(spark, docs):
+    r = random.Random(41)
+    base = [f"w{r.randrange(5000)}" for _ in range(60_000)]
+    far = list(base)
+    for p in range(0, len(far), 12):  # leaves about half of the shingles
+        far[p] = f"x{p}"
+    near = list(base)
+    for p in range(0, len(near), 60):
+        near[p] = f"y{p}"
+    given = [(5, " ".join(base)), (3, " ".join(near)), (9, " ".join(far)), (7, " ".join(base))]
+    assert rows(ngram_join.digest(docs(given))) == sorted(brute.components(given), key=repr)
+
+
+def test_join_with_a_large_group(spark, docs):
+    """Copies and near copies of one text beyond any group's bound, some just beyond the similarity."""
+    r = random.Random(42)
+    base = [f"w{i}" for i in range(120)]
+    given = [(i, " ".join(base)) for i in range(200)]
+    for i in range(200, 500):
+        w = list(base)
+        for _ in range(r.randrange(1, 6)):
+            w[r.randrange(len(w))] = f"z{r.randrange(40)}"
+        given.append((i, " ".join(w)))
+    assert rows(ngram_join.digest(docs(given).repartition(5))) == sorted(brute.components(given), key=repr)
+
+
+def test_scratch_tables_go(spark, docs):
+    """Of a run's tables only those remain that its result reads; none after a failure."""
+    folder = Path(session.shared_dir(spark).removeprefix("file:")) / "citeloom"
+    given = docs(near_copies(2))
+    for run in (lambda: ngram_join.digest(given), lambda: suffix_dedup.digest(given), lambda: sentence_dedup.dedup(given)):
+        before = set(folder.glob("*"))
+        assert run().count() == given.count()
+        assert len(set(folder.glob("*")) - before) == 1
+    before = set(folder.glob("*"))
+    with pytest.raises(ZeroDivisionError), common.scratch() as keep:
+        keep(common.materialize(spark.range(3), "kept"))
+        1 / 0
+    assert set(folder.glob("*")) == before
+
+
 def test_join_of_nothing(spark, docs):
     assert rows(ngram_join.digest(docs([]))) == []
     assert rows(ngram_join.digest(docs([(1, None), (2, " \n")]))) == [(1, 0, 1), (2, 0, 2)]
@@ -386,6 +429,12 @@ def test_ledger_scans_only_what_is_new(spark, docs):
     assert {r["rule"] for r in secret_scan.scan(docs(SECRETS[:2]), ["doc_id"], ledger, newer).new_entries.collect()} == {"assign@2"}
 
 
+def test_secrets_of_very_long_texts(spark, docs):
+    text = " ".join(f"word{i} token=abc{i}xyz" if i % 500 == 0 else f"word{i}" for i in range(60_000)) + " " + "0123456789abcdef" * 2000
+    got = secret_scan.digest(secret_scan.scan(docs([(1, text), (2, text)]), ["doc_id"]).findings).collect()
+    assert [r["spans"] for r in got] == [",".join(brute.secrets(text))] * 2
+
+
 def test_stored_ledger(spark, docs, tmp_path):
     path = str(tmp_path / "ledger")
     one = secret_scan.scan_stored(docs(SECRETS[:2]), ["doc_id"], path)
