@@ -44,14 +44,13 @@ def publication_types(nodes: DataFrame, *by: str, cut_off: int = CUT_OFF) -> Dat
 def _overlap(rows: DataFrame, message: str, extra: list[str], more_than: int) -> DataFrame:
     """Works in more than so many rows, with their messages. n and the list belong to the id; each variant of the other columns is a row of its own.
 
-    Ids and messages are counted first; only works that are in enough rows are joined with the wide columns.
+    One aggregation by id: a work's variants are made distinct and its messages gathered before the shuffle, so its texts
+    leave each task once, and works in too few rows go before their variants become rows again.
     """
-    counted = rows.groupBy("id", message).agg(F.count("*").alias("c"))
-    per_id = counted.groupBy("id").agg(F.sum("c").alias("n"), F.array_sort(F.collect_list(F.when(F.col(message).isNotNull(), F.struct(F.col(message).alias("m"), F.col("c").cast("int").alias("c"))))).alias("found"))
-    messages = F.array_join(F.flatten(F.transform("found", lambda x: F.array_repeat(x["m"], x["c"]))), "|")
-    many = per_id.where(F.col("n") > more_than).select("id", "n", messages.alias(f"{message}s"))
-    wide = rows.select("id", text.strip(F.col("doi"), text.DOI_PREFIX).alias("doi"), "author", "title", *extra)
-    shown = wide.join(many, "id").distinct()
+    variant = F.struct(text.strip(F.col("doi"), text.DOI_PREFIX).alias("doi"), "author", "title", *extra)
+    per_id = rows.groupBy("id").agg(F.count("*").alias("n"), F.collect_list(message).alias("found"), F.collect_set(variant).alias("variants"))
+    many = per_id.where(F.col("n") > more_than).withColumn(f"{message}s", F.array_join(F.sort_array("found"), "|"))
+    shown = many.select("id", F.inline("variants"), "n", f"{message}s")
     out = shown.withColumn("id", text.anchor(F.col("id"), text.WORK_PREFIX)).withColumn("doi", text.anchor(F.col("doi"), text.DOI_PREFIX))
     return out.orderBy(F.desc("n"), "id", "author", "title", "doi")
 
