@@ -42,19 +42,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows in a batch that Spark hands to Python.
+#: Rows and bytes in a batch that Spark hands to Python; the bytes that are set while a table is written.
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+MOST_BYTES = 2 << 20
 
 
 def materialize(df: DataFrame, label: str, batch_rows: int | None = None) -> DataFrame:
     """Write df to the shared folder and return the table read back: cuts lineage and survives lost executors.
 
-    batch_rows: for plans whose Python steps read long rows, the most rows handed over at once; a setting of the session
-    while the table is written. The table is deleted by scratch() or discard(), at the latest when the application ends.
+    batch_rows: for plans whose Python steps read long rows, the most rows handed over at once, beside MOST_BYTES; settings of
+    the session while the table is written. The table is deleted by scratch() or discard(), at the latest when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/citeloom/{label}-{uuid.uuid4().hex}"
-    settings = {CLEANUP: "true"} | ({BATCH: str(batch_rows)} if batch_rows else {})
+    settings = {CLEANUP: "true", BATCH_BYTES: str(MOST_BYTES)} | ({BATCH: str(batch_rows)} if batch_rows else {})
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)

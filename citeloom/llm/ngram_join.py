@@ -145,13 +145,13 @@ def _signed(buckets: int, width: int):
                 sids = np.repeat(np.array([o[0] for o in owners], np.int64), [o[1] for o in owners])
                 bucket = ((sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
                 order = np.argsort(bucket, kind="stable")
-                sigs, sids, bucket = sigs[order], sids[order], bucket[order]
+                sigs, sids, bucket = sigs.astype("<u4")[order], sids[order], bucket[order]
                 begin = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.empty(0, np.int64)
                 end = np.concatenate([begin[1:], [len(bucket)]])
-                for at in range(0, len(begin), 64):
-                    cuts = [slice(i, j) for i, j in zip(begin[at : at + 64].tolist(), end[at : at + 64].tolist())]
-                    blobs = [sigs[c].astype("<u4").tobytes() + sids[c].tobytes() for c in cuts]
-                    yield _rows(SIGNED, kind=[BLOB] * len(cuts), bucket=bucket[begin[at : at + 64]].tolist(), blob=blobs)
+                for at in range(0, len(begin), 16):
+                    cuts = [slice(i, j) for i, j in zip(begin[at : at + 16].tolist(), end[at : at + 16].tolist())]
+                    blobs = [sigs[c].tobytes() + sids[c].tobytes() for c in cuts]
+                    yield _rows(SIGNED, kind=[BLOB] * len(cuts), bucket=bucket[begin[at : at + 16]].tolist(), blob=blobs)
             held.clear(), owners.clear(), done.clear()
             size = 0
 
