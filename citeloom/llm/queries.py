@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import chat_format, decontaminate, language_id, license_scan, mixing, ngram_join, secret_scan, sentence_dedup, suffix_dedup, vector_search
+from citeloom.llm import chat_format, collocations, decontaminate, fill_middle, language_id, license_scan, mixing, ngram_join, secret_scan, sentence_dedup, sharding, suffix_dedup, vector_search
 from citeloom.llm.common import table
 from citeloom.session import shared_dir, until_exit
 
@@ -65,6 +65,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents").withColumn("path", path))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digest(table(spark, sf_dir, "documents"))
+
+
 MIXING_SQL = f"""
 WITH counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 rates AS (SELECT source, (SELECT CAST(sum(n) AS DOUBLE) FROM counts) * 1.0 / (SELECT CAST(count(*) AS DOUBLE) FROM counts) / n AS rate FROM counts),
@@ -168,6 +180,50 @@ kept AS (SELECT s.r, count(*) AS n_sentences, count(g.n) AS n_removed, coalesce(
 SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed, coalesce(kept, text) AS text FROM pieces LEFT JOIN kept USING (r)
 """
 
+#: Every phrase of up to the greatest length is spelt out; 128-bit integers hold the products.
+PHRASE_SQL = rf"""
+WITH RECURSIVE pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+grams AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m FROM starts, range(1, {collocations.LONGEST + 1}) t(m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, phrase, m, count(*) AS f FROM grams GROUP BY lang, phrase, m),
+totals AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, f AS a, m, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= {collocations.LEAST}),
+within AS (SELECT lang, a, w, m, unnest(range(1, m)) AS i FROM candidates WHERE m > 2),
+inner_ones AS (SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(a) AS most FROM within, range(2, {collocations.LONGEST + 1}) t(j) WHERE j > i AND j <= m AND j - i + 1 < m GROUP BY 1, 2),
+cuts AS (SELECT lang, phrase, a, m, w, unnest(range(1, m)) AS k FROM candidates),
+scored AS (SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r, t.n, CAST(1000 AS HUGEINT) * c.a * t.n // (CAST(x.f AS HUGEINT) * y.f) AS score FROM cuts c JOIN totals t ON t.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:c.m], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (SELECT s.* FROM lowest s LEFT JOIN inner_ones i ON i.lang = s.lang AND i.phrase = s.phrase WHERE i.most IS NULL OR 100 * i.most < {collocations.COVERED} * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {collocations.TOP}
+"""
+
+#: The checksum's table and its steps over the UTF-8 bytes of each code point.
+SHARD_SQL = rf"""
+WITH crcs AS (SELECT list(list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]), lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, CAST(3988292384 AS BIGINT)) ELSE a // 2 END) ORDER BY b) AS t FROM range(0, 256) r(b)),
+coded AS (SELECT row_number() OVER () AS row_no, doc_id, strlen(coalesce(text, '')) + 1 AS size, list_transform(regexp_extract_all(coalesce(text, ''), '(?s).'), lambda c: CAST(unicode(c) AS BIGINT)) AS points FROM documents),
+bytes AS (SELECT row_no, doc_id, size, flatten(list_transform(points, lambda u: CASE WHEN u < 128 THEN [u] WHEN u < 2048 THEN [192 + u // 64, 128 + u % 64] WHEN u < 65536 THEN [224 + u // 4096, 128 + u // 64 % 64, 128 + u % 64]
+  ELSE [240 + u // 262144, 128 + u // 4096 % 64, 128 + u // 64 % 64, 128 + u % 64] END)) AS b FROM coded),
+summed AS (SELECT row_no, doc_id, size, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda a, x: xor(t[CAST(xor(a & 255, x) AS BIGINT) + 1], a >> 8)), CAST(4294967295 AS BIGINT)) AS text_crc32 FROM bytes, crcs),
+placed AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS LAST, text_crc32, row_no) AS upto, sum(size) OVER () AS total FROM summed),
+dealt AS (SELECT *, CAST((2 * upto - size) * {sharding.SHARDS} // (2 * total) AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS LAST, text_crc32, row_no) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM dealt
+"""
+
+MIDDLE_SQL = rf"""
+WITH cut AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('{fill_middle.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (SELECT *, len(u) AS n, list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(h, i, 8) AS BIGINT)) AS d FROM cut),
+formed AS (SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS z,
+  CASE WHEN t = '' OR contains(t, '{fill_middle.PREFIX}') OR contains(t, '{fill_middle.SUFFIX}') OR contains(t, '{fill_middle.MIDDLE}') OR d[3] % 100 >= {fill_middle.FIM_PERCENT} THEN 'plain' WHEN d[4] % 100 < {fill_middle.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parted AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:z], '') AS middle, array_to_string(u[z + 1:n], '') AS suffix FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{fill_middle.PREFIX}' || prefix || '{fill_middle.SUFFIX}' || suffix || '{fill_middle.MIDDLE}' || middle
+    ELSE '{fill_middle.SUFFIX}' || suffix || '{fill_middle.PREFIX}' || prefix || '{fill_middle.MIDDLE}' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM parted
+"""
+
 
 def _secret_sql() -> str:
     """Every rule's matches between marks; the lengths of the pieces give the places."""
@@ -199,6 +255,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_sentence_dedup": op9_sentence_dedup,
     "op10_license_scan": op10_license_scan,
+    "op11_collocations": op11_collocations,
+    "op12_sharding": op12_sharding,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -209,4 +268,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_secret_scan": _secret_sql(),
     "op8_source_mixing": MIXING_SQL,
     "op9_sentence_dedup": SENTENCE_SQL,
+    "op11_collocations": PHRASE_SQL,
+    "op12_sharding": SHARD_SQL,
+    "op13_fill_in_middle": MIDDLE_SQL,
 }
