@@ -3,6 +3,8 @@
 import collections
 import hashlib
 import re
+import zlib
+from collections import Counter
 
 
 def components(rows):
@@ -223,3 +225,57 @@ def secrets(text):
     found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
     return [f"{('assign', 'access', 'hex')[k]}:{a}:{z}" for a, k, z in sorted(found)]
+
+
+def phrases(rows, least, longest=5, top=2000, covered=100):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    by_lang, out = {}, []
+    for lang, text in rows:
+        by_lang.setdefault("und" if lang is None else lang, []).append(text or "")
+    for lang, texts in by_lang.items():
+        f, n = Counter(), 0
+        for text in texts:
+            for piece in re.split("[.,;:!?\x0a-\x0d]", text.translate(low)):
+                w = re.findall("[^\x20\x09]+", piece)
+                n += len(w)
+                for m in range(1, longest + 1):
+                    f.update(tuple(w[i : i + m]) for i in range(len(w) - m + 1))
+        often = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        gone = {p[i:j] for p, a in often.items() for i in range(len(p)) for j in range(i + 2, len(p) + 1) if j - i < len(p) and 100 * a >= covered * f[p[i:j]]}
+        scored = []
+        for p in often.keys() - gone:
+            score, k = min((1000 * f[p] * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            scored.append((-score, -f[p], " ".join(p).encode(), " ".join(p), f[p[:k]], f[p[k:]]))
+        out += [(lang, rank, p, -a, left, right, n, -score) for rank, (score, a, _, p, left, right) in enumerate(sorted(scored)[:top], 1)]
+    return out
+
+
+def dealt(rows, n):
+    """(doc_id, size, crc32, law, shard, slot, None) of (doc_id, text) rows."""
+    sized = [(d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows]
+    sized.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    total, before, slots, out = sum(r[1] for r in sized), 0, Counter(), []
+    for d, size, crc in sized:
+        shard = (2 * before + size) * n // (2 * total)
+        before += size
+        out.append((d, size, crc, "bytes", shard, slots[shard], None))
+        slots[shard] += 1
+    return out
+
+
+def middles(rows):
+    """(doc_id, n, form, prefix_chars, middle_chars, sha256 of the output, sha256 of the text) of (doc_id, text) rows."""
+    out = []
+    for d, text in rows:
+        text = text or ""
+        units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
+        h = hashlib.sha256(f"42:{'' if d is None else d}".encode()).hexdigest()
+        h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+        a, z = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+        prefix, middle, suffix = "".join(units[:a]), "".join(units[a:z]), "".join(units[z:])
+        form = "plain" if not text or re.search("<[PSM]>", text) or h3 % 100 >= 50 else "spm" if h4 % 100 < 80 else "psm"
+        made = {"plain": text, "psm": f"<P>{prefix}<S>{suffix}<M>{middle}", "spm": f"<S>{suffix}<P>{prefix}<M>{middle}"}[form]
+        sizes = (None, None) if form == "plain" else (len(prefix), len(middle))
+        out.append((d, len(units), form, *sizes, hashlib.sha256(made.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    return out
