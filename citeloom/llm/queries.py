@@ -166,13 +166,16 @@ SENTENCE_SQL = rf"""
 WITH pieces AS (SELECT row_number() OVER () AS r, doc_id, text, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+') AS ps FROM documents),
 flat AS (SELECT r, doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM pieces),
 begun AS (SELECT *, sum(CASE WHEN i = 1 OR regexp_matches(p, '[\pL\pN]') THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS n FROM flat),
-sentences AS (SELECT r, any_value(doc_id) AS doc_id, CAST(n AS BIGINT) AS n, string_agg(p, '' ORDER BY i) AS p FROM begun GROUP BY r, n),
-worded AS (SELECT *, regexp_extract_all(regexp_replace(lower(p), '[^\pL\pN_\s]+', ' ', 'g'), '[^\x20\x09-\x0D]+') AS w FROM sentences),
-counted AS (SELECT *, sum(len(w)) OVER (PARTITION BY r ORDER BY n) AS upto FROM worded),
-runs AS (SELECT a.r, a.n AS a, z.n AS z, z.upto - a.upto + len(a.w) AS m, len(a.w) AS first_words, len(z.w) AS last_words FROM counted a JOIN counted z
-  ON a.r = z.r AND z.n >= a.n AND z.n < a.n + {sentence_dedup.SENTENCES + sentence_dedup.WORDS}),
-sized AS (SELECT *, CASE WHEN z = a THEN m >= {2 * sentence_dedup.WORDS} ELSE z - a + 1 >= {sentence_dedup.SENTENCES} AND m >= {sentence_dedup.WORDS} END AS enough FROM runs),
-spans AS (SELECT r, a, z FROM sized WHERE enough AND first_words > 0 QUALIFY z = min(z) OVER (PARTITION BY r, a) OR a = max(a) OVER (PARTITION BY r, z)),
+sentences AS (SELECT r, any_value(doc_id) AS doc_id, CAST(n AS BIGINT) AS n, string_agg(p, '' ORDER BY i) AS p, bool_or(regexp_matches(p, '[.!?]|\n\n')) AS stop FROM begun GROUP BY r, n),
+worded AS (SELECT *, regexp_extract_all(regexp_replace(lower(p), '[^\pL\pN_\s]+', ' ', 'g'), '[^\x20\x09-\x0D]+') AS w, coalesce(sum(CASE WHEN stop THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part FROM sentences),
+units AS (SELECT 'line' AS unit, r, n AS u, n AS a, n AS z, len(w) AS m FROM worded UNION ALL SELECT 'stop', r, CAST(part AS BIGINT), min(n), max(n), sum(len(w)) FROM worded GROUP BY r, part),
+counted AS (SELECT *, sum(m) OVER (PARTITION BY unit, r ORDER BY u) AS upto FROM units),
+runs AS (SELECT x.unit, x.r, x.u AS a, y.u AS z, x.a AS first, y.z AS last, y.upto - x.upto + x.m AS m FROM counted x JOIN counted y
+  ON x.unit = y.unit AND x.r = y.r AND y.u >= x.u AND y.u < x.u + {sentence_dedup.SENTENCES + sentence_dedup.WORDS}),
+enough AS (SELECT * FROM runs WHERE CASE WHEN z = a THEN m >= {2 * sentence_dedup.WORDS} ELSE z - a + 1 >= {sentence_dedup.SENTENCES} AND m >= {sentence_dedup.WORDS} END),
+chosen AS (SELECT r, first, last FROM enough QUALIFY z = min(z) OVER (PARTITION BY unit, r, a) OR a = max(a) OVER (PARTITION BY unit, r, z)
+  OR unit = 'line' AND z > a AND z - a < {sentence_dedup.MOST_SENTENCES} AND m <= {sentence_dedup.MOST_WORDS}),
+spans AS (SELECT DISTINCT c.r, c.first AS a, c.last AS z FROM chosen c JOIN worded w ON w.r = c.r AND w.n = c.first WHERE len(w.w) > 0),
 said AS (SELECT r, a, z, string_agg(array_to_string(w, ' '), ' ' ORDER BY n) FILTER (len(w) > 0) AS key, any_value(doc_id) AS doc_id FROM spans JOIN worded USING (r) WHERE n BETWEEN a AND z GROUP BY r, a, z),
 later AS (SELECT r, a, z FROM said QUALIFY (doc_id, a) <> first_value((doc_id, a)) OVER (PARTITION BY key ORDER BY doc_id, a)),
 gone AS (SELECT DISTINCT r, n FROM later JOIN sentences USING (r) WHERE n BETWEEN a AND z),
