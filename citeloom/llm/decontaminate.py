@@ -1,9 +1,14 @@
 """Operator 6: benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-Texts and benchmark items are compared as lower-case code points with every run of white space as one space. A long
-item is cut into units of at most UNIT characters that overlap by half, so a passage that holds a good part of an
-item is found too; a shorter item is one unit. An occurrence of a unit of m characters is a piece of one text within
-k = floor(RATE * m) edits of it. By the q-gram lemma it shares at least m + 1 - q (k + 1) q-grams with the unit on
+Texts and benchmark items are compared as lower-case code points with every run of white space as one space. An item of
+m characters, however many, occurs where a piece of one text is within K = floor(RATE * m) edits of it. Of an item longer
+than UNIT, windows of UNIT characters that overlap by half are looked for besides, each within its own floor(RATE * UNIT)
+edits, so a passage that holds a good part of a long item is found too.
+
+What is filtered are units: an item of at most UNIT characters, a window, or a part of a longer item, which is cut into r equal parts
+of PART characters or some more. Of K edits at least one part has k = floor(K / r) or fewer, wherever they lie; where
+a part is found, the whole item is aligned around it with its whole budget. By the q-gram lemma an occurrence of a unit of m
+characters with at most k edits shares at least m + 1 - q (k + 1) q-grams with it on
 diagonals (text position - unit position) that differ by at most k. q is the largest of LENGTHS that leaves a bound
 of at least one, so the filter loses no occurrence of any length: 8 for most units, 4 for some of up to 31 characters.
 Units without edits (under 10 characters) are looked for as they are.
@@ -13,7 +18,7 @@ Units without edits (under 10 characters) are looked for as they are.
 2. The other hits are counted in overlapping diagonal bands of twice the class's largest k, each hit in two bands, so
    the hits of one occurrence always meet in one band. Bands below the unit's bound are out.
 3. The regions of the remaining bands, cut at the ends of texts, are verified by a banded alignment with free text
-   ends, again beside each occurrence until nothing more is found.
+   ends, again beside each occurrence until nothing more is found. Around the occurrence of a part the same is done for its item.
 
 An item of fewer than WHOLE characters counts only between word borders, so that `art` isn't found in `part`.
 Neighbouring occurrences of an item's units are reported as one span of the original text in code points.
@@ -46,6 +51,7 @@ from citeloom.llm.common import TEXT_ROWS, materialize, scratch, text_key, trim,
 LENGTHS = (8, 4, 2, 1)  # of q-grams
 RATE = 0.1
 UNIT = 200  # at most 255: a place in a unit is packed into 8 bits
+PART = 100  # the parts of a longer item have so many characters up to twice as many
 WHOLE = 24
 CHUNK = 2_000_000
 BLOCK = 100_000  # characters of text scanned together; their arrays fit into a core's cache
@@ -101,6 +107,8 @@ class Unit(NamedTuple):
     q: int  # 0: looked for as it is
     least: int  # q-grams shared by the lemma
     bordered: bool
+    whole: int = -1  # of a part, its item's number in Index.wholes
+    offset: int = 0  # of a part, its place in the item
 
 
 class Grams(NamedTuple):
@@ -117,13 +125,24 @@ class Grams(NamedTuple):
 class Index(NamedTuple):
     item_ids: list
     units: list[Unit]
+    wholes: list[Unit]  # the items longer than a unit
     grams: list[Grams]
 
 
-def unit_of(item: int, codes: np.ndarray, rate: float, bordered: bool) -> Unit:
-    k = int(rate * len(codes))
+def unit_of(item: int, codes: np.ndarray, k: int, bordered: bool = False, whole: int = -1, offset: int = 0) -> Unit:
     q = next(x for x in LENGTHS if len(codes) + 1 - x * (k + 1) >= 1) if k else 0
-    return Unit(item, codes, k, q, len(codes) + 1 - q * (k + 1), bordered)
+    return Unit(item, codes, k, q, len(codes) + 1 - q * (k + 1), bordered, whole, offset)
+
+
+def units_of(item: int, codes: np.ndarray, rate: float, unit: int, whole: int) -> list[Unit]:
+    """The units to look for so that no occurrence of the item is lost; whole: its number among the longer items."""
+    m = len(codes)
+    if m <= unit:
+        return [unit_of(item, codes, int(rate * m), m < WHOLE)]
+    windows = [unit_of(item, codes[s : s + unit], int(rate * unit)) for s in [*range(0, m - unit, unit // 2), m - unit]]
+    r = max(-(-m // unit), m // PART)
+    cuts = [m * i // r for i in range(r + 1)]
+    return windows + [unit_of(item, codes[a:z], int(rate * m) // r, whole=whole, offset=a) for a, z in zip(cuts[:-1], cuts[1:])]
 
 
 def grams_of(units: list[Unit], q: int, unit: int) -> Grams:
@@ -150,14 +169,16 @@ def index(items: list[tuple[int | None, str | None]], rate: float = RATE, unit:
     if not 0 <= rate < 1:
         raise ValueError("rate must be at least 0 and less than 1")
     units: list[Unit] = []
+    wholes: list[Unit] = []
     for n, (_, text) in enumerate(items):
         codes = normalised(text or "")[0]
         codes = codes[1:] if len(codes) and codes[0] == 32 else codes
         codes = codes[:-1] if len(codes) and codes[-1] == 32 else codes
         if len(codes):
-            starts = [0] if len(codes) <= unit else [*range(0, len(codes) - unit, unit // 2), len(codes) - unit]
-            units += [unit_of(n, codes[s : s + unit], rate, len(codes) < WHOLE) for s in starts]
-    return Index([i for i, _ in items], units, [grams_of(units, q, unit) for q in LENGTHS if any(u.q == q for u in units)])
+            units += units_of(n, codes, rate, unit, len(wholes))
+            if len(codes) > unit:
+                wholes.append(Unit(n, codes, int(rate * len(codes)), 0, 0, False))
+    return Index([i for i, _ in items], units, wholes, [grams_of(units, q, unit) for q in LENGTHS if any(u.q == q for u in units)])
 
 
 def align(pattern: np.ndarray, text: np.ndarray, k: int) -> tuple[int, int] | None:
@@ -298,11 +319,21 @@ def spans(ix: Index, texts: list[str | None]) -> Iterator[tuple[int, int, int, i
             if not one.bordered or between_borders(parts[text][0], s, e):
                 found.setdefault((text, one.item), []).append((s, e, edits))
 
+        def hit(one: Unit, text: int, s: int, e: int, edits: int) -> None:
+            """s, e: places in joined. Around a part its item is looked for."""
+            begin, stop = offsets[text], offsets[text + 1] - 1
+            if one.whole < 0:
+                return add(one, text, s - begin, e - begin, edits)
+            item = ix.wholes[one.whole]
+            slack = item.k + 2 * one.k
+            a, z = max(begin, s - one.offset - slack), min(stop, e - one.offset + len(item.codes) - len(one.codes) + slack)
+            for s, e, edits in occurrences(item, joined, a, z, begin, stop, taken.setdefault((-1 - one.whole, text), [])):
+                add(item, text, s - begin, e - begin, edits)
+
         for one in ix.units:
             if not one.q:
                 for s, e in unedited(one, joined):
-                    text = bisect_right(offsets, s) - 1
-                    add(one, text, s - offsets[text], e - offsets[text], 0)
+                    hit(one, bisect_right(offsets, s) - 1, s, e, 0)
         for grams in ix.grams:
             for u, low, width in bands(grams, ix.units, joined):
                 one = ix.units[u]
@@ -311,7 +342,7 @@ def spans(ix: Index, texts: list[str | None]) -> Iterator[tuple[int, int, int, i
                 while text < len(parts) and offsets[text] < z:
                     begin, stop = offsets[text], offsets[text + 1] - 1
                     for s, e, edits in occurrences(one, joined, a, z, begin, stop, taken.setdefault((u, text), [])):
-                        add(one, text, s - begin, e - begin, edits)
+                        hit(one, text, s, e, edits)
                     text += 1
         for (text, item), hits in sorted(found.items()):
             places = parts[text][1]
