@@ -8,7 +8,8 @@ Defined cases: null or empty text, or text without a letter: goes in the first s
 row, and in a group of near duplicates the last choice; ties: the smallest doc_id of a group stays; repeated rows: one
 stays; null source: a source of its own; very long texts: whole in every stage; extra columns, whatever their names, are
 passed on (those that the last stage adds replace columns of the same name); empty documents or benchmark: no rows, or
-nothing to look for.
+nothing to look for; benchmark items of fewer than 24 characters: not looked for, as a few words are in many clean texts
+(decontaminate.keep_clean() with least=1 looks for them too, between word borders).
 """
 
 from __future__ import annotations
