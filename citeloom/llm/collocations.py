@@ -9,15 +9,17 @@ cuts into two parts, floor(1000 f(phrase) n / (f(first) f(rest))) with n all wor
 2. Words are counted over all shards; those that are frequent get an id, and each shard learns which of its words they are.
 3. Phrases grow by a word a round. A shard extends its frequent phrases depth-first: the phrase's bitmap is shifted by
    one and ANDed with the bitmaps of the words that have a byte in the same places, the bits left are counted. Numbers between pieces
-   belong to no word, so no phrase crosses them. A phrase whose last words (all but the first) are not frequent is not counted. The
-   counts are summed over shards, and the shards learn which are frequent.
+   belong to no word, so no phrase crosses them. A phrase whose last words (all but the first) are not frequent is not counted.
+   A shard's counts are packed into arrays by bucket (a hash of the phrase); a task sums a bucket over all shards, gives the frequent
+   phrases ids and tells each shard which of them it has.
 4. Candidates are joined with the counts of their parts, covered ones dropped and the best of each language ranked. Products are
    decimals of up to 38 digits, divided exactly.
 
 A phrase is known as (id of all but its last word, id of its last word), so no hash stands for equality.
 
-Scale: a shard's words never meet in one row but with those of the same task; what is shuffled are distinct (shard, word) and (shard, phrase)
-pairs with counts, and the bitmaps once a round. A word in every text has a pair a shard; the joins back are of written tables by plain
+Scale: a shard's words never meet in one row but with those of the same task; what is shuffled are distinct (shard, word) pairs, the counts of
+distinct (shard, phrase) pairs as packed arrays, and the bitmaps once a round. A word or phrase in every text has one pair a shard.
+A bucket holds half of a shuffle partition's share of the pairs, so its size is set by the number of partitions. The join of words back to shards is of written tables by plain
 equality, whose hot keys adaptive execution can split. A phrase that is covered is covered by one that is a word longer, as counts
 only fall with length, so phrases meet those only. The ranks are taken of SALTS parts of a language first, then of the best of each.
 No dictionary is broadcast by us or collected.
@@ -39,6 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm.common import TEXT_ROWS, materialize, scratch, trim
+from citeloom.llm.hashing import mix
 
 LEAST = 100
 LONGEST = 5
@@ -240,32 +243,83 @@ def extend(maps: Bitmaps, places: np.ndarray, ids: np.ndarray, known: list[tuple
         yield from grow(0, word[mine], block[mine], bits[mine])
 
 
-def _listed(b: pa.RecordBatch, column: str, row: int) -> list[np.ndarray]:
-    """The fields of a column's structs in one row."""
-    held = b.column(column).slice(row, 1).flatten()
-    return [held.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(held.type.num_fields)]
+def _places(b: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers and ids of a shard's frequent words."""
+    return tuple(b.column(c).slice(row, 1).flatten().to_numpy(zero_copy_only=False) for c in ("places", "ids"))
 
 
-def _extended(shards: DataFrame, known: list[DataFrame], length: int) -> DataFrame:
-    """shard, parent, word, n of the phrases of this length in each shard; known: by shard, the frequent words and then phrases."""
+def _phrases(b: pa.RecordBatch, column: str, row: int) -> tuple[np.ndarray, ...]:
+    """(parent, word, id) of a shard's frequent phrases of one length, from the parts in which the buckets gave them."""
+    parts = b.column(column).slice(row, 1).flatten()
+    return tuple(parts.field(i).flatten().to_numpy(zero_copy_only=False) for i in range(3))
+
+
+def _packed(parent: np.ndarray, word: np.ndarray, n: np.ndarray, shard: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """A shard's counts, a row for each bucket of phrases."""
+    bucket = (mix(mix(parent.view(np.uint64)) + word.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, parent, word, n = bucket[order], parent[order], word[order], n[order].astype(np.int32)
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    ends = [*first[1:].tolist(), len(bucket)]
+    arrays = [pa.array([x[a:z].tobytes() for a, z in zip(first.tolist(), ends)], pa.binary()) for x in (parent, word, n)]
+    yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(np.full(len(first), shard)), *arrays], names=["bucket", "shard", "parent", "word", "n"])
+
+
+PACKED = "bucket int, shard long, parent binary, word binary, n binary"
+MERGED = "shard long, parent array<long>, word array<long>, id array<long>, f array<long>"
+
+
+def merge(bucket: int, held: pa.Table, least: int) -> pa.Table:
+    """The counts of a bucket summed over its shards: the phrases that are frequent (a row without shard), and which of them each shard has."""
+    parent, word, n = (np.frombuffer(b"".join(held.column(c).to_pylist()), kind) for c, kind in (("parent", np.int64), ("word", np.int64), ("n", np.int32)))
+    sizes = np.array([len(x) // 4 for x in held.column("n").to_pylist()])
+    shard = np.repeat(held.column("shard").to_numpy(), sizes)
+    order = np.lexsort((word, parent))
+    parent, word, shard = parent[order], word[order], shard[order]
+    new = np.ones(len(parent), bool)
+    new[1:] = (parent[1:] != parent[:-1]) | (word[1:] != word[:-1])
+    first = np.flatnonzero(new)
+    f = np.add.reduceat(n[order].astype(np.int64), first)
+    often = np.flatnonzero(f >= least)
+    ids = (bucket << 32) + np.arange(len(f))
+    out = [(None, parent[first[often]], word[first[often]], ids[often], f[often])]
+    phrase = np.cumsum(new) - 1
+    kept = np.flatnonzero((f >= least)[phrase])
+    kept = kept[np.argsort(shard[kept], kind="stable")]
+    cuts = np.flatnonzero(np.concatenate([[True], shard[kept][1:] != shard[kept][:-1]])) if len(kept) else []
+    for a, z in zip(cuts, [*cuts[1:], len(kept)]):
+        k = kept[a:z]
+        out.append((int(shard[k[0]]), parent[k], word[k], ids[phrase[k]], np.zeros(0, np.int64)))
+    if not len(often):
+        out = []
+    lists = [pa.array([r[i] for r in out], pa.list_(pa.int64())) for i in range(1, 5)]
+    return pa.table([pa.array([r[0] for r in out], pa.int64()), *lists], names=["shard", "parent", "word", "id", "f"])
+
+
+def _extended(shards: DataFrame, known: list[DataFrame], length: int, least: int) -> DataFrame:
+    """The frequent phrases of this length, and those of each shard, as merge() gives them; known: by shard, the frequent words and then phrases."""
     rows = shards.select("shard", "sizes", "blocks", "bits")
     for df in known:
         rows = rows.join(df, "shard")
+    buckets = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 maps = Bitmaps(*[np.frombuffer(b.column(c)[i].as_buffer(), kind) for c, kind in (("sizes", np.int32), ("blocks", np.int32), ("bits", np.uint8))])
-                shard = b.column("shard")[i].as_py()
-                for parent, word, n in extend(maps, *_listed(b, "k1", i), [tuple(_listed(b, f"k{k}", i)) for k in range(2, length)]):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard)), pa.array(parent), pa.array(word), pa.array(n)], names=["shard", "parent", "word", "n"])
+                found = list(extend(maps, *_places(b, i), [_phrases(b, f"k{k}", i) for k in range(2, length)]))
+                if found:
+                    yield from _packed(*[np.concatenate(x) for x in zip(*found)], b.column("shard")[i].as_py(), buckets)
         trim()
 
-    return materialize(rows.mapInArrow(run, "shard long, parent long, word long, n long"), f"phrases-{length}")
+    def summed(key: tuple, held: pa.Table) -> pa.Table:
+        return merge(key[0].as_py(), held, least)
+
+    return materialize(rows.mapInArrow(run, PACKED).groupBy("bucket").applyInArrow(summed, MERGED), f"phrases-{length}")
 
 
 def _levels(docs: DataFrame, least: int, longest: int, shard_words: int) -> tuple[list[DataFrame], DataFrame]:
-    """Written tables: for each length (id, lang, phrase, f, and parent from two words on); and the words of each lang."""
+    """Written tables: for each length (id, lang, phrase, f); and the words of each lang."""
     shards = _shards(docs, shard_words)
     pairs = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
     pairs = pairs.select("shard", "lang", "place", F.col("w.words").cast("string").alias("phrase"), F.col("w.counts").alias("n"))
@@ -274,20 +328,20 @@ def _levels(docs: DataFrame, least: int, longest: int, shard_words: int) -> tupl
     totals = shards.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     totals = materialize(totals, "phrase-totals")
     back = pairs.select("shard", "lang", "place", "phrase").join(levels[0].select("lang", "phrase", "id"), ["lang", "phrase"])
-    known = [materialize(back.groupBy("shard").agg(F.collect_list(F.struct("place", "id")).alias("k1")), "phrase-known")]
+    # two lists of one aggregation are in the same order
+    known = [materialize(back.groupBy("shard").agg(F.collect_list("place").alias("places"), F.collect_list("id").alias("ids")), "phrase-known")]
     for length in range(2, longest + 1):
-        local = _extended(shards, known, length)
-        often = local.groupBy("parent", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+        merged = _extended(shards, known, length, least)
+        often = merged.where("shard is null").select(F.inline(F.arrays_zip("parent", "word", "id", "f")))
         heads = levels[-1].select(F.col("id").alias("parent"), "lang", F.col("phrase").alias("head"))
         last = levels[0].select(F.col("id").alias("word"), F.col("phrase").alias("last"))
         spelt = often.join(heads, "parent").join(last, "word")
-        level = materialize(spelt.select(F.monotonically_increasing_id().alias("id"), "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "f", "parent", "word"), f"phrase-level-{length}")
+        level = materialize(spelt.select("id", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "f"), f"phrase-level-{length}")
         if level.isEmpty():
             break
         levels.append(level)
         if length < longest:
-            back = local.join(level.select("parent", "word", "id"), ["parent", "word"])
-            known.append(materialize(back.groupBy("shard").agg(F.collect_list(F.struct("parent", "word", "id")).alias(f"k{length}")), "phrase-known"))
+            known.append(merged.where("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("parent", "word", "id")).alias(f"k{length}")))
     return levels, totals
 
 

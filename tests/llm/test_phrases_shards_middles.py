@@ -48,7 +48,7 @@ def test_collocations_of_nothing(spark):
 def test_products_beyond_64_bits(spark):
     """1000 a n passes 2^63."""
     words = spark.createDataFrame([(0, "en", "a", 4 * 10**9), (1, "en", "b", 3 * 10**9)], "id long, lang string, phrase string, f long")
-    pair = spark.createDataFrame([(2, "en", "a b", 2_999_999_999, 0, 1)], "id long, lang string, phrase string, f long, parent long, word long")
+    pair = spark.createDataFrame([(2, "en", "a b", 2_999_999_999)], "id long, lang string, phrase string, f long")
     totals = spark.createDataFrame([("en", 9 * 10**12 + 7)], "lang string, n long")
     n, a = 9 * 10**12 + 7, 2_999_999_999
     assert rows(collocations._ranked([words, pair], totals, 10, 100)) == [("en", 1, "a b", a, 4 * 10**9, 3 * 10**9, n, 1000 * a * n // (12 * 10**18))]
