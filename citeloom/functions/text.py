@@ -50,11 +50,15 @@ def abbreviate_authors(authors: Column) -> Column:
     return F.when(F.size(names) == 1, first).when(F.size(names) == 2, F.concat_ws(" & ", first, F.element_at(names, 2))).when(F.size(names) > 2, F.concat(first, F.lit(" et al.")))
 
 
+#: Stands before an escaped character while a text is split; a noncharacter, which no text may hold.
+ESCAPED = "\ufdd0"
+
+
 def split_escaped(c: Column, separator: str = ".", escape: str = "\\") -> Column:
-    """Split at separators that no escape character precedes, and take the escapes away: `a\\.b.c` is `a.b` and `c`. Up to 40 escapes in a row are told apart."""
+    """Split at separators that aren't escaped, and take the escapes away: `a\\.b.c` is `a.b` and `c`. An escape stands before any one character; at the end it goes."""
     s, e = re.escape(separator), re.escape(escape)
-    parts = F.split(c, f"(?<!(?<!{e})(?:{e}{e}){{0,20}}{e}){s}", -1)
-    return F.transform(parts, lambda p: F.regexp_replace(p, f"{e}(.)", "$1"))
+    marked = F.regexp_replace(c, f"(?s){e}(.|$)", f"{ESCAPED}$1")  # from left to right, so an escaped escape marks nothing
+    return F.transform(F.split(marked, f"(?<!{ESCAPED}){s}", -1), lambda p: F.regexp_replace(p, ESCAPED, ""))
 
 
 def background_of(sm: Column) -> Column:

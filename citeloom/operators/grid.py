@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime
 import re
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.session import shared_dir, until_exit
+from citeloom.operators.pages import PageIndex
 
 
 def parse_range(given: str, low, high, read: Callable = float) -> tuple:
@@ -90,35 +89,28 @@ class Page:
 
 
 def numbered(df: DataFrame, order: list[Column]) -> DataFrame:
-    """df with row_number (from 1) in an order that ends in a tiebreaker, by no task that sees all rows.
-
-    The rows are dealt by ranges of the order, sorted in their tasks and written with task and place; a task's rows follow
-    those of all tasks before it, whose counts are one row a task.
-    """
-    spark = df.sparkSession
-    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    path = f"{shared_dir(spark)}/numbered-{uuid.uuid4().hex}"
-    sorted_rows.withColumn("__task", F.spark_partition_id()).withColumn("__place", place).write.parquet(path)
-    written = spark.read.parquet(until_exit(spark, path))
-    counts = written.groupBy("__task").agg(F.count("*").alias("n"))
-    before = counts.withColumn("before", F.sum("n").over(Window.orderBy("__task")) - F.col("n")).select("__task", "before")
-    return written.join(before, "__task").withColumn("row_number", (F.col("before") + F.col("__place") + 1).cast("int")).select(*df.columns, "row_number")
+    """df with row_number (long, from 1) in an order that ends in a tiebreaker; what is written for it stays until the application ends. PageIndex has more, and can be closed."""
+    return PageIndex(df, order).rows()
 
 
 def page(df: DataFrame, order: list[Column], number: int, length: int) -> Page:
     """The number-th page (from 1). order must end in a tiebreaker.
 
-    The page itself comes from a top-k plan (only number * length rows leave the tasks), or, if it lies deep, from all
-    rows numbered; otherwise numbering all rows is only done by whoever reads `matching`.
+    The page comes from a top-k plan (only number * length rows leave the tasks), or, if it lies deep, by a PageIndex that goes
+    again at once; many deep pages of one table are better read from an index that is kept. Numbering all rows is only done by
+    whoever reads `matching`.
     """
     if number < 1:
         raise ValueError("pages count from 1")
-    if number * length > DEEP:
-        ranked = numbered(df, order)
-    else:
-        ranked = df.orderBy(*order).limit(number * length).withColumn("row_number", F.row_number().over(Window.orderBy(*order)))
-    return Page(ranked.where(F.col("row_number").between((number - 1) * length + 1, number * length)), df, order)
+    if number * length <= DEEP:
+        ranked = df.orderBy(*order).limit(number * length).withColumn("row_number", F.row_number().over(Window.orderBy(*order)).cast("long"))
+        return Page(ranked.where(F.col("row_number") > (number - 1) * length), df, order)
+    if length > DEEP:
+        return Page(PageIndex(df, order).between((number - 1) * length + 1, number * length), df, order)
+    with PageIndex(df, order) as index:
+        past = (number - 1) * length >= index.n
+        rows = index.between(1, 0) if past else index.copy_of_page(number, length)
+    return Page(rows, df, order)
 
 
 def checked_page(df: DataFrame, order: list[Column], number: int, length: int) -> Page:
@@ -163,8 +155,10 @@ def selectable(df: DataFrame, key: str, keys: list[int]) -> DataFrame:
     return df.where(~F.col(key).isin([-k for k in keys]))
 
 
-def between_rows(numbered: DataFrame, a: int, b: int) -> DataFrame:
-    """A shift selection in the current order, from either end."""
+def between_rows(numbered: DataFrame | PageIndex, a: int, b: int) -> DataFrame:
+    """A shift selection in the current order, from either end; of an index only the files that hold it are read."""
+    if isinstance(numbered, PageIndex):
+        return numbered.between(min(a, b), max(a, b))
     return numbered.where(F.col("row_number").between(min(a, b), max(a, b)))
 
 
@@ -179,21 +173,22 @@ def add_row(df: DataFrame, values: list) -> DataFrame:
 
 
 def edit_cells(df: DataFrame, key: str, edits: DataFrame) -> DataFrame:
-    """edits: the key, `column` and `value` (text, null to empty the cell), at most one row a cell; cast to the columns' types. Cells of the key can't be edited."""
+    """edits: the key, `column` and `value` (text, null to empty the cell), at most one row a cell; cast to the columns' types. Every edit names its row by the key that the row has before, also where it changes the key."""
     by_row = edits.groupBy(F.col(key).alias("__key")).agg(F.map_from_entries(F.collect_list(F.struct("column", "value"))).alias("__new"))
 
     def changed(c: str) -> Column:
         here = F.coalesce(F.map_contains_key("__new", F.lit(c)), F.lit(False))
         return F.when(here, F.element_at("__new", F.lit(c)).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
 
-    return df.join(by_row, F.col(key) == F.col("__key"), "left").select(*[F.col(c) if c == key else changed(c) for c in df.columns])
+    return df.join(by_row, F.col(key) == F.col("__key"), "left").select(*[changed(c) for c in df.columns])
 
 
 def edit_row(df: DataFrame, key: str, value, new: dict) -> DataFrame:
-    """Several cells of one row changed."""
-    for column, v in new.items():
-        df = edit(df, key, value, column, v)
-    return df
+    """Several cells of one row changed at once, in whatever order they are named; the row is the one that has the key before."""
+    if unknown := set(new) - set(df.columns):
+        raise ValueError(f"no columns {sorted(unknown)}")
+    here = F.col(key) == value
+    return df.select(*[F.when(here, F.lit(new[c]).cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in df.columns])
 
 
 def edit_column(df: DataFrame, key: str, column: str, values: DataFrame) -> DataFrame:
@@ -222,14 +217,17 @@ def highlighted(c: Column, query: str, regex: bool = False, case_insensitive: bo
 
 
 def row_groups(df: DataFrame, by: str, order: list[Column], hide: bool = True) -> DataFrame:
-    """Rows in groups: `group` first, then whether the row begins one; the column itself is hidden unless wanted. A group is numbered by one task."""
-    first = F.row_number().over(Window.partitionBy(by).orderBy(*order)) == 1
-    return df.select(F.col(by).alias("group"), first.alias("group_start"), *[c for c in df.columns if c != by or not hide])
+    """Rows in groups: `group` first, then whether the row begins one; the column itself is hidden unless wanted. order: rising, the last column a
+    tiebreaker. A group's first row is a minimum, joined back, so that no task sees a whole group."""
+    place = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)])
+    first = df.groupBy(F.col(by).alias("__by")).agg(F.min(place).alias("__first"))
+    joined = df.join(first, F.col(by).eqNullSafe(F.col("__by")))
+    return joined.select(F.col(by).alias("group"), place.eqNullSafe(F.col("__first")).alias("group_start"), *[c for c in df.columns if c != by or not hide])
 
 
 def edit(df: DataFrame, key: str, value, column: str, new) -> DataFrame:
     """One cell changed."""
-    return df.withColumn(column, F.when(F.col(key) == value, F.lit(new).cast(df.schema[column].dataType)).otherwise(F.col(column)))
+    return edit_row(df, key, value, {column: new})
 
 
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,26 +17,43 @@ def works_lookup(works: DataFrame, refs: DataFrame) -> DataFrame:
 
 
 SALTS = 64  # tasks over which references without DOI are dealt
+FEW = 10_000  # works without DOI that are sent to every task
 
 
-def key_works(refs: DataFrame, works: DataFrame, normalize_doi: bool = False, null_meets_null: bool = True) -> DataFrame:
-    """Every reference with its work; a reference without DOI meets every work without DOI, or none (null_meets_null).
+class KeyWorks(NamedTuple):
+    """References with their works, and the two groups that a null DOI links, as they are: every one of refs meets every one of works."""
 
-    References without DOI are one key, so they are joined apart: dealt over SALTS numbers, each of which has a copy of the
-    works without DOI.
-    """
+    pairs: DataFrame
+    refs: DataFrame
+    works: DataFrame
+
+
+def key_works_grouped(refs: DataFrame, works: DataFrame, normalize_doi: bool = False) -> KeyWorks:
+    """Every reference with a DOI with its work; those without aren't spelt out as pairs, whose number is the product of both groups."""
     left = refs.withColumn("doi", text.prefixed(F.col("doi"), text.DOI_PREFIX))
     right = works.withColumnRenamed("doi", "work_doi")
     a, b = F.col("doi"), F.col("work_doi")
     if normalize_doi:
         a, b = F.lower(a), F.lower(b)
     known = left.where("doi is not null").join(right, a == b, "left").drop("work_doi")
-    blank = left.where("doi is null")
+    return KeyWorks(known, left.where("doi is null"), right.where("work_doi is null").drop("work_doi"))
+
+
+def key_works(refs: DataFrame, works: DataFrame, normalize_doi: bool = False, null_meets_null: bool = True) -> DataFrame:
+    """Every reference with its work; a reference without DOI meets every work without DOI, or none (null_meets_null).
+
+    References without DOI are one key, so they are joined apart: with a copy of the works without DOI in every task if these are FEW,
+    else dealt over SALTS numbers, each of which has a copy. key_works_grouped() leaves the pairs out.
+    """
+    known, blank, none = key_works_grouped(refs, works, normalize_doi)
     if not null_meets_null:
         return known.unionByName(blank, allowMissingColumns=True)
-    salted = blank.withColumn("__salt", F.pmod(F.xxhash64(*[c for c in blank.columns if c != "doi"]), F.lit(SALTS)))
-    copies = right.where("work_doi is null").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return known.unionByName(salted.join(copies, salted["__salt"] == copies["__salt"], "left").drop("work_doi", "__salt"))
+    if none.limit(FEW + 1).count() <= FEW:
+        salted, copies = blank.withColumn("__salt", F.lit(0)), F.broadcast(none.withColumn("__salt", F.lit(0)))
+    else:
+        salted = blank.withColumn("__salt", F.pmod(F.xxhash64(*[c for c in blank.columns if c != "doi"]), F.lit(SALTS)))
+        copies = none.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return known.unionByName(salted.join(copies, "__salt", "left").drop("__salt"))
 
 
 def messages_per_work(key: DataFrame) -> DataFrame:

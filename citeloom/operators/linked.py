@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.operators.key_counts import KeyCounts
+
 
 def intersection(handles: dict[str, DataFrame]) -> DataFrame | None:
     """The keys that every handle has (each a DataFrame with the column key): counted once a handle; None without handles."""
@@ -74,21 +76,29 @@ class Var:
 
 
 class FilterSet:
-    """A group's filter handles. set() replaces a handle's keys, clear() removes the handle; keys() is None without any."""
+    """A group's filter handles. set() replaces a handle's keys, clear() removes the handle; keys() is None without any.
 
-    def __init__(self) -> None:
-        self.handles: dict[str, DataFrame] = {}
+    Without `kept` every call of keys() counts the keys of all handles anew; with it they are kept up as handles change.
+    """
+
+    def __init__(self, kept: KeyCounts | None = None) -> None:
+        self.handles: dict[str, DataFrame | None] = {}
+        self.kept = kept
 
     def set(self, handle: str, keys: DataFrame) -> None:
         if keys is None:
             raise ValueError("clear() removes a filter")
-        self.handles[handle] = keys
+        if self.kept:
+            self.kept.set(handle, keys)
+        self.handles[handle] = None if self.kept else keys
 
     def clear(self, handle: str) -> None:
+        if self.kept:
+            self.kept.clear(handle)
         self.handles.pop(handle, None)
 
     def keys(self) -> DataFrame | None:
-        return intersection(self.handles)
+        return self.kept.keys() if self.kept else intersection(self.handles)
 
 
 class Selection(Var):
@@ -98,8 +108,8 @@ class Selection(Var):
 class Group:
     """What linked views of one name share: a filter set, whose keys `filter` announces, a selection, and variables by name."""
 
-    def __init__(self, name: str) -> None:
-        self.name, self.filters, self.filter, self.selection = name, FilterSet(), Var(), Selection()
+    def __init__(self, name: str, kept: KeyCounts | None = None) -> None:
+        self.name, self.filters, self.filter, self.selection = name, FilterSet(kept), Var(), Selection()
         self.variables: dict[str, Var] = {}
 
     def var(self, name: str) -> Var:

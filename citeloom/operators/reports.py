@@ -41,22 +41,27 @@ def publication_types(nodes: DataFrame, *by: str, cut_off: int = CUT_OFF) -> Dat
     return out.orderBy(F.desc("n"), *[F.asc_nulls_last(k) for k in keys])
 
 
-def _overlap(rows: DataFrame, message: str, extra: list[str], more_than: int) -> DataFrame:
-    """Works in more than so many rows, with their messages. n and the list belong to the id; each variant of the other columns is a row of its own.
+def _many(rows: DataFrame, message: str, more_than: int) -> DataFrame:
+    """id, n and the messages of the works in more than so many rows: ids and messages only, counted before the shuffle."""
+    per_id = rows.select("id", message).groupBy("id").agg(F.count("*").alias("n"), F.collect_list(message).alias("found"))
+    return per_id.where(F.col("n") > more_than).select("id", "n", F.array_join(F.sort_array("found"), "|").alias(f"{message}s"))
 
-    One aggregation by id: a work's variants are made distinct and its messages gathered before the shuffle, so its texts
-    leave each task once, and works in too few rows go before their variants become rows again.
+
+def _overlap(variants: DataFrame, many: DataFrame, message: str, extra: list[str]) -> DataFrame:
+    """The works of `many`, each variant of the other columns a row of its own. n and the list belong to the id.
+
+    Titles and texts are read in a second phase, of the works that are in enough rows only: `many` is broadcast if it is small,
+    else the rest is shuffled, and what is made distinct are these works' rows.
     """
-    variant = F.struct(text.strip(F.col("doi"), text.DOI_PREFIX).alias("doi"), "author", "title", *extra)
-    per_id = rows.groupBy("id").agg(F.count("*").alias("n"), F.collect_list(message).alias("found"), F.collect_set(variant).alias("variants"))
-    many = per_id.where(F.col("n") > more_than).withColumn(f"{message}s", F.array_join(F.sort_array("found"), "|"))
-    shown = many.select("id", F.inline("variants"), "n", f"{message}s")
+    shown = variants.select("id", text.strip(F.col("doi"), text.DOI_PREFIX).alias("doi"), "author", "title", *extra).join(many, "id").distinct()
     out = shown.withColumn("id", text.anchor(F.col("id"), text.WORK_PREFIX)).withColumn("doi", text.anchor(F.col("doi"), text.DOI_PREFIX))
+    out = out.select("id", "doi", "author", "title", *extra, "n", f"{message}s")
     return out.orderBy(F.desc("n"), "id", "author", "title", "doi")
 
 
 def overlap_key_papers_sm(nodes: DataFrame, more_than: int = 1) -> DataFrame:
-    return _overlap(nodes.where(F.col("oa_input") & F.col("id").isNotNull()), "sm", [], more_than)
+    rows = nodes.where(F.col("oa_input") & F.col("id").isNotNull())
+    return _overlap(rows, _many(rows, "sm", more_than), "sm", [])
 
 
 def _recent(nodes: DataFrame, cut_off: int) -> Column:
@@ -64,12 +69,15 @@ def _recent(nodes: DataFrame, cut_off: int) -> Column:
 
 
 def overlap_recent_sm(nodes: DataFrame, cut_off: int = CUT_OFF, more_than: int = 5) -> DataFrame:
-    return _overlap(nodes.where(_recent(nodes, cut_off)), "sm", [], more_than)
+    rows = nodes.where(_recent(nodes, cut_off))
+    return _overlap(rows, _many(rows, "sm", more_than), "sm", [])
 
 
 def overlap_recent_bm(nodes: DataFrame, cut_off: int = CUT_OFF, more_than: int = 5) -> DataFrame:
-    rows = nodes.where(_recent(nodes, cut_off)).select("author", "title", "doi", "bm", "id", F.col("ab").alias("abstract")).distinct()
-    return _overlap(rows, "bm", ["abstract"], more_than)
+    """Counts distinct rows of work, message and text; they are told apart by a 128-bit hash, so that no text is shuffled for the counts."""
+    rows = nodes.where(_recent(nodes, cut_off)).withColumn("abstract", F.col("ab"))
+    row = F.md5(F.to_json(F.struct("author", "title", "doi", "abstract")))
+    return _overlap(rows, _many(rows.select("id", "bm", row.alias("row")).distinct(), "bm", more_than), "bm", ["abstract"])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -6,15 +6,20 @@ import datetime
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from citeloom.functions import formats, text
-from citeloom.operators import grid, ingest, linked, reports, snowball
+from citeloom.operators import edits, grid, ingest, linked, reports, snowball
+from citeloom.operators.key_counts import KeyCounts
+from citeloom.operators.pages import PageIndex
+from citeloom.operators.search_index import SearchIndex
 from citeloom.plans import bindings as b
 from citeloom.schemas import NODES
-from citeloom.session import shared_dir, until_exit
-from citeloom.sources import datasets, payload, refs
+from citeloom.session import overwrite, shared_dir, until_exit
+from citeloom.sources import datasets, payload, refs, works_pages
+from citeloom.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -189,14 +194,16 @@ FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey GROUP BY n_nationkey
 def short_authors(spark: SparkSession, d: str) -> DataFrame:
     """A nation's suppliers as a work's authors."""
     rows = b.table(spark, d, "nation").join(b.table(spark, d, "supplier"), F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    # three names are all that the short form looks at; each task keeps a nation's three first
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("n_nationkey").orderBy("s_name"))).where("place <= 3")
     names = F.array_sort(F.collect_list(F.when(F.col("s_name").isNotNull(), F.struct(F.col("s_name").alias("name")))))
     return rows.groupBy("n_nationkey").agg(names.alias("authors")).select("n_nationkey", text.abbreviate_authors(F.col("authors")).alias("author"))
 
 
 @query("SELECT p_partkey, p_name, p_size FROM part")
 def json_payload(spark: SparkSession, d: str) -> DataFrame:
-    """A brand's parts as a payload of columns, read back."""
-    sent = b.table(spark, d, "part").groupBy("p_brand").agg(payload.to_payload(["p_partkey", "p_name", "p_size"], "p_partkey").alias("json"))
+    """A brand's parts as payloads of columns, each of at most so many rows, read back."""
+    sent = payload.payload_chunks(b.table(spark, d, "part"), "p_brand", ["p_partkey", "p_name", "p_size"], ["p_partkey"])
     return payload.read_payload(sent, "json", b.table(spark, d, "part").select("p_partkey", "p_name", "p_size").schema)
 
 
@@ -218,6 +225,64 @@ def existing_tables(spark: SparkSession, d: str) -> DataFrame:
     return found.rows.select("id", "title", "type")
 
 
+@query("SELECT concat('W', CAST(p_partkey AS VARCHAR)) AS id, p_name AS title FROM part WHERE p_size <= 40")
+def broken_files(spark: SparkSession, d: str) -> DataFrame:
+    """A table some of whose files break after it was written: the rows of the others, and the names of all that broke."""
+    base, part = until_exit(spark, f"{shared_dir(spark)}/broken-{uuid.uuid4().hex}"), b.table(spark, d, "part")
+    id_, file = F.concat(F.lit("W"), F.col("p_partkey").cast("string")).alias("id"), F.col("_metadata.file_path").alias("file")
+    part.where("p_size <= 40").select(id_, F.col("p_name").alias("title")).write.parquet(base)
+    before = {r["file"] for r in spark.read.format("binaryFile").load(base).select(file).collect()}
+    part.where("p_size > 40").select(id_, F.col("p_name").alias("title")).repartition(2).write.mode("append").parquet(base)
+    broken = {r["file"] for r in spark.read.format("binaryFile").load(base).select(file).collect()} - before
+    for f in broken:
+        overwrite(spark, f, b"PAR1 half a file")
+    found = datasets.read_existing(spark, [base], NODES)
+    if {x.file for x in found.lost} != broken:
+        raise ValueError(f"broken: {sorted(broken)}, named: {found.lost}")
+    return found.rows.select("id", "title")
+
+
+@query(f"WITH {b.REFS}, {b.WORKS} SELECT * FROM works WHERE doi IN (SELECT concat('https://doi.org/', doi) FROM refs WHERE doi <> '')")
+def works_from_pages(spark: SparkSession, d: str) -> DataFrame:
+    """The lookup over pages of JSON works, which answer a filter on DOIs themselves."""
+    folder, works = until_exit(spark, f"{shared_dir(spark)}/works-{uuid.uuid4().hex}"), b.works(spark, d)
+    works.write.json(folder)
+    return works_pages.fetch_works(works_pages.read_works(spark, folder, works.schema), b.refs(spark, d))
+
+
+@query("""SELECT event_id, user_id, c_name FROM events JOIN customer ON c_custkey = user_id""")
+def ingested_events(spark: SparkSession, d: str) -> DataFrame:
+    """Events that come in three parts, each to be joined with its customer. Half of the customers come late, so their events fail at first and are tried again;
+    one run is cut off after its results were written, and is repeated."""
+    base, events, customers = until_exit(spark, f"{shared_dir(spark)}/ingested-{uuid.uuid4().hex}"), b.table(spark, d, "events").select("event_id", "user_id"), b.table(spark, d, "customer").select("c_custkey", "c_name")
+    known = [customers.where("c_custkey % 2 = 0")]
+
+    def work(rows: DataFrame) -> DataFrame:
+        joined = rows.join(known[0], F.col("user_id") == F.col("c_custkey"), "left").drop("c_custkey")
+        return joined.withColumn("error", F.when(F.col("c_name").isNull(), "no such customer"))
+
+    ingestion = incremental.Ingestion(spark, f"{base}/in", events.schema, base, work)
+    for part in range(3):
+        events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part).write.mode("append").parquet(f"{base}/in")
+        if part == 1:
+            cut_off = incremental.Ingestion(spark, f"{base}/in", events.schema, base, work)
+            cut_off.after_write = lambda: 1 / 0
+            try:
+                cut_off.run()
+            except StreamingQueryException:
+                known[0] = customers
+        ingestion.run()
+    ingestion.retry()
+    return ingestion.done()
+
+
+@query(f"""WITH {b.REFS}, {b.WORKS} SELECT 'ref' AS side, CAST(ref_no AS VARCHAR) AS member FROM refs WHERE doi = '' UNION ALL SELECT 'work', id FROM works WHERE doi IS NULL""")
+def null_doi_groups(spark: SparkSession, d: str) -> DataFrame:
+    """The two groups that a null DOI links, instead of all their pairs."""
+    found = ingest.key_works_grouped(b.refs(spark, d), b.works(spark, d))
+    return found.refs.select(F.lit("ref").alias("side"), F.col("ref_no").cast("string").alias("member")).unionAll(found.works.select(F.lit("work"), "id"))
+
+
 @query("SELECT page_id, regexp_replace(url, 'https?://', '', 'g') AS url FROM pages")
 def strip_url_prefix(spark: SparkSession, d: str) -> DataFrame:
     return b.table(spark, d, "pages").select("page_id", text.strip(F.col("url"), "https?://").alias("url"))
@@ -279,20 +344,36 @@ def grid_smart_search(spark: SparkSession, d: str) -> DataFrame:
     return b.table(spark, d, "part").where(where).select("p_partkey", "p_name", "p_brand")
 
 
-@query("SELECT p_partkey, p_size, row_number FROM (SELECT p_partkey, p_size, CAST(row_number() OVER (ORDER BY p_size DESC, p_partkey) AS INTEGER) AS row_number FROM part) WHERE row_number BETWEEN 21 AND 30")
+@query("SELECT p_partkey, p_size, row_number FROM (SELECT p_partkey, p_size, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS row_number FROM part) WHERE row_number BETWEEN 21 AND 30")
 def grid_page(spark: SparkSession, d: str) -> DataFrame:
     return grid.page(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.desc("p_size"), F.asc("p_partkey")], 3, 10).rows
 
 
-@query("SELECT p_partkey, p_size, CAST(row_number() OVER (ORDER BY p_size DESC, p_partkey) AS INTEGER) AS row_number FROM part")
+@query("SELECT p_partkey, p_size, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS row_number FROM part")
 def grid_row_numbers(spark: SparkSession, d: str) -> DataFrame:
     return grid.page(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.desc("p_size"), F.asc("p_partkey")], 1, 10).matching
 
 
-@query("SELECT p_partkey, p_size, row_number FROM (SELECT p_partkey, p_size, CAST(row_number() OVER (ORDER BY p_size, p_partkey DESC) AS INTEGER) AS row_number FROM part) WHERE row_number BETWEEN 15 AND 40")
+@query("SELECT p_partkey, p_size, row_number FROM (SELECT p_partkey, p_size, row_number() OVER (ORDER BY p_size, p_partkey DESC) AS row_number FROM part) WHERE row_number BETWEEN 15 AND 40")
 def grid_shift_rows(spark: SparkSession, d: str) -> DataFrame:
     """A shift selection from the later row to the earlier one."""
-    return grid.between_rows(grid.numbered(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.asc("p_size"), F.desc("p_partkey")]), 40, 15)
+    return grid.between_rows(PageIndex(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.asc("p_size"), F.desc("p_partkey")]), 40, 15)
+
+
+@query("""WITH n AS (SELECT count(*) // 20 AS k FROM part)
+SELECT p_partkey, p_size, row_number FROM (SELECT p_partkey, p_size, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS row_number FROM part), n WHERE row_number BETWEEN (k - 1) * 10 + 1 AND k * 10""")
+def grid_deep_page(spark: SparkSession, d: str) -> DataFrame:
+    """The page in the middle of the table, by an index that is gone afterwards."""
+    with PageIndex(b.table(spark, d, "part").select("p_partkey", "p_size"), [F.desc("p_size"), F.asc("p_partkey")]) as index:
+        return index.copy_of_page(index.n // 20, 10)
+
+
+@query("""SELECT p_partkey, p_name, p_brand FROM part WHERE contains(lower(p_name), 'red') AND contains(lower(p_name), 'olt')
+UNION ALL SELECT p_partkey, p_name, p_brand FROM part WHERE contains(lower(concat(p_name, '  ', p_brand)), 'blue') AND contains(lower(concat(p_name, '  ', p_brand)), 'brand#2')""")
+def grid_indexed_search(spark: SparkSession, d: str) -> DataFrame:
+    """Smart search in a column, then global search, both by trigrams."""
+    index = SearchIndex(b.table(spark, d, "part").select("p_partkey", "p_name", "p_brand"), "p_partkey", ["p_name", "p_brand"])
+    return index.search("p_name", "Red olt").unionAll(index.search_all("BLUE brand#2"))
 
 
 @query("""SELECT p_partkey, 'p_brand' AS "column", p_brand AS value FROM part WHERE p_size = 7
@@ -325,6 +406,25 @@ def grid_edit_all(spark: SparkSession, d: str) -> DataFrame:
     return grid.add_row(grid.show(out, hide=("p_size",)), [-1, "added"])
 
 
+@query("""SELECT CASE WHEN p_partkey = 7 THEN -7 ELSE p_partkey END AS p_partkey, CASE WHEN p_partkey = 7 THEN 'seven' WHEN p_partkey = 9 THEN 'again' WHEN p_size < 5 THEN concat('new ', p_name) ELSE p_name END AS p_name,
+CASE WHEN p_partkey = 7 THEN 70 WHEN p_partkey = 9 OR p_size = 3 THEN NULL WHEN p_size > 45 THEN p_size + 1 ELSE p_size END AS p_size FROM part WHERE p_size <> 11 OR p_partkey IN (7, 9)
+UNION ALL SELECT -1, 'added', 5""")
+def grid_edit_log(spark: SparkSession, d: str) -> DataFrame:
+    """Edits of every kind through one log: cells, a column, rows with their key, rows removed, added, and added again."""
+    part = b.table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    log = edits.EditLog(spark, part.columns, "p_partkey")
+    log.cells(part.where("p_size < 5").select("p_partkey", F.lit("p_name").alias("column"), F.concat(F.lit("new "), "p_name").alias("value")))
+    log.rows(part.where("p_size = 3").withColumn("p_name", F.concat(F.lit("new "), "p_name")).withColumn("p_size", F.lit(None).cast("int")))
+    log.column("p_size", part.where("p_size > 45").select("p_partkey", (F.col("p_size") + 1).alias("value")))
+    log.row(7, {"p_partkey": -7, "p_name": "seven", "p_size": 70})
+    log.remove(part.where("p_size = 11 and p_partkey not in (7, 9) or p_partkey = 9").select("p_partkey"))
+    log.add(spark.createDataFrame([(-1, "first", 5)], part.schema))
+    log.cell(-1, "p_name", "added")
+    log.compact()
+    log.add(spark.createDataFrame([(9, "again", None)], part.schema))
+    return log.apply(part)
+
+
 @query("SELECT p_partkey FROM part WHERE p_size > 30 AND p_brand < 'Brand#3'")
 def grid_reload(spark: SparkSession, d: str) -> DataFrame:
     """What is left of a selection when the table is read anew with fewer rows."""
@@ -424,6 +524,18 @@ def filter_set(spark: SparkSession, d: str) -> DataFrame:
     return group.filter.value
 
 
+@query("""SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS key FROM lineitem WHERE l_quantity > 30
+AND l_partkey IN (SELECT l_partkey FROM lineitem WHERE l_tax = 0.0)""")
+def filter_set_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The same with counts that are kept up: a handle is set, set anew, and one is taken back."""
+    lines, group = b.table(spark, d, "lineitem"), linked.Group("parts", KeyCounts(spark, buckets=8))
+    one, two, three = (linked.FilterHandle(group) for _ in range(3))
+    for handle, where in ((one, "l_quantity > 45"), (two, "l_tax = 0.0"), (three, "l_quantity < 2"), (one, "l_quantity > 30")):
+        handle.set(lines.where(where).select(F.col("l_partkey").alias("key")))
+    three.close()
+    return group.filter.value
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE p_size < 10")
 def linked_selection(spark: SparkSession, d: str) -> DataFrame:
     """The last writer's keys, seen by another view."""

@@ -56,16 +56,21 @@ show();
 """
 
 
-def to_html(df: DataFrame, path: str, title: str = "", fixed_columns: int = 0, page_length: int = 50, most: int = MOST_ROWS) -> None:
-    """A page that needs no other file: its table sorts by a click on a header, is searched, pages, and keeps the first columns in sight. Cells that are links stay links; all else is escaped."""
-    def cell(v) -> str:
+def to_html(df: DataFrame, path: str, title: str = "", fixed_columns: int = 0, page_length: int = 50, most: int = MOST_ROWS, marked: tuple[str, ...] = ()) -> None:
+    """A page that needs no other file: its table sorts by a click on a header, is searched, pages, and keeps the first columns in sight.
+
+    Cells that are links stay links; in the columns `marked` the marks of grid.highlighted() stay marks; all else is escaped.
+    """
+    def cell(column: str, v) -> str:
         text = "" if v is None else str(v)
+        if column in marked:
+            return re.sub(r"&lt;(/?mark)&gt;", r"<\1>", html.escape(text))
         return text if re.fullmatch(r'<a href="[^"<>]*" target="_blank">[^<>]*</a>', text) else html.escape(text)
 
     def row(tag: str, cells: list[str]) -> str:
         return "<tr>" + "".join(f'<{tag}{" class=fixed" if i < fixed_columns else ""}>{c}</{tag}>' for i, c in enumerate(cells)) + "</tr>"
 
-    body = "\n".join(row("td", [cell(v) for v in r]) for r in _rows(df, most))
+    body = "\n".join(row("td", [cell(c, v) for c, v in zip(df.columns, r)]) for r in _rows(df, most))
     script = SCRIPT.replace("LENGTH", str(page_length)).replace("FIXED", str(min(fixed_columns, len(df.columns))))
     Path(path).write_text(
         f"<!DOCTYPE html><html><head><meta charset=utf-8><title>{html.escape(title)}</title><style>{STYLE}</style></head><body>"
