@@ -126,6 +126,11 @@ def sign(s: np.ndarray) -> tuple[int, int, list[tuple[np.ndarray, int]]]:
     return sid, scheme, signed
 
 
+def collisions(sigs: np.ndarray, buckets: int) -> int:
+    """How many of a set's signatures look like another one of its own once cut to a bucket and 32 bits; they are counted once, so a partner shares as many fewer."""
+    return len(sigs) - len(np.unique((sigs >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32) << np.uint64(32) | sigs & np.uint64(0xFFFFFFFF)))
+
+
 def lowered(texts: list[str | None]) -> list[bytes]:
     """UTF-8 with A-Z lowered, nothing else."""
     return [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
@@ -161,7 +166,7 @@ def _signed(buckets: int, width: int):
             rows: dict[str, list] = {c: [] for c in ("bucket", "doc_id", "tkey", "sid", "n", "scheme", "least0", "least1")}
             for doc_id, tkey, text, s in zip(ids, keys, texts, shingle_sets(texts, width)):
                 sid, scheme, signed = sign(s) if len(s) else (None, None, [])
-                least = [x[1] for x in signed] + [None, None]
+                least = [x[1] - collisions(x[0], buckets) for x in signed] + [None, None]
                 for c, v in zip(rows, (-1 - (tkey % buckets), doc_id, tkey, sid, len(s), scheme, least[0], least[1])):
                     rows[c].append(v)
                 if sid is not None and sid not in done:  # copies within the block sign once

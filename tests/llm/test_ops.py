@@ -115,6 +115,21 @@ def test_least_shared_signatures_hold():
             assert both >= max(min(least for _, least in x), min(least for _, least in y))
 
 
+def test_colliding_signatures_lower_the_least():
+    """What two sets share is counted by bucket and 32 bits; the least asked of a pair allows for what falls together."""
+    r = np.random.default_rng(6)
+    low = r.integers(0, 40, 60, dtype=np.uint64)  # few low halves, so that many fall together
+    a = np.unique(r.integers(0, 2**32, 60, dtype=np.uint64) << np.uint64(32) | low)
+    for buckets in (1, 3, 50):
+        cut = lambda s: {(int(x >> 32) * buckets >> 32, x & 0xFFFFFFFF) for x in s.tolist()}  # noqa: B023, E731
+        assert len(a) - ngram_join.collisions(a, buckets) == len(cut(a))
+        for _ in range(30):
+            b = np.concatenate([a[r.random(len(a)) > 0.3], r.integers(0, 2**64, 9, dtype=np.uint64)])
+            shared = len(np.intersect1d(a, b))
+            assert len(cut(a) & cut(b)) >= shared - min(ngram_join.collisions(a, buckets), ngram_join.collisions(b, buckets))
+    assert ngram_join.collisions(np.empty(0, np.uint64), 5) == 0
+
+
 # 2
 
 
