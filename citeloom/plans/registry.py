@@ -17,7 +17,7 @@ from citeloom.operators.pages import PageIndex
 from citeloom.operators.search_index import SearchIndex
 from citeloom.plans import bindings as b
 from citeloom.schemas import NODES
-from citeloom.session import overwrite, shared_dir, until_exit
+from citeloom.session import delete, overwrite, shared_dir, until_exit
 from citeloom.sources import datasets, payload, refs, works_pages
 from citeloom.streaming import incremental
 
@@ -160,6 +160,23 @@ def nodes_scan(spark: SparkSession, d: str) -> DataFrame:
     return datasets.read_nodes(spark, until_exit(spark, path))
 
 
+@query("SELECT 'W' AS side, p_partkey AS id, 2 AS built FROM part UNION ALL SELECT 'O', o_orderkey, 2 FROM orders")
+def built_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Two stored tables, built together if either isn't there: a first call builds them, the next reads them, and once one is half written a third builds both again."""
+    base, built = until_exit(spark, f"{shared_dir(spark)}/built-{uuid.uuid4().hex}"), []
+
+    def build() -> list[DataFrame]:
+        built.append(1)
+        tables = (("W", "part", "p_partkey"), ("O", "orders", "o_orderkey"))
+        return [b.table(spark, d, t).select(F.lit(side).alias("side"), F.col(key).alias("id"), F.lit(len(built)).alias("built")) for side, t, key in tables]
+
+    for _ in range(2):
+        datasets.materialize_all(spark, [f"{base}/works", f"{base}/orders"], build)
+    delete(spark, f"{base}/orders/_SUCCESS")
+    works, orders = datasets.materialize_all(spark, [f"{base}/works", f"{base}/orders"], build)
+    return works.unionAll(orders)
+
+
 # ingestion
 
 
@@ -536,6 +553,17 @@ def filter_set_kept(spark: SparkSession, d: str) -> DataFrame:
     return group.filter.value
 
 
+@query("SELECT p_partkey, p_name FROM part WHERE p_size BETWEEN 10 AND 20")
+def shared_variable(spark: SparkSession, d: str) -> DataFrame:
+    """A view sets a group's variable; another view, which listens, turns it into its filter; a third one shows the rows that are left."""
+    part, group = b.table(spark, d, "part"), linked.Groups().get("parts")
+    slider = linked.FilterHandle(group)
+    group.var("sizes").on(lambda new, old: slider.set(linked.slider_keys(part, "p_partkey", F.col("p_size"), *new)))
+    for bounds in ((1, 5), (10, 20)):
+        group.var("sizes").set(bounds)
+    return linked.linked_filter(part, "p_partkey", {"group": group.filter.value}).select("p_partkey", "p_name")
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE p_size < 10")
 def linked_selection(spark: SparkSession, d: str) -> DataFrame:
     """The last writer's keys, seen by another view."""
