@@ -41,8 +41,8 @@ from citeloom.llm.hashing import mix, words
 
 SENTENCES = 2
 WORDS = 16
-MOST_SENTENCES = 8
-MOST_WORDS = 48
+MOST_SENTENCES = 10
+MOST_WORDS = 64
 PIECE = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
 STOP = re.compile(r"[.!?]|\n\n")
 _TURN = np.random.Generator(np.random.PCG64(31)).integers(0, 2**64, 1, dtype=np.uint64) | np.uint64(1)
