@@ -248,10 +248,20 @@ def _places(b: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(b.column(c).slice(row, 1).flatten().to_numpy(zero_copy_only=False) for c in ("places", "ids"))
 
 
+def planes(x: np.ndarray) -> bytes:
+    """The bytes of whole numbers, first the lowest byte of each, then the next: what Spark writes and sends of them is compressed, and most high bytes are equal."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
+
+
 def _phrases(b: pa.RecordBatch, column: str, row: int) -> tuple[np.ndarray, ...]:
     """(parent, word, id) of a shard's frequent phrases of one length, from the parts in which the buckets gave them."""
-    parts = b.column(column).slice(row, 1).flatten()
-    return tuple(parts.field(i).flatten().to_numpy(zero_copy_only=False) for i in range(3))
+    parts = [from_planes(x, np.int64).reshape(3, -1) for x in b.column(column)[row].as_py()]
+    return tuple(np.concatenate(parts, axis=1))
 
 
 def _packed(parent: np.ndarray, word: np.ndarray, n: np.ndarray, shard: int, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -261,17 +271,21 @@ def _packed(parent: np.ndarray, word: np.ndarray, n: np.ndarray, shard: int, buc
     bucket, parent, word, n = bucket[order], parent[order], word[order], n[order].astype(np.int32)
     first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     ends = [*first[1:].tolist(), len(bucket)]
-    arrays = [pa.array([x[a:z].tobytes() for a, z in zip(first.tolist(), ends)], pa.binary()) for x in (parent, word, n)]
+    arrays = [pa.array([planes(x[a:z]) for a, z in zip(first.tolist(), ends)], pa.binary()) for x in (parent, word, n)]
     yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(np.full(len(first), shard)), *arrays], names=["bucket", "shard", "parent", "word", "n"])
 
 
 PACKED = "bucket int, shard long, parent binary, word binary, n binary"
-MERGED = "shard long, parent array<long>, word array<long>, id array<long>, f array<long>"
+MERGED = "shard long, parent array<long>, word array<long>, id array<long>, f array<long>, phrases binary"
+
+
+_MERGED_NAMES = ("shard", "parent", "word", "id", "f", "phrases")
+_MERGED_TYPES = (pa.int64(), *[pa.list_(pa.int64())] * 4, pa.binary())
 
 
 def merge(bucket: int, held: pa.Table, least: int) -> pa.Table:
     """The counts of a bucket summed over its shards: the phrases that are frequent (a row without shard), and which of them each shard has."""
-    parent, word, n = (np.frombuffer(b"".join(held.column(c).to_pylist()), kind) for c, kind in (("parent", np.int64), ("word", np.int64), ("n", np.int32)))
+    parent, word, n = (np.concatenate([from_planes(x, kind) for x in held.column(c).to_pylist()]) for c, kind in (("parent", np.int64), ("word", np.int64), ("n", np.int32)))
     sizes = np.array([len(x) // 4 for x in held.column("n").to_pylist()])
     shard = np.repeat(held.column("shard").to_numpy(), sizes)
     order = np.lexsort((word, parent))
@@ -282,18 +296,17 @@ def merge(bucket: int, held: pa.Table, least: int) -> pa.Table:
     f = np.add.reduceat(n[order].astype(np.int64), first)
     often = np.flatnonzero(f >= least)
     ids = (bucket << 32) + np.arange(len(f))
-    out = [(None, parent[first[often]], word[first[often]], ids[often], f[often])]
+    if not len(often):
+        return pa.table({c: pa.array([], t) for c, t in zip(_MERGED_NAMES, _MERGED_TYPES)})
+    out = [(None, parent[first[often]], word[first[often]], ids[often], f[often], None)]
     phrase = np.cumsum(new) - 1
     kept = np.flatnonzero((f >= least)[phrase])
     kept = kept[np.argsort(shard[kept], kind="stable")]
     cuts = np.flatnonzero(np.concatenate([[True], shard[kept][1:] != shard[kept][:-1]])) if len(kept) else []
     for a, z in zip(cuts, [*cuts[1:], len(kept)]):
         k = kept[a:z]
-        out.append((int(shard[k[0]]), parent[k], word[k], ids[phrase[k]], np.zeros(0, np.int64)))
-    if not len(often):
-        out = []
-    lists = [pa.array([r[i] for r in out], pa.list_(pa.int64())) for i in range(1, 5)]
-    return pa.table([pa.array([r[0] for r in out], pa.int64()), *lists], names=["shard", "parent", "word", "id", "f"])
+        out.append((int(shard[k[0]]), None, None, None, None, planes(np.concatenate([parent[k], word[k], ids[phrase[k]]]))))
+    return pa.table({c: pa.array([r[i] for r in out], t) for i, (c, t) in enumerate(zip(_MERGED_NAMES, _MERGED_TYPES))})
 
 
 def _extended(shards: DataFrame, known: list[DataFrame], length: int, least: int) -> DataFrame:
@@ -341,7 +354,7 @@ def _levels(docs: DataFrame, least: int, longest: int, shard_words: int) -> tupl
             break
         levels.append(level)
         if length < longest:
-            known.append(merged.where("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("parent", "word", "id")).alias(f"k{length}")))
+            known.append(merged.where("shard is not null").groupBy("shard").agg(F.collect_list("phrases").alias(f"k{length}")))
     return levels, totals
 
 
