@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.functions import text
+from citeloom.session import kept
 
 CUT_OFF = 2018
 
@@ -47,37 +48,44 @@ def _many(rows: DataFrame, message: str, more_than: int) -> DataFrame:
     return per_id.where(F.col("n") > more_than).select("id", "n", F.array_join(F.sort_array("found"), "|").alias(f"{message}s"))
 
 
-def _overlap(variants: DataFrame, many: DataFrame, message: str, extra: list[str]) -> DataFrame:
+def _overlap(rows: DataFrame, many: DataFrame, message: str, extra: list[str], works: DataFrame | None) -> DataFrame:
     """The works of `many`, each variant of the other columns a row of its own. n and the list belong to the id.
 
-    Titles and texts are read in a second phase, of the works that are in enough rows only: `many` is broadcast if it is small,
-    else the rest is shuffled, and what is made distinct are these works' rows.
+    Titles and texts are read in a second phase, of the works that are in enough rows only. Where they are in the rows, `many` is written first, so
+    that Spark knows its size when it plans this phase: it is broadcast if it is small, and then no other work's texts leave their task.
+    A table of works, which has each text once, is joined as Spark plans it.
     """
-    shown = variants.select("id", text.strip(F.col("doi"), text.DOI_PREFIX).alias("doi"), "author", "title", *extra).join(many, "id").distinct()
+    if works is None:
+        many, works = kept(many, "overlap"), rows
+    shown = works.select("id", text.strip(F.col("doi"), text.DOI_PREFIX).alias("doi"), "author", "title", *extra).join(many, "id").distinct()
     out = shown.withColumn("id", text.anchor(F.col("id"), text.WORK_PREFIX)).withColumn("doi", text.anchor(F.col("doi"), text.DOI_PREFIX))
     out = out.select("id", "doi", "author", "title", *extra, "n", f"{message}s")
     return out.orderBy(F.desc("n"), "id", "author", "title", "doi")
 
 
-def overlap_key_papers_sm(nodes: DataFrame, more_than: int = 1) -> DataFrame:
+def overlap_key_papers_sm(nodes: DataFrame, more_than: int = 1, works: DataFrame | None = None) -> DataFrame:
+    """works: the texts by id, one row a work, where nodes are kept without them; else they are read from nodes, each variant of a work a row."""
     rows = nodes.where(F.col("oa_input") & F.col("id").isNotNull())
-    return _overlap(rows, _many(rows, "sm", more_than), "sm", [])
+    return _overlap(rows, _many(rows, "sm", more_than), "sm", [], works)
 
 
 def _recent(nodes: DataFrame, cut_off: int) -> Column:
     return ~F.col("oa_input") & F.col("id").isNotNull() & (F.col("publication_year") > cut_off)
 
 
-def overlap_recent_sm(nodes: DataFrame, cut_off: int = CUT_OFF, more_than: int = 5) -> DataFrame:
+def overlap_recent_sm(nodes: DataFrame, cut_off: int = CUT_OFF, more_than: int = 5, works: DataFrame | None = None) -> DataFrame:
     rows = nodes.where(_recent(nodes, cut_off))
-    return _overlap(rows, _many(rows, "sm", more_than), "sm", [])
+    return _overlap(rows, _many(rows, "sm", more_than), "sm", [], works)
 
 
-def overlap_recent_bm(nodes: DataFrame, cut_off: int = CUT_OFF, more_than: int = 5) -> DataFrame:
+def overlap_recent_bm(nodes: DataFrame, cut_off: int = CUT_OFF, more_than: int = 5, works: DataFrame | None = None) -> DataFrame:
     """Counts distinct rows of work, message and text; they are told apart by a 128-bit hash, so that no text is shuffled for the counts."""
-    rows = nodes.where(_recent(nodes, cut_off)).withColumn("abstract", F.col("ab"))
+    rows = nodes.where(_recent(nodes, cut_off))
+    if works is not None:
+        return _overlap(rows, _many(rows.select("id", "bm").distinct(), "bm", more_than), "bm", ["abstract"], works.withColumn("abstract", F.col("ab")))
+    rows = rows.withColumn("abstract", F.col("ab"))
     row = F.md5(F.to_json(F.struct("author", "title", "doi", "abstract")))
-    return _overlap(rows, _many(rows.select("id", "bm", row.alias("row")).distinct(), "bm", more_than), "bm", ["abstract"])
+    return _overlap(rows, _many(rows.select("id", "bm", row.alias("row")).distinct(), "bm", more_than), "bm", ["abstract"], None)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

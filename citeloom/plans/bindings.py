@@ -15,13 +15,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines with the background and sub message of their supplier."""
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation's background and sub message."""
     t = lambda name: table(spark, sf_dir, name)
-    place = t("supplier").join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
     bm = F.concat(F.lit("bm-"), F.col("r_regionkey").cast("string"))
-    place = place.select("s_suppkey", bm.alias("bm"), F.concat(bm, F.lit("-"), F.col("n_nationkey").cast("string")).alias("sm"))
-    return t("lineitem").join(place, F.col("l_suppkey") == F.col("s_suppkey"))
+    place = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return place.select("n_nationkey", bm.alias("bm"), F.concat(bm, F.lit("-"), F.col("n_nationkey").cast("string")).alias("sm"))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the nation of their supplier."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    return table(spark, sf_dir, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
 
 
 def part_columns() -> dict:
@@ -36,18 +41,28 @@ def part_columns() -> dict:
     }
 
 
-def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (work, message, year, flag). The lines are made distinct on keys before they meet the works, so the shuffle carries no texts."""
+def message_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (work, message, year, flag), without the works' texts. Lines are made distinct on whole numbers before they meet the messages."""
     year = F.when(F.col("l_linenumber") == 7, None).otherwise(F.year("l_shipdate").cast("long"))
     flag = F.when(F.col("l_tax") == 0.08, None).otherwise(F.col("l_discount") >= 0.09)
-    lines = _messages(spark, sf_dir).select("l_partkey", year.alias("publication_year"), flag.alias("oa_input"), "bm", "sm").distinct()
-    works = table(spark, sf_dir, "part").select("p_partkey", *[c.alias(n) for n, c in part_columns().items()])
-    return lines.join(works, F.col("l_partkey") == F.col("p_partkey")).select("id", "author", "title", "type", "doi", "ab", "publication_year", "oa_input", "bm", "sm")
+    lines = _lines(spark, sf_dir).select("l_partkey", "s_nationkey", year.alias("publication_year"), flag.alias("oa_input")).distinct()
+    id_ = F.concat(F.lit("W"), F.col("l_partkey").cast("string")).alias("id")
+    return lines.join(_places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")).select(id_, "publication_year", "oa_input", "bm", "sm", "l_partkey")
+
+
+def work_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The works' texts, one row a work."""
+    return table(spark, sf_dir, "part").select(*[c.alias(n) for n, c in part_columns().items()])
+
+
+def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    works = table(spark, sf_dir, "part").select("p_partkey", *[c.alias(n) for n, c in part_columns().items() if n != "id"])
+    return message_nodes(spark, sf_dir).join(works, F.col("l_partkey") == F.col("p_partkey")).select("id", "author", "title", "type", "doi", "ab", "publication_year", "oa_input", "bm", "sm")
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _messages(spark, sf_dir)
-    return rows.select(F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("from"), F.concat(F.lit("W"), F.col("l_partkey").cast("string")).alias("to"), "bm", "sm").distinct()
+    rows = _lines(spark, sf_dir).select("l_orderkey", "l_partkey", "s_nationkey").distinct().join(_places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
+    return rows.select(F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("from"), F.concat(F.lit("W"), F.col("l_partkey").cast("string")).alias("to"), "bm", "sm")
 
 
 def refs(spark: SparkSession, sf_dir: str) -> DataFrame:

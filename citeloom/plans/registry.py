@@ -81,17 +81,17 @@ _RECENT = f"NOT oa_input AND id IS NOT NULL AND publication_year > {b.CUT_OFF}"
 
 @query(_overlap_sql("SELECT * FROM nodes WHERE oa_input AND id IS NOT NULL", "sm", "", 1))
 def overlap_key_papers_sm(spark: SparkSession, d: str) -> DataFrame:
-    return reports.overlap_key_papers_sm(b.nodes(spark, d))
+    return reports.overlap_key_papers_sm(b.message_nodes(spark, d), works=b.work_texts(spark, d))
 
 
 @query(_overlap_sql(f"SELECT * FROM nodes WHERE {_RECENT}", "sm", "", 5))
 def overlap_recent_sm(spark: SparkSession, d: str) -> DataFrame:
-    return reports.overlap_recent_sm(b.nodes(spark, d), b.CUT_OFF)
+    return reports.overlap_recent_sm(b.message_nodes(spark, d), b.CUT_OFF, works=b.work_texts(spark, d))
 
 
 @query(_overlap_sql(f"SELECT DISTINCT author, title, doi, bm, id, ab AS abstract FROM nodes WHERE {_RECENT}", "bm", ", abstract", b.OVER_BM))
 def overlap_recent_bm(spark: SparkSession, d: str) -> DataFrame:
-    return reports.overlap_recent_bm(b.nodes(spark, d), b.CUT_OFF, b.OVER_BM)
+    return reports.overlap_recent_bm(b.message_nodes(spark, d), b.CUT_OFF, b.OVER_BM, works=b.work_texts(spark, d))
 
 
 @query(f"WITH {b.REFS} SELECT count(*) AS n FROM (SELECT DISTINCT zotero FROM refs)")

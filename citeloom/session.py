@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: UTC for date filters; partition values stay strings; adaptive execution for skew and small partitions.
 SETTINGS = {
@@ -60,6 +61,14 @@ def until_exit(spark: SparkSession, path: str) -> str:
     return path
 
 
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """df written to the shared folder and read back, for a small result whose size the next plan should know; it goes when the application ends."""
+    spark = df.sparkSession
+    path = until_exit(spark, f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def hadoop_path(spark: SparkSession, uri: str):
     """A file's path as Spark names it in _metadata, where spaces and the like are encoded."""
     jvm = spark.sparkContext._jvm

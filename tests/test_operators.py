@@ -614,3 +614,13 @@ def test_first_rows_of_groups(spark):
     df = spark.createDataFrame([("a", 2, 1), ("a", 1, 2), ("a", 1, 1), (None, 5, 1), ("b", None, 3)], "g string, x int, k int")
     got = {tuple(r) for r in grid.row_groups(df, "g", [F.col("x"), F.col("k")]).collect()}
     assert got == {("a", False, 2, 1), ("a", False, 1, 2), ("a", True, 1, 1), (None, True, 5, 1), ("b", True, None, 3)}
+
+
+def test_overlaps_of_nodes_without_texts(spark):
+    """Texts from a table of works give the same rows as texts in the nodes."""
+    rows = [{"id": f"w{i % 40}", "title": f"t{i % 40}", "ab": "x", "author": "A", "doi": None if i % 40 == 3 else f"https://doi.org/{i % 40}", "sm": f"s{i % 7}", "bm": f"b{i % 6}", "oa_input": i % 3 == 0, "publication_year": 2020} for i in range(500)]
+    n = nodes(spark, *rows)
+    works, narrow = n.select("id", "doi", "author", "title", "ab").distinct(), n.select("id", "sm", "bm", "oa_input", "publication_year")
+    for f in (reports.overlap_key_papers_sm, reports.overlap_recent_sm, reports.overlap_recent_bm):
+        want = f(n, more_than=1).collect()
+        assert want and f(narrow, more_than=1, works=works).collect() == want
