@@ -518,6 +518,13 @@ def test_mixing_of_a_rare_source(spark, docs):
     assert all(490_000 < n[s] < 510_000 for s in ("big", "one"))
 
 
+def test_mixing_of_very_long_texts(spark, docs):
+    long = "word " * 400_000
+    given = docs([(1, long), (2, "short"), (None, long)]).withColumn("source", F.col("doc_id").cast("string"))
+    out = mixing.mix(given, total_rows=60).groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.length("text")).alias("size"), F.min(F.length("text")).alias("least")).collect()
+    assert {(r["doc_id"], r["size"], r["least"]) for r in out} == {(1, len(long), len(long)), (2, 5, 5), (None, len(long), len(long))} and all(3 < r["n"] < 45 for r in out)
+
+
 # 9
 
 
