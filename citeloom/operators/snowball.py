@@ -45,10 +45,14 @@ def tagged(df: DataFrame) -> DataFrame:
     return df.withColumn("bm", text.background_of(F.col("sm")))
 
 
-def snowball(nodes: DataFrame, edges: DataFrame, background_message: str | None = None, sub_message: str | None = None, collect: bool = True) -> Snowball:
+MOST_ROWS = 1_000_000  # rows of either table that are brought to the driver
+
+
+def snowball(nodes: DataFrame, edges: DataFrame, background_message: str | None = None, sub_message: str | None = None, collect: bool = True, most: int = MOST_ROWS) -> Snowball:
     """The distinct nodes and edges of all messages, of a background message, or of a sub message.
 
-    Filters on bm and sm prune partitions. collect=True returns the rows themselves as lists.
+    Filters on bm and sm prune partitions. collect=True returns the rows themselves as lists, at most `most` of each; more raise, as they belong
+    in a table: collect=False gives DataFrames.
     """
     if background_message is not None and sub_message is not None:
         raise ValueError("give a background message or a sub message, not both")
@@ -58,4 +62,9 @@ def snowball(nodes: DataFrame, edges: DataFrame, background_message: str | None
     if background_message is not None:
         where = F.col("bm") == background_message
     out = Snowball(nodes.where(where).distinct(), edges.where(where).distinct())
-    return Snowball(*[df.collect() for df in out]) if collect else out
+    if not collect:
+        return out
+    lists = Snowball(*[df.limit(most + 1).collect() for df in out])
+    if max(map(len, lists)) > most:
+        raise ValueError(f"more than {most} rows; collect=False gives DataFrames")
+    return lists

@@ -136,6 +136,8 @@ def test_partitions_replace_only_their_own_and_stay_text(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(sm" in pruned._jdf.queryExecution().executedPlan().toString()
     e = spark.createDataFrame([("a", "b", "b", "s"), ("a", "b", "b", "s")], EDGES)
     assert len(snowball.snowball(back, e).edges) == 1
+    with pytest.raises(ValueError, match="collect=False"):
+        snowball.snowball(back, e, most=1)
 
 
 def test_missing_tables_and_columns(spark, tmp_path):
