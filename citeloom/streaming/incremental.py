@@ -48,12 +48,18 @@ class Ingestion:
     def _path(self, kind: str, batch: int) -> str:
         return f"{self.folder}/{kind}/batch={batch}"
 
-    def _tables(self, before: int | None = None) -> list[tuple[int, str]]:
-        """(number, kind) of the finished tables of batches before a number (of all batches), a retry after its batch."""
+    def _numbers(self) -> list[int]:
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/batches")
         fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        numbers = sorted(int(s.getPath().getName().removeprefix("batch=")) for s in fs.listStatus(p)) if fs.exists(p) else []
-        return [(n, kind) for n in numbers if before is None or n < before for kind in ("batches", "retries") if exists(self.spark, self._path(kind, n))]
+        return sorted(int(s.getPath().getName().removeprefix("batch=")) for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def _finished(self, batch: int) -> list[tuple[int, str]]:
+        """(number, kind) of a batch's finished tables, a retry after the batch."""
+        return [(batch, kind) for kind in ("batches", "retries") if exists(self.spark, self._path(kind, batch))]
+
+    def _last(self, before: int | None = None) -> list[tuple[int, str]]:
+        """The last finished table of the batches before a number, or of all; none before the first."""
+        return next((found[-1:] for n in reversed(self._numbers()) if (before is None or n < before) and (found := self._finished(n))), [])
 
     def _read(self, tables: list[tuple[int, str]], state: str) -> DataFrame:
         stored = self.work(self.spark.createDataFrame([], self.schema)).schema.add("state", "string")
@@ -79,18 +85,18 @@ class Ingestion:
 
     def retry(self) -> None:
         """Work on the failed rows without waiting for new files, as a part of the last batch; once a batch."""
-        tables = self._tables()
-        if tables and tables[-1][1] == "batches":
-            self._take(self.failed(), "retries", tables[-1][0])
+        for n, kind in self._last():
+            if kind == "batches":
+                self._take(self.failed(), "retries", n)
 
     def done(self) -> DataFrame:
         """All rows that are done."""
-        return self._read(self._tables(), "done").drop(ERROR, "state")
+        return self._read([t for n in self._numbers() for t in self._finished(n)], "done").drop(ERROR, "state")
 
     def failed(self, before: int | None = None) -> DataFrame:
         """The rows that have failed and wait, with the columns of the source; before a batch, or now."""
-        return self._read(self._tables(before)[-1:], "failed").select(self.schema.names)
+        return self._read(self._last(before), "failed").select(self.schema.names)
 
     def errors(self) -> DataFrame:
         """The rows that wait, with their errors."""
-        return self._read(self._tables()[-1:], "failed").drop("state")
+        return self._read(self._last(), "failed").drop("state")
