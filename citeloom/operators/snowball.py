@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions import text
@@ -16,13 +16,30 @@ class Snowball(NamedTuple):
     edges: DataFrame
 
 
-def snowball_edges(seeds: DataFrame, works: DataFrame) -> DataFrame:
-    """Distinct edges from, to that touch a seed (id): works that seeds cite, and works that cite seeds."""
+ROWS_A_TASK = 250_000  # rows that one task makes distinct
+
+
+def tasks_for(rows: int, spark: SparkSession) -> int:
+    """Tasks among which so many rows are made distinct: as many more as there are more rows, so that none needs more memory in larger tables."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_A_TASK))
+
+
+def distinct(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Distinct rows. With a number of tasks, rows are dealt to them as they are and each is held by one task only; without, Spark gathers what it deems small,
+    and a task first holds the distinct rows of all that it has read."""
+    return df.repartition(tasks, *df.columns).distinct() if tasks else df.distinct()
+
+
+def snowball_edges(seeds: DataFrame, works: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Distinct edges from, to that touch a seed (id): works that seeds cite, and works that cite seeds. tasks as in distinct().
+
+    One pass over the works: they are marked by their own id, their citations by the cited id. A task holds its part of the seeds in memory, not of the works.
+    """
     ids = seeds.select("id").where("id is not null").distinct()
-    cites = works.select(F.col("id").alias("from"), F.explode("referenced_works").alias("to"))
-    backward = cites.join(ids.withColumnRenamed("id", "from"), "from", "left_semi")
-    forward = cites.join(ids.withColumnRenamed("id", "to"), "to", "left_semi")
-    return backward.unionByName(forward).distinct()
+    known = lambda end: ids.select(F.col("id").alias(end), F.lit(True).alias(f"seed_{end}")).hint("shuffle_hash")
+    marked = works.select(F.col("id").alias("from"), "referenced_works").join(known("from"), "from", "left")
+    cites = marked.select("from", "seed_from", F.explode("referenced_works").alias("to")).join(known("to"), "to", "left")
+    return distinct(cites.where("seed_from or seed_to").select("from", "to"), tasks)
 
 
 def snowball_nodes(seeds: DataFrame, edges: DataFrame) -> DataFrame:

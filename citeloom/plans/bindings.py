@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from citeloom.operators.snowball import tasks_for
+
 CUT_OFF = 1998
 SITE = "https://messages.example"
 OVER_BM = 4
@@ -29,6 +31,11 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
 
 
+def tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks for work on all lines, of which there are as many as the files' footers say."""
+    return tasks_for(table(spark, sf_dir, "lineitem").count(), spark)
+
+
 def part_columns() -> dict:
     key = F.col("p_partkey").cast("string")
     return {
@@ -88,7 +95,8 @@ def works(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def citing_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as works that cite their lines' parts."""
-    rows = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_set(F.concat(F.lit("W"), F.col("l_partkey").cast("string"))).alias("referenced_works"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").repartition(tasks(spark, sf_dir), "l_orderkey")
+    rows = lines.groupBy("l_orderkey").agg(F.collect_set(F.concat(F.lit("W"), F.col("l_partkey").cast("string"))).alias("referenced_works"))
     return rows.select(F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("id"), "referenced_works")
 
 

@@ -122,7 +122,7 @@ for _which, _filters, _where in (("all", {}, "true"), ("by_sm", {"sub_message":
 
 @query(f"""WITH {b.HOP} SELECT * FROM hop""")
 def snowball_edges(spark: SparkSession, d: str) -> DataFrame:
-    return snowball.snowball_edges(b.seeds(spark, d), b.citing_works(spark, d))
+    return snowball.snowball_edges(b.seeds(spark, d), b.citing_works(spark, d), b.tasks(spark, d))
 
 
 @query(f"""WITH {b.HOP}, ends AS (SELECT id FROM seeds UNION SELECT "from" FROM hop UNION SELECT "to" FROM hop)

@@ -14,11 +14,13 @@ from citeloom.operators import edits, grid, ingest, linked, reports, snowball
 from citeloom.operators.key_counts import KeyCounts
 from citeloom.operators.pages import PageIndex
 from citeloom.operators.search_index import SearchIndex
+from citeloom.plans import registry
 from citeloom.schemas import EDGES, NODES, WORKS
 from citeloom.sources import datasets, payload, refs, works_pages
 from citeloom.streaming import incremental
 
 NODE = dict.fromkeys(NODES.names)
+TABLES = "/root/testdata"
 
 
 def nodes(spark, *rows):
@@ -126,6 +128,28 @@ def test_snowball(spark):
         snowball.snowball(e, e, "a", "b")
 
 
+def test_snowball_edges_of_odd_works(spark):
+    """Works that come twice, references that are listed twice or null, both ends seeds, a citing work without id."""
+    works = spark.createDataFrame(
+        [("s", ["t", "t", None, "x"]), ("s", ["x"]), ("t", ["s"]), (None, ["s", "q"]), ("o", ["q"]), ("e", []), ("n", None)], "id string, referenced_works array<string>"
+    )
+    seeds = spark.createDataFrame([("s",), ("s",), ("t",), (None,)], "id string")
+    expected = [(None, "s"), ("s", None), ("s", "t"), ("s", "x"), ("t", "s")]
+    for tasks in (None, 7):
+        rows = [tuple(r) for r in snowball.snowball_edges(seeds, works, tasks).collect()]
+        assert sorted(rows, key=str) == sorted(expected, key=str)
+
+
+def most_in_a_task(df):
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_snowball_edges_are_made_distinct_by_more_tasks_in_larger_tables(spark, monkeypatch):
+    monkeypatch.setattr(snowball, "ROWS_A_TASK", 500, raising=False)
+    for sf in ("sf0.001", "sf0.01"):
+        assert most_in_a_task(registry.QUERIES["snowball_edges"](spark, f"{TABLES}/{sf}")) < 800
+
+
 def test_partitions_replace_only_their_own_and_stay_text(spark, tmp_path):
     path = str(tmp_path / "nodes")
     datasets.write_partitioned(nodes(spark, {"id": "a", "bm": "b", "sm": "2024-01-05"}, {"id": "b", "bm": "b", "sm": "x-y-z"}), path)
