@@ -129,7 +129,7 @@ def snowball_edges(spark: SparkSession, d: str) -> DataFrame:
 SELECT id, id IN (SELECT id FROM seeds) AS oa_input FROM ends""")
 def snowball_nodes(spark: SparkSession, d: str) -> DataFrame:
     s = b.seeds(spark, d)
-    return snowball.snowball_nodes(s, snowball.snowball_edges(s, b.citing_works(spark, d)))
+    return snowball.snowball_nodes(s, snowball.snowball_edges(s, b.citing_works(spark, d), b.tasks(spark, d)))
 
 
 @query("""SELECT DISTINCT * FROM (SELECT concat('W', CAST(p_partkey AS VARCHAR)) AS id, p_name AS title, NULL AS ab, p_type AS type FROM part WHERE p_size <= 30
