@@ -65,11 +65,11 @@ def tagged(df: DataFrame) -> DataFrame:
 MOST_ROWS = 1_000_000  # rows of either table that are brought to the driver
 
 
-def snowball(nodes: DataFrame, edges: DataFrame, background_message: str | None = None, sub_message: str | None = None, collect: bool = True, most: int = MOST_ROWS) -> Snowball:
+def snowball(nodes: DataFrame, edges: DataFrame, background_message: str | None = None, sub_message: str | None = None, collect: bool = True, most: int = MOST_ROWS, tasks: int | None = None) -> Snowball:
     """The distinct nodes and edges of all messages, of a background message, or of a sub message.
 
     Filters on bm and sm prune partitions. collect=True returns the rows themselves as lists, at most `most` of each; more raise, as they belong
-    in a table: collect=False gives DataFrames.
+    in a table: collect=False gives DataFrames. tasks as in distinct().
     """
     if background_message is not None and sub_message is not None:
         raise ValueError("give a background message or a sub message, not both")
@@ -78,7 +78,7 @@ def snowball(nodes: DataFrame, edges: DataFrame, background_message: str | None
         where = F.col("sm") == sub_message
     if background_message is not None:
         where = F.col("bm") == background_message
-    out = Snowball(nodes.where(where).distinct(), edges.where(where).distinct())
+    out = Snowball(distinct(nodes.where(where), tasks), distinct(edges.where(where), tasks))
     if not collect:
         return out
     lists = Snowball(*[df.limit(most + 1).collect() for df in out])

@@ -109,7 +109,7 @@ def usable_key_paper_count(spark: SparkSession, d: str) -> DataFrame:
 
 def _snowball(which: str, part: str, sql: str, **filters: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return getattr(snowball.snowball(b.nodes(spark, d), b.edges(spark, d), collect=False, **filters), part)
+        return getattr(snowball.snowball(b.nodes(spark, d), b.edges(spark, d), collect=False, tasks=b.tasks(spark, d), **filters), part)
 
     run.__name__ = f"snowball_{which}" + ("_edges" if part == "edges" else "")
     query(sql)(run)

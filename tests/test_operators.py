@@ -158,6 +158,12 @@ def test_snowball_nodes_take_edges_made_distinct_by_more_tasks_in_larger_tables(
         assert re.search(rf"hashpartitioning\(from#\d+, to#\d+, {tasks}\), REPARTITION_BY_NUM", plan)
 
 
+def test_all_edges_are_made_distinct_by_more_tasks_in_larger_tables(spark, monkeypatch):
+    monkeypatch.setattr(snowball, "ROWS_A_TASK", 500, raising=False)
+    for sf in ("sf0.001", "sf0.01"):
+        assert most_in_a_task(registry.QUERIES["snowball_all_edges"](spark, f"{TABLES}/{sf}")) < 800
+
+
 def test_partitions_replace_only_their_own_and_stay_text(spark, tmp_path):
     path = str(tmp_path / "nodes")
     datasets.write_partitioned(nodes(spark, {"id": "a", "bm": "b", "sm": "2024-01-05"}, {"id": "b", "bm": "b", "sm": "x-y-z"}), path)
