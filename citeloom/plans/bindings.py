@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.operators.snowball import tasks_for
+from citeloom.operators.snowball import distinct, tasks_for
 
 CUT_OFF = 1998
 SITE = "https://messages.example"
@@ -52,7 +52,7 @@ def message_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct (work, message, year, flag), without the works' texts. Lines are made distinct on whole numbers before they meet the messages."""
     year = F.when(F.col("l_linenumber") == 7, None).otherwise(F.year("l_shipdate").cast("long"))
     flag = F.when(F.col("l_tax") == 0.08, None).otherwise(F.col("l_discount") >= 0.09)
-    lines = _lines(spark, sf_dir).select("l_partkey", "s_nationkey", year.alias("publication_year"), flag.alias("oa_input")).distinct()
+    lines = distinct(_lines(spark, sf_dir).select("l_partkey", "s_nationkey", year.alias("publication_year"), flag.alias("oa_input")), tasks(spark, sf_dir))
     id_ = F.concat(F.lit("W"), F.col("l_partkey").cast("string")).alias("id")
     return lines.join(_places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey")).select(id_, "publication_year", "oa_input", "bm", "sm", "l_partkey")
 

@@ -164,6 +164,13 @@ def test_all_edges_are_made_distinct_by_more_tasks_in_larger_tables(spark, monke
         assert most_in_a_task(registry.QUERIES["snowball_all_edges"](spark, f"{TABLES}/{sf}")) < 800
 
 
+def test_nodes_are_made_distinct_by_more_tasks_in_larger_tables(spark, monkeypatch):
+    monkeypatch.setattr(snowball, "ROWS_A_TASK", 500, raising=False)
+    for sf, tasks in (("sf0.001", 12), ("sf0.01", 120)):
+        plan = registry.QUERIES["snowball_all"](spark, f"{TABLES}/{sf}")._jdf.queryExecution().executedPlan().toString()
+        assert re.search(rf"hashpartitioning\(l_partkey#\d+L, s_nationkey#\d+, publication_year#\d+L, oa_input#\d+, {tasks}\), REPARTITION_BY_NUM", plan)
+
+
 def test_partitions_replace_only_their_own_and_stay_text(spark, tmp_path):
     path = str(tmp_path / "nodes")
     datasets.write_partitioned(nodes(spark, {"id": "a", "bm": "b", "sm": "2024-01-05"}, {"id": "b", "bm": "b", "sm": "x-y-z"}), path)
